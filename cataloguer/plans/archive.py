@@ -148,3 +148,329 @@ ORDER BY p.id, f.file_name NULLS FIRST""")
 def projects_full(spark: SparkSession, d: str) -> DataFrame:
     kw, pr, li = children_strings(spark, d)
     return projects_full_df(archive_projects(spark, d), archive_files(spark, d), kw, pr, li)
+
+
+# ---------------------------------------------------------------- merges
+
+def merge_oracle(b1: str, b2: str, key: list[str], order: list[str], payload: list[str], out: list[str]) -> str:
+    """Oracle text of ``merge_into(merge_into(None, b1), b2)`` written with window functions."""
+    order_only = [c for c in order if c not in key]
+    tie = ", ".join(f"{c} NULLS FIRST" for c in order_only + payload) or ", ".join(key)
+    idord = ", ".join(f"{c} NULLS FIRST" for c in dict.fromkeys(order + key))
+    k = ", ".join(key)
+    cond = " AND ".join(f"a1.{c} = n.{c}" for c in key)
+    cols = ", ".join(out)
+    return f"""
+WITH b1 AS ({b1}), b2 AS ({b2}),
+f1 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {tie}) AS _rn FROM b1) t WHERE _rn = 1),
+a1 AS (SELECT CAST(row_number() OVER (ORDER BY {idord}) AS BIGINT) AS id, {cols} FROM f1),
+f2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY {tie}) AS _rn FROM b2) t WHERE _rn = 1),
+n2 AS (SELECT * FROM f2 n WHERE NOT EXISTS (SELECT 1 FROM a1 WHERE {cond})),
+a2 AS (SELECT CAST((SELECT coalesce(max(id), 0) FROM a1) + row_number() OVER (ORDER BY {idord}) AS BIGINT) AS id,
+       {cols} FROM n2)
+SELECT id, {cols} FROM a1 UNION ALL SELECT id, {cols} FROM a2"""
+
+
+def _project_batch(df: DataFrame, ts: str) -> DataFrame:
+    cols = [
+        F.col("id").alias("seq"), "query_string", "repository_id", "repository_url", "project_url", "version",
+        "title", "description", "language", "doi", "upload_date", F.lit(ts).alias("download_date"),
+        "download_repository_folder", "download_project_folder",
+        F.when(F.col("version").isNotNull(), safe_name("version")).alias("download_version_folder"),
+        "download_method",
+    ]
+    return M.drop_not_null_violations(df.select(*cols), PROJECT_REQUIRED)
+
+
+def _project_batch_sql(where: str, ts: str) -> str:
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in PROJECT_REQUIRED)
+    return f"""SELECT * FROM (SELECT id AS seq, query_string, repository_id, repository_url, project_url, version,
+  title, description, language, doi, upload_date, '{ts}' AS download_date, download_repository_folder,
+  download_project_folder, CASE WHEN version IS NULL THEN NULL ELSE {S.safe_name('version')} END
+  AS download_version_folder, download_method FROM fx_projects p WHERE {where}) t WHERE {nn}"""
+
+
+_IN_LEDGER = ("EXISTS (SELECT 1 FROM fx_ledger l WHERE l.repository_id = p.repository_id "
+              "AND l.project_url = p.project_url)")
+_PROJECT_PAYLOAD = [c for c in PROJECT_COLS if c not in PROJECT_KEY]
+_MERGE_PROJECTS_SQL = merge_oracle(
+    _project_batch_sql(_IN_LEDGER, RUN_TS_PREVIOUS), _project_batch_sql("TRUE", RUN_TS),
+    PROJECT_KEY, ["seq"], _PROJECT_PAYLOAD, PROJECT_COLS,
+)
+
+
+def merged_projects(spark: SparkSession, d: str) -> DataFrame:
+    p = fx(spark, d, "fx_projects")
+    earlier = p.join(fx(spark, d, "fx_ledger"), PROJECT_KEY, "left_semi")
+    a1 = M.merge_into(None, _project_batch(earlier, RUN_TS_PREVIOUS), PROJECT_KEY, ["seq"], columns=PROJECT_COLS)
+    return M.merge_into(a1, _project_batch(p, RUN_TS), PROJECT_KEY, ["seq"], columns=PROJECT_COLS)
+
+
+@query("merge_projects", oracle=_MERGE_PROJECTS_SQL)
+def merge_projects(spark: SparkSession, d: str) -> DataFrame:
+    return merged_projects(spark, d)
+
+
+def _child_merge(spark: SparkSession, d: str, batch: DataFrame, key: list[str], order: list[str],
+                 columns: list[str]) -> DataFrame:
+    earlier = batch.join(ledger_project_ids(spark, d), "project_id", "left_semi")
+    a1 = M.merge_into(None, earlier, key, order, columns=columns)
+    return M.merge_into(a1, batch, key, order, columns=columns)
+
+
+def _child_oracle(batch_sql: str, key: list[str], order: list[str], payload: list[str], out: list[str]) -> str:
+    b1 = f"SELECT * FROM ({batch_sql}) c WHERE c.project_id IN ({_LEDGER_IDS_SQL})"
+    return merge_oracle(b1, batch_sql, key, order, payload, out)
+
+
+_FILES_BATCH_SQL = f"SELECT project_id, file_name, ord1, ord2, {S.file_ext('file_name')} AS file_type, status FROM fx_files_raw"
+_KEYWORDS_SQL = f"SELECT * FROM (SELECT project_id, {S.strip('keyword')} AS keyword FROM fx_keywords_raw) t WHERE keyword <> ''"
+_PERSONS_SQL = (f"SELECT * FROM (SELECT project_id, {S.strip('name')} AS name, {S.role('role')} AS role "
+                f"FROM fx_persons_raw) t WHERE name <> ''")
+_LICENSES_SQL = (f"SELECT project_id, {S.license('s')} AS license FROM (SELECT project_id, "
+                 f"{S.strip('license')} AS s FROM fx_licenses_raw) t WHERE s <> ''")
+
+
+@query("merge_files", oracle=_child_oracle(_FILES_BATCH_SQL, FILE_KEY, FILE_ORDER, ["file_type", "status"],
+                                           ["project_id", "file_name", "file_type", "status"]))
+def merge_files(spark: SparkSession, d: str) -> DataFrame:
+    raw = fx(spark, d, "fx_files_raw")
+    batch = raw.select("project_id", "file_name", "ord1", "ord2",
+                       file_extension("file_name").alias("file_type"), "status")
+    return _child_merge(spark, d, batch, FILE_KEY, FILE_ORDER, ["project_id", "file_name", "file_type", "status"])
+
+
+@query("merge_keywords", oracle=_child_oracle(_KEYWORDS_SQL, ["project_id", "keyword"], [], [],
+                                              ["project_id", "keyword"]))
+def merge_keywords(spark: SparkSession, d: str) -> DataFrame:
+    batch = M.clean_keywords(fx(spark, d, "fx_keywords_raw"))
+    return _child_merge(spark, d, batch, ["project_id", "keyword"], [], ["project_id", "keyword"])
+
+
+@query("merge_persons", oracle=_child_oracle(_PERSONS_SQL, ["project_id", "name", "role"], [], [],
+                                             ["project_id", "name", "role"]))
+def merge_persons(spark: SparkSession, d: str) -> DataFrame:
+    batch = M.clean_persons(fx(spark, d, "fx_persons_raw"))
+    return _child_merge(spark, d, batch, ["project_id", "name", "role"], [], ["project_id", "name", "role"])
+
+
+@query("merge_licenses", oracle=_child_oracle(_LICENSES_SQL, ["project_id", "license"], [], [],
+                                              ["project_id", "license"]))
+def merge_licenses(spark: SparkSession, d: str) -> DataFrame:
+    batch = M.clean_licenses(fx(spark, d, "fx_licenses_raw"))
+    return _child_merge(spark, d, batch, ["project_id", "license"], [], ["project_id", "license"])
+
+
+@query("assign_ids", oracle=f"""
+WITH led AS (SELECT * FROM fx_projects p WHERE {_IN_LEDGER}),
+a1 AS (SELECT repository_id, project_url, CAST(row_number() OVER (ORDER BY id) AS BIGINT) AS new_id FROM led),
+n2 AS (SELECT * FROM fx_projects p WHERE NOT ({_IN_LEDGER}))
+SELECT repository_id, project_url, new_id FROM a1
+UNION ALL
+SELECT repository_id, project_url,
+  CAST((SELECT coalesce(max(new_id), 0) FROM a1) + row_number() OVER (ORDER BY id) AS BIGINT) AS new_id FROM n2""")
+def assign_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Surrogate ids: the earlier run's rows get 1..n, new rows continue after max(id)."""
+    p = fx(spark, d, "fx_projects").select("id", *PROJECT_KEY)
+    led = fx(spark, d, "fx_ledger")
+    a1 = with_ordinal(p.join(led, PROJECT_KEY, "left_semi"), [F.col("id")], name="new_id")
+    top = M.max_id(a1, "new_id")
+    a2 = with_ordinal(p.join(led, PROJECT_KEY, "left_anti"), [F.col("id")], name="new_id", start=top + 1)
+    return a1.unionByName(a2).select(*PROJECT_KEY, "new_id")
+
+
+# ---------------------------------------------------------------- normalisation (K4, K5)
+
+@query("normalise_roles", oracle=f"""
+SELECT project_id, name, role AS raw_role, {S.role('role')} AS role FROM fx_persons_raw""")
+def normalise_roles(spark: SparkSession, d: str) -> DataFrame:
+    raw = fx(spark, d, "fx_persons_raw")
+    return raw.select("project_id", "name", F.col("role").alias("raw_role"), normalise_role("role").alias("role"))
+
+
+@query("normalise_licenses", oracle=f"""
+SELECT project_id, license AS raw_license, {S.license('license')} AS license FROM fx_licenses_raw""")
+def normalise_licenses(spark: SparkSession, d: str) -> DataFrame:
+    raw = fx(spark, d, "fx_licenses_raw")
+    return raw.select("project_id", F.col("license").alias("raw_license"),
+                      normalise_license("license").alias("license"))
+
+
+# ---------------------------------------------------------------- audits
+
+def _children(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {
+        "files": archive_files(spark, d),
+        "keywords": M.clean_keywords(fx(spark, d, "fx_keywords_raw")).distinct(),
+        "person_role": M.clean_persons(fx(spark, d, "fx_persons_raw")).distinct(),
+        "licenses": M.clean_licenses(fx(spark, d, "fx_licenses_raw")).distinct(),
+    }
+
+
+_CHILD_TABLES_SQL = f"""
+files AS ({_ARCHIVE_FILES_SQL}),
+keywords AS (SELECT DISTINCT * FROM ({_KEYWORDS_SQL}) t),
+person_role AS (SELECT DISTINCT * FROM ({_PERSONS_SQL}) t),
+licenses AS (SELECT DISTINCT * FROM ({_LICENSES_SQL}) t)"""
+
+
+@query("report_table_counts", oracle=f"""
+WITH {_CHILD_TABLES_SQL}
+SELECT 'projects' AS table_name, count(*) AS n_rows FROM fx_projects
+UNION ALL SELECT 'files', count(*) FROM files
+UNION ALL SELECT 'keywords', count(*) FROM keywords
+UNION ALL SELECT 'person_role', count(*) FROM person_role
+UNION ALL SELECT 'licenses', count(*) FROM licenses""")
+def report_table_counts(spark: SparkSession, d: str) -> DataFrame:
+    parts = [fx(spark, d, "fx_projects").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        F.lit("projects").alias("table_name"), "n_rows")]
+    for name, df in _children(spark, d).items():
+        parts.append(df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("fk_orphans", oracle=f"""
+WITH {_CHILD_TABLES_SQL},
+parents AS (SELECT id FROM fx_projects WHERE repository_id = 5),
+o AS (
+  SELECT 'files' AS table_name, project_id FROM files WHERE project_id NOT IN (SELECT id FROM parents)
+  UNION ALL SELECT 'keywords', project_id FROM keywords WHERE project_id NOT IN (SELECT id FROM parents)
+  UNION ALL SELECT 'person_role', project_id FROM person_role WHERE project_id NOT IN (SELECT id FROM parents)
+  UNION ALL SELECT 'licenses', project_id FROM licenses WHERE project_id NOT IN (SELECT id FROM parents))
+SELECT table_name, count(*) AS orphan_rows, count(DISTINCT project_id) AS orphan_projects
+FROM o GROUP BY table_name""")
+def fk_orphans(spark: SparkSession, d: str) -> DataFrame:
+    """Foreign-key audit of the four child tables against a Dataverse-only projects table."""
+    parents = fx(spark, d, "fx_projects").where(F.col("repository_id") == 5).select("id")
+    out = None
+    for name, child in _children(spark, d).items():
+        o = M.orphans(child.select("project_id"), parents).select(F.lit(name).alias("table_name"), "project_id")
+        out = o if out is None else out.unionByName(o)
+    return out.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("orphan_rows"), F.count_distinct("project_id").alias("orphan_projects")
+    )
+
+
+@query("file_project_ids", oracle=f"""
+WITH mp AS ({_MERGE_PROJECTS_SQL}), f AS ({_ARCHIVE_FILES_SQL})
+SELECT mp.id AS project_id, p.project_url, f.file_name, f.file_type, f.status
+FROM f JOIN fx_projects p ON p.id = f.project_id
+JOIN mp ON mp.repository_id = p.repository_id AND mp.project_url = p.project_url""")
+def file_project_ids(spark: SparkSession, d: str) -> DataFrame:
+    """Children carry the incoming project; resolve it to the archive id by natural key."""
+    incoming = fx(spark, d, "fx_projects").select(F.col("id").alias("project_id"), *PROJECT_KEY)
+    archive = merged_projects(spark, d).select(F.col("id").alias("archive_id"), *PROJECT_KEY)
+    files = archive_files(spark, d).join(incoming, "project_id").join(archive, PROJECT_KEY)
+    return files.select(F.col("archive_id").alias("project_id"), "project_url", "file_name", "file_type", "status")
+
+
+@query("file_status_fold", oracle=_ARCHIVE_FILES_SQL)
+def file_status_fold(spark: SparkSession, d: str) -> DataFrame:
+    return archive_files(spark, d)
+
+
+# ---------------------------------------------------------------- source choice, ledger
+
+def source_of(repository_id) -> F.Column:
+    return F.when(repository_id == 16, F.lit("uni_halle")).otherwise(F.lit("dans"))
+
+
+_FX_PROJECT_COLS = ("id, query_string, repository_id, repository_url, project_url, version, title, description, "
+                    "language, doi, upload_date, download_repository_folder, download_project_folder, download_method")
+
+
+@query("select_source", oracle=f"SELECT {_FX_PROJECT_COLS} FROM fx_projects WHERE repository_id = 16")
+def select_source(spark: SparkSession, d: str, source: str = "uni_halle") -> DataFrame:
+    """``--source``: keep one source (``dans``, ``uni_halle``) or ``both``."""
+    p = fx(spark, d, "fx_projects")
+    return p if source == "both" else p.where(source_of(F.col("repository_id")) == source)
+
+
+@query("anti_completed", oracle=f"SELECT {_FX_PROJECT_COLS} FROM fx_projects p WHERE NOT ({_IN_LEDGER})")
+def anti_completed(spark: SparkSession, d: str) -> DataFrame:
+    return fx(spark, d, "fx_projects").join(fx(spark, d, "fx_ledger"), PROJECT_KEY, "left_anti")
+
+
+@query("semi_completed", oracle=f"""
+SELECT repository_id, count(*) AS n_skipped FROM fx_projects p WHERE {_IN_LEDGER} GROUP BY repository_id""")
+def semi_completed(spark: SparkSession, d: str) -> DataFrame:
+    done = fx(spark, d, "fx_projects").join(fx(spark, d, "fx_ledger"), PROJECT_KEY, "left_semi")
+    return done.groupBy("repository_id").agg(F.count(F.lit(1)).alias("n_skipped"))
+
+
+def merged_ledger(spark: SparkSession, d: str) -> DataFrame:
+    led = fx(spark, d, "fx_ledger")
+    done_now = fx(spark, d, "fx_projects").join(led, PROJECT_KEY, "left_anti")
+    return M.ledger_union(led, done_now, PROJECT_KEY)
+
+
+_LEDGER_MERGE_SQL = """SELECT DISTINCT repository_id, project_url FROM (
+  SELECT repository_id, project_url FROM fx_ledger
+  UNION ALL SELECT repository_id, project_url FROM fx_projects) t"""
+
+
+@query("ledger_merge", oracle=_LEDGER_MERGE_SQL)
+def ledger_merge(spark: SparkSession, d: str) -> DataFrame:
+    return merged_ledger(spark, d)
+
+
+@query("report_ledger", oracle=f"""
+SELECT repository_id, count(*) AS completed FROM ({_LEDGER_MERGE_SQL}) t GROUP BY repository_id""")
+def report_ledger(spark: SparkSession, d: str) -> DataFrame:
+    return merged_ledger(spark, d).groupBy("repository_id").agg(F.count(F.lit(1)).alias("completed"))
+
+
+# ---------------------------------------------------------------- registry
+
+def stations(spark: SparkSession) -> DataFrame:
+    rows = [(i, *s) for i, s in enumerate(rules.STATIONS)]
+    schema = ("station_ord int, station_key string, station_repository_id int, station_name string, "
+              "station_url string, api_base string, folder string, access_method string")
+    return spark.createDataFrame(rows, schema)
+
+
+def _stations_values_sql() -> str:
+    def lit(v):
+        return "NULL" if v is None else (str(v) if isinstance(v, int) else S.q(v))
+
+    rows = ", ".join("(" + ", ".join(lit(v) for v in (i, *s)) + ")" for i, s in enumerate(rules.STATIONS))
+    return (f"(VALUES {rows}) AS st(station_ord, station_key, station_repository_id, station_name, "
+            f"station_url, api_base, folder, access_method)")
+
+
+@query("dim_stations", oracle=f"""
+SELECT p.id, st.station_key, st.station_name, st.api_base, st.folder, st.access_method
+FROM fx_projects p JOIN {_stations_values_sql()}
+  ON st.station_ord = CAST(regexp_extract(p.repository_url, '^https://h([0-9]+)\\.example', 1) AS INTEGER)""")
+def dim_stations(spark: SparkSession, d: str) -> DataFrame:
+    """Registry attributes per project: the 5-row registry is broadcast (fixed size)."""
+    p = fx(spark, d, "fx_projects")
+    ordinal = F.regexp_extract("repository_url", r"^https://h([0-9]+)\.example", 1).cast("int")
+    st = F.broadcast(stations(spark))
+    return p.join(st, ordinal == st["station_ord"]).select(
+        "id", "station_key", "station_name", "api_base", "folder", "access_method"
+    )
+
+
+# ---------------------------------------------------------------- progress batches (H5)
+
+@query("progress_batches", oracle=f"""
+SELECT id, repository_id, ordinal, CAST((ordinal - 1) // {rules.PROGRESS_SAVE_INTERVAL} AS BIGINT) AS batch_no
+FROM (SELECT id, repository_id, CAST(row_number() OVER (PARTITION BY repository_id ORDER BY id) AS BIGINT) AS ordinal
+      FROM fx_projects p WHERE NOT ({_IN_LEDGER})) t""")
+def progress_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Position of each pending project in its source's run and its save batch of 25.
+
+    One global range-partitioned ordinal over (source, id), minus the first
+    ordinal of the source (a tiny per-source aggregate), so no source is a
+    single window task.
+    """
+    pending = anti_completed(spark, d).select("id", "repository_id")
+    g = with_ordinal(pending, [F.col("repository_id"), F.col("id")], name="_g")
+    first = g.groupBy("repository_id").agg(F.min("_g").alias("_g0"))
+    out = g.join(F.broadcast(first), "repository_id").withColumn("ordinal", (F.col("_g") - F.col("_g0") + 1))
+    return out.select("id", "repository_id", "ordinal",
+                      F.floor((F.col("ordinal") - 1) / rules.PROGRESS_SAVE_INTERVAL).cast("bigint").alias("batch_no"))
