@@ -1,4 +1,4 @@
 """Named query plans. Importing this package registers every query."""
 
-from . import archive  # noqa: F401
+from . import archive, reports  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
