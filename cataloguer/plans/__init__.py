@@ -1,4 +1,4 @@
 """Named query plans. Importing this package registers every query."""
 
-from . import archive, harvest, reports  # noqa: F401
+from . import archive, harvest, reports, texts  # noqa: F401
 from .registry import ORACLES, QUERIES  # noqa: F401
