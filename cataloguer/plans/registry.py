@@ -12,6 +12,7 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
+ORACLE_TEXT: dict[str, str] = {}  # before the fixture CTEs are added
 
 # One timestamp per run (K7): passed in, never computed per row, so jobs repeat.
 RUN_TS = "2026-01-01T00:00:00+00:00"
@@ -26,6 +27,7 @@ def query(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
         if oracle is not None:
+            ORACLE_TEXT[name] = oracle
             ORACLES[name] = with_fixtures(oracle)
         return fn
 
