@@ -13,6 +13,9 @@ BASE_TABLES = [
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 ]
 
+# Text-bearing tables are never spread: their big columns must not enter a shuffle.
+TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+
 _registered: dict[int, str] = {}
 
 
@@ -22,12 +25,28 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     if _registered.get(key) == sf_dir and spark.catalog.tableExists("fx_projects"):
         return
     for t in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet").createOrReplaceTempView(t)
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{t}.parquet")
+        (df if t in TEXT_TABLES else spread(df)).createOrReplaceTempView(t)
     for name, sql in VIEWS.items():
         spark.sql(sql).createOrReplaceTempView(name)
     _registered[key] = sf_dir
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread an under-split scan over the cluster's task slots.
+
+    A Parquet file with a single row group is read by one task however large it
+    is, so every per-row expression after it (JSON/XML parsing, regex over text)
+    would run on one core. When the scan yields fewer partitions than the
+    default parallelism, a round-robin repartition right after the scan fixes
+    that; on a large table split into many row groups this is a no-op.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     register(spark, sf_dir)
     return spark.table(name)
