@@ -1,14 +1,11 @@
-"""CSV export (B1, B2) and the versioned archive store.
+"""CSV export (B1, B2).
 
 CSV follows the original export: a header row, minimal quoting with doubled
 quotes, NULL written as an empty field (so NULL and ``''`` read back the same),
 no trimming. Files are Spark part files in a folder per table, written in
 parallel; nothing is gathered on the driver.
 
-Parquet cannot be overwritten while it is being read, so an archive update
-writes version ``n+1`` next to version ``n`` and then moves a small pointer
-file (``_CURRENT``) - readers follow the pointer. Paths go through the Hadoop
-FileSystem API, so the same code runs on HDFS, S3 or ABFS.
+The versioned archive store lives in ``cataloguer.sources.store``.
 """
 
 from __future__ import annotations
@@ -17,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import scratch_path
+from ..sources.store import current_version, read_current, version_path, write_version  # noqa: F401
 from .archive import fx
 from .registry import query
 
@@ -47,57 +45,6 @@ def export_all(tables: dict[str, DataFrame], out_dir: str, mode: str = "errorife
     return paths
 
 
-# ---------------------------------------------------------------- versioned store
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def current_version(spark: SparkSession, base: str, table: str) -> int:
-    """Version number the pointer names; 0 when the table has never been written."""
-    fs, p, _ = _fs(spark, f"{base.rstrip('/')}/{table}/_CURRENT")
-    if not fs.exists(p):
-        return 0
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
-
-
-def version_path(base: str, table: str, version: int) -> str:
-    return f"{base.rstrip('/')}/{table}/v{version}"
-
-
-def write_version(spark: SparkSession, df: DataFrame, base: str, table: str) -> int:
-    """Write ``df`` as the next version, then switch the pointer to it."""
-    nxt = current_version(spark, base, table) + 1
-    df.write.mode("errorifexists").parquet(version_path(base, table, nxt))
-    fs, tmp, jvm = _fs(spark, f"{base.rstrip('/')}/{table}/_CURRENT.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(f"{nxt}\n".encode()))
-    finally:
-        out.close()
-    final = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{table}/_CURRENT")
-    fs.delete(final, False)
-    fs.rename(tmp, final)
-    return nxt
-
-
-def read_current(spark: SparkSession, base: str, table: str, schema: T.StructType | str | None = None) -> DataFrame | None:
-    v = current_version(spark, base, table)
-    if v == 0:
-        return None
-    r = spark.read
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(version_path(base, table, v))
-
-
 # ---------------------------------------------------------------- query
 
 FX_PROJECTS_SCHEMA = (

@@ -22,11 +22,14 @@ API_BASE = rules.STATIONS[0][4]
 def landed_search_pages(spark: SparkSession, d: str) -> DataFrame:
     """Search-API pages as landed JSON text, one per (station, term, start) of ``fx_hits``.
 
-    Pages hold about 20 items, so ``collect_list`` per page is bounded.
+    Items carry the hit's id, its fixture position and a name / landing URL made
+    from the id. Pages hold about 20 items, so ``collect_list`` per page is bounded.
     """
     hits = fx(spark, d, "fx_hits")
     totals = hits.groupBy("station_ord", "keyword_ord").agg(F.count(F.lit(1)).alias("total_count"))
-    pages = hits.groupBy(*DV.LANDING_COLS).agg(F.sort_array(F.collect_list(F.struct("pos", "global_id"))).alias("items"))
+    item = F.struct("pos", "global_id", F.concat(F.lit("Dataset "), "global_id").alias("name"),
+                    F.concat(F.lit("https://doi.org/"), F.substring("global_id", 5, 1 << 20)).alias("url"))
+    pages = hits.groupBy(*DV.LANDING_COLS).agg(F.sort_array(F.collect_list(item)).alias("items"))
     body = F.struct(F.struct("total_count", "items").alias("data"))
     return pages.join(totals, ["station_ord", "keyword_ord"]).select(*DV.LANDING_COLS, F.to_json(body).alias("payload"))
 

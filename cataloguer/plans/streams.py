@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import merge as M
-from ..plans.export import read_current
+from ..sources.store import read_current
 from ..session import scratch_path
 from ..streaming.incremental import merge_stream, run_until_drained
 from .archive import _KEYWORDS_SQL, _child_oracle, fx, ledger_project_ids

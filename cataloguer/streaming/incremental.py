@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import merge_into
-from ..plans.export import read_current, write_version
+from ..sources.store import read_current, write_version
 
 
 def merge_stream(spark: SparkSession, source: str, schema: str, archive_base: str, table: str,
