@@ -13,6 +13,7 @@ from ..sources import dataverse as DV
 from . import sqltext as S
 from .archive import fx
 from .registry import query
+from ..functions.arrays import explode_rows
 
 API_BASE = rules.STATIONS[0][4]
 
@@ -169,7 +170,7 @@ def dataset_files(spark: SparkSession, d: str) -> DataFrame:
 @query("dataset_keywords", oracle="""
 SELECT ds, keyword FROM fx_dataset UNION ALL SELECT ds, subject AS keyword FROM fx_dataset""")
 def dataset_keywords(spark: SparkSession, d: str) -> DataFrame:
-    return details(spark, d).select("ds", F.explode(DV.keywords()).alias("keyword"))
+    return explode_rows(details(spark, d), DV.keywords(), ["ds"], "keyword")
 
 
 @query("dataset_license", oracle="SELECT ds, license FROM fx_dataset WHERE license IS NOT NULL")

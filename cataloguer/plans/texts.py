@@ -13,6 +13,7 @@ from ..sources import disk, html, oai
 from . import sqltext as S
 from .archive import fx
 from .registry import query
+from ..functions.arrays import explode_rows
 
 # ---------------------------------------------------------------- OAI records
 
@@ -90,7 +91,7 @@ def record_persons(spark: SparkSession, d: str) -> DataFrame:
         F.transform(creators, lambda n: F.struct(n.alias("name"), F.lit("AUTHOR").alias("raw_role"))),
         F.transform(contributors, lambda n: F.struct(n.alias("name"), F.lit("CONTRIBUTOR").alias("raw_role"))),
     )
-    x = k.select("rec", F.explode(tagged).alias("p"))
+    x = explode_rows(k, tagged, ["rec"], "p")
     return x.select("rec", "p.name", "p.raw_role", normalise_role("p.raw_role").alias("role"))
 
 
@@ -149,7 +150,7 @@ def src_html_links(spark: SparkSession, d: str) -> DataFrame:
     """Distinct bitstream link paths per item page, in page order."""
     p = fx(spark, d, "fx_pages")
     links = html.bitstream_links(F.col("html"), F.col("http_status"))
-    return p.select("page_id", F.posexplode(links).alias("link_index", "path"))
+    return explode_rows(p, links, ["page_id"], "path", pos="link_index")
 
 
 @query("page_files", oracle=_files_sql(_FX_PAGES, placeholder=False))
@@ -195,7 +196,7 @@ def license_lines_documents(spark: SparkSession, d: str) -> DataFrame:
     other lines are never exploded into rows.
     """
     docs = fx(spark, d, "documents")
-    lines = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(LICENSE_LINE_RE), 0)).alias("line"))
+    lines = explode_rows(docs, F.regexp_extract_all("text", F.lit(LICENSE_LINE_RE), 0), ["doc_id"], "line")
     s = lines.select("doc_id", py_strip("line").alias("license_line")).where(F.col("license_line") != "")
     return s.select("doc_id", "license_line", normalise_license("license_line").alias("license"))
 

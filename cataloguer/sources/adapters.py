@@ -22,6 +22,7 @@ from ..operators.dedup import first_hit_per_station
 from ..operators.ordering import with_ordinal
 from . import dataverse as DV
 from . import html, oai
+from ..functions.arrays import explode_rows
 
 KEY = ["repository_id", "project_url"]
 
@@ -100,10 +101,10 @@ def dataverse(hits: DataFrame, details: DataFrame, order: tuple[str, ...] = ("ke
                          F.col("file_size").alias("size"), "restricted",
                          F.concat_ws("/", "download_repository_folder", "download_project_folder",
                                      "download_version_folder", "file_name").alias("local_path"))
-    keywords = base.select(*KEY, F.posexplode(DV.keywords()).alias("pos", "keyword"))
-    persons = base.select(*KEY, F.explode(DV.authors()).alias("name"), F.lit("AUTHOR").alias("role"))
+    keywords = explode_rows(base, DV.keywords(), KEY, "keyword")
+    persons = explode_rows(base, DV.authors(), KEY, "name").withColumn("role", F.lit("AUTHOR"))
     licenses = base.select(*KEY, DV.license_value().alias("license")).where(F.col("license").isNotNull())
-    return SourceTables("dans", projects, files, keywords.drop("pos"), persons, licenses)
+    return SourceTables("dans", projects, files, keywords, persons, licenses)
 
 
 def oai_records(records: DataFrame, item_pages: DataFrame, order: tuple[str, ...] = ("page_no", "record_index"),
@@ -139,12 +140,12 @@ def oai_records(records: DataFrame, item_pages: DataFrame, order: tuple[str, ...
         F.when(F.col("file_name").isNotNull(), F.concat_ws("/", "download_repository_folder", "download_project_folder",
                                                            "file_name")).alias("local_path"),
     )
-    keywords = rows.select(*KEY, F.explode("subjects").alias("keyword"))
-    persons = rows.select(*KEY, F.explode(F.concat(
+    keywords = explode_rows(rows, F.col("subjects"), KEY, "keyword")
+    persons = explode_rows(rows, F.concat(
         F.transform("creators", lambda n: F.struct(n.alias("name"), F.lit("AUTHOR").alias("role"))),
         F.transform("contributors", lambda n: F.struct(n.alias("name"), F.lit("CONTRIBUTOR").alias("role"))),
-    )).alias("p")).select(*KEY, "p.name", "p.role")
-    licenses = rows.select(*KEY, F.explode("rights").alias("license"))
+    ), KEY, "p").select(*KEY, "p.name", "p.role")
+    licenses = explode_rows(rows, F.col("rights"), KEY, "license")
     return SourceTables("uni_halle", projects, files, keywords, persons, licenses)
 
 

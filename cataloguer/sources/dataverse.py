@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, file_extension, safe_name
+from ..functions.arrays import explode_rows
 
 SEARCH_ITEM = "struct<global_id: string, name: string, url: string, published_at: string, pos: bigint>"
 SEARCH_PAGE_SCHEMA = f"data struct<total_count: bigint, items: array<{SEARCH_ITEM}>>"
@@ -29,18 +30,17 @@ FILES_T = ("array<struct<restricted: boolean, dataFile: struct<id: bigint, filen
 def search_hits(pages: DataFrame, payload: str = "payload", landing: list[str] = LANDING_COLS) -> DataFrame:
     """One row per hit of each landed search page, with its position in the page."""
     parsed = pages.select(*landing, F.from_json(F.col(payload), SEARCH_PAGE_SCHEMA).alias("_p"))
-    return parsed.select(
-        *landing, F.col("_p.data.total_count").alias("total_count"),
-        F.posexplode(F.col("_p.data.items")).alias("item_index", "item"),
-    ).select(*landing, "total_count", "item_index", "item.*")
+    parsed = parsed.select(*landing, F.col("_p.data.total_count").alias("total_count"), F.col("_p.data.items").alias("_i"))
+    out = explode_rows(parsed, F.col("_i"), [*landing, "total_count"], "item", pos="item_index")
+    return out.select(*landing, "total_count", "item_index", "item.*")
 
 
 def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
     """Landed JSON-lines search pages: request parameters plus the API body."""
     schema = f"station_ord int, keyword_ord int, keyword string, start bigint, {SEARCH_PAGE_SCHEMA}"
     raw = spark.read.schema(schema).json(path)
-    return raw.select(*LANDING_COLS, "keyword", F.posexplode("data.items").alias("item_index", "item")).select(
-        *LANDING_COLS, "keyword", "item_index", "item.*")
+    out = explode_rows(raw, F.col("data.items"), [*LANDING_COLS, "keyword"], "item", pos="item_index")
+    return out.select(*LANDING_COLS, "keyword", "item_index", "item.*")
 
 
 # ---------------------------------------------------------------- dataset details (A2)
@@ -124,7 +124,7 @@ def license_value(lic="license_v") -> Column:
 def dataset_files(details: DataFrame, api_base: Column | str, keep: list[str]) -> DataFrame:
     """One row per listed file: name (fallback ``file_{id}``), type, size, URL, restricted flag."""
     api = F.lit(api_base) if isinstance(api_base, str) else api_base
-    x = details.select(*keep, F.posexplode("files").alias("file_index", "f"))
+    x = explode_rows(details, F.col("files"), keep, "f", pos="file_index")
     fid = F.col("f.dataFile.id")
     name = F.coalesce(F.col("f.dataFile.filename"), F.concat(F.lit("file_"), F.coalesce(fid.cast("string"), F.lit("None"))))
     return x.select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import contains_any, file_extension
+from ..functions.arrays import explode_rows
 
 BASE_URL = rules.STATIONS[4][3]
 
@@ -46,8 +47,10 @@ def page_files(pages: DataFrame, keep: list[str], html: str = "html", status: st
     """One row per file of each page; a page without files gives the placeholder row."""
     files = files_of_links(data_links(bitstream_links(F.col(html), F.col(status))))
     x = pages.select(*keep, files.alias("_files"))
-    gen = F.posexplode_outer("_files") if placeholder else F.posexplode("_files")
-    x = x.select(*keep, gen.alias("file_index", "_f"))
+    if placeholder:
+        x = x.select(*keep, F.posexplode_outer("_files").alias("file_index", "_f"))
+    else:
+        x = explode_rows(x, F.col("_files"), keep, "_f", pos="file_index")
     name = F.coalesce(F.col("_f.file_name"), F.lit(rules.PLACEHOLDER_FILE_NAME))
     ftype = F.when(F.col("_f").isNull(), F.lit(rules.PLACEHOLDER_FILE_TYPE)).otherwise(file_extension(name))
     url = F.when(F.col("_f").isNotNull(), F.concat(F.lit(BASE_URL.rstrip("/")), F.col("_f.path")))

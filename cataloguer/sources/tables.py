@@ -41,6 +41,8 @@ def spread(df: DataFrame) -> DataFrame:
     default parallelism, a round-robin repartition right after the scan fixes
     that; on a large table split into many row groups this is a no-op.
     """
+    if df.sparkSession.conf.get("cataloguer.spreadScans", "true") != "true":
+        return df
     target = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < target:
         return df.repartition(target)
