@@ -30,6 +30,7 @@ def local_session(cpus: int | str = "*", app: str = "cataloguer", shuffle_partit
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CATALOGUER_DRIVER_MEMORY", "12g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
