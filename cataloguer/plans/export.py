@@ -5,7 +5,7 @@ quotes, NULL written as an empty field (so NULL and ``''`` read back the same),
 no trimming. Files are Spark part files in a folder per table, written in
 parallel; nothing is gathered on the driver.
 
-The versioned archive store lives in ``cataloguer.sources.store``.
+The versioned archive store (B4) lives in ``cataloguer.sources.store``.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from ..sources.store import current_version, read_current, version_path, write_version  # noqa: F401
 from .archive import fx
 from .registry import query
 

@@ -8,7 +8,7 @@ from ..operators import merge as M
 from ..sources.store import read_current
 from ..session import scratch_path
 from ..streaming.incremental import merge_stream, run_until_drained
-from .archive import _KEYWORDS_SQL, _child_oracle, fx, ledger_project_ids
+from .archive import fx, ledger_project_ids
 from .registry import ORACLE_TEXT, query
 
 KEY = ["project_id", "keyword"]
@@ -34,5 +34,3 @@ def stream_merge_keywords(spark: SparkSession, d: str) -> DataFrame:
         run_until_drained(q)
     return read_current(spark, archive, "keywords")
 
-
-__all__ = ["stream_merge_keywords", "_child_oracle", "_KEYWORDS_SQL"]

@@ -35,10 +35,18 @@ def version_path(base: str, table: str, version: int) -> str:
     return f"{base.rstrip('/')}/{table}/v{version}"
 
 
-def write_version(spark: SparkSession, df: DataFrame, base: str, table: str) -> int:
-    """Write ``df`` as the next version, then switch the pointer to it."""
+def write_version(spark: SparkSession, df: DataFrame, base: str, table: str,
+                  partition_by: list[str] | None = None) -> int:
+    """Write ``df`` as the next version, then switch the pointer to it.
+
+    ``partition_by`` (e.g. ``["source"]``) lays the version out in folders per
+    value, so a filter on that column prunes whole folders at read time.
+    """
     nxt = current_version(spark, base, table) + 1
-    df.write.mode("errorifexists").parquet(version_path(base, table, nxt))
+    w = df.write.mode("errorifexists")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(version_path(base, table, nxt))
     fs, tmp, jvm = _fs(spark, f"{base.rstrip('/')}/{table}/_CURRENT.tmp")
     out = fs.create(tmp, True)
     try:

@@ -106,3 +106,18 @@ def test_disk_usage_excludes_tmp(spark, tmp_path):
     (tmp_path / "z.TMP").write_bytes(b"12")
     row = disk.disk_usage(spark, str(tmp_path)).first()
     assert row["n_files"] == 2 and row["total_bytes"] == 7
+
+
+def test_versioned_store_partition_pruning(spark):
+    from cataloguer.session import scratch_path
+    from cataloguer.sources.store import current_version, read_current, write_version
+
+    base = scratch_path(spark, "t-store")
+    df = spark.createDataFrame([(1, "dans"), (2, "uni_halle"), (3, "dans")], "id long, source string")
+    assert write_version(spark, df, base, "projects", partition_by=["source"]) == 1
+    assert write_version(spark, df.where("id > 1"), base, "projects", partition_by=["source"]) == 2
+    assert current_version(spark, base, "projects") == 2
+    cur = read_current(spark, base, "projects").where(F.col("source") == "uni_halle")
+    plan = cur._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(source" in plan and "uni_halle" in plan
+    assert [r["id"] for r in cur.collect()] == [2]
