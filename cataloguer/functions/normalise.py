@@ -30,7 +30,7 @@ def normalise_license(c) -> Column:
     value, and plain substrings also hit inside longer words.
     """
     raw = _col(c)
-    s = py_strip(F.regexp_replace(F.lower(raw), r"/+\z", ""))
+    s = py_strip(F.rtrim(F.lower(raw), F.lit("/")))
     out = None
     for kind, pattern, label in rules.license_rules():
         cond = s.startswith(pattern) if kind == "prefix" else s.contains(pattern)
