@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import rules
 from ..archive_run import run_harvest
 from ..operators.dedup import first_hit_per_station
 from ..session import scratch_path
 from ..sources import adapters, oai
 from ..sources import dataverse as DV
+from . import sqltext as S
 from .archive import fx, projects_full_df
 from .harvest import landed_search_pages
 from .registry import RUN_TS, query
@@ -58,3 +60,79 @@ def harvest_run_export(spark: SparkSession, d: str) -> DataFrame:
     li = agg(res.licenses, F.col("license"), "licenses")
     files = res.files.select("project_id", "file_name", "file_type", "status")
     return projects_full_df(res.projects, files, kw, pr, li)
+
+
+# ---------------------------------------------------------------- adapter outputs (M1), with oracles
+
+_PROJECT_OUT = ["seq", "source", "repository_id", "project_url", "query_string", "repository_url", "version",
+                "title", "description", "language", "doi", "upload_date", "download_repository_folder",
+                "download_project_folder", "download_version_folder", "download_method", "has_qda"]
+
+
+def _station_case(col: str, idx: int) -> str:
+    whens = " ".join(f"WHEN {i} THEN {S.q(s[idx])}" for i, s in enumerate(rules.STATIONS))
+    return f"(CASE {col} {whens} END)"
+
+
+_TERMS = "[" + ", ".join(S.q(t) for t in rules.SEARCH_TERMS) + "]"
+
+_DV_PROJECTS_SQL = f"""
+WITH h AS (SELECT station_ord, keyword_ord, start, global_id,
+             CAST(row_number() OVER (PARTITION BY station_ord, keyword_ord, start ORDER BY pos, global_id) - 1
+                  AS INTEGER) AS item_index
+           FROM fx_hits),
+fh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_ord, global_id
+                                                   ORDER BY keyword_ord, start, item_index) AS rn
+                      FROM h WHERE coalesce(global_id, '') <> '') t WHERE rn = 1),
+v AS (SELECT fh.station_ord, fh.keyword_ord, fh.start, fh.item_index, fh.global_id, d.version, d.language,
+             d.description, d.n_files = 1 AS has_qda
+      FROM fh JOIN fx_dataset d ON fh.global_id = 'doi:10.1/' || CAST(d.ds AS VARCHAR) WHERE d.n_files > 0),
+o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY station_ord, keyword_ord, start,
+                                                  item_index) AS rn FROM v) t WHERE rn = 1)
+SELECT CAST(row_number() OVER (ORDER BY station_ord, NOT has_qda, keyword_ord, start, item_index, global_id) AS BIGINT)
+         AS seq,
+  {_station_case('station_ord', 2)} AS source, 5 AS repository_id,
+  'https://doi.org/' || substring(global_id, 5) AS project_url,
+  {_TERMS}[keyword_ord] AS query_string, {_station_case('station_ord', 3)} AS repository_url, version,
+  'Dataset ' || global_id AS title, description, language, global_id AS doi, CAST(NULL AS VARCHAR) AS upload_date,
+  'DANS' AS download_repository_folder,
+  {S.safe_name("replace(replace(global_id, ':', '_'), '/', '_') || '_' || 'Dataset ' || global_id")}
+    AS download_project_folder,
+  CASE WHEN version IS NULL THEN NULL ELSE {S.safe_name('version')} END AS download_version_folder,
+  'API-CALL' AS download_method, has_qda
+FROM o"""
+
+
+@query("adapter_dataverse_projects", oracle=_DV_PROJECTS_SQL)
+def adapter_dataverse_projects(spark: SparkSession, d: str) -> DataFrame:
+    """Project rows of the Dataverse adapter over landed search pages and details (M1, C17, I4)."""
+    return dataverse_source(spark, d).projects.select(*_PROJECT_OUT)
+
+
+_OAI_KEPT = "SELECT * FROM fx_oai WHERE NOT deleted AND NOT no_dc"
+_OAI_T = f"coalesce(nullif({S.strip('title')}, ''), 'untitled')"
+_OAI_IDS = "[x FOR x IN [ident1, ident2, ident3] IF x <> '']"
+_OAI_PROJECTS_SQL = f"""
+WITH k AS (SELECT *, {_OAI_T} AS t,
+             coalesce(list_filter({_OAI_IDS}, lambda x: contains(x, 'doi.org'))[-1],
+                      list_filter({_OAI_IDS}, lambda x: NOT contains(x, 'doi.org')
+                                  AND NOT contains(x, 'opendata.uni-halle.de/handle') AND starts_with(x, 'http'))[1])
+               AS doi_v,
+             list_filter({_OAI_IDS}, lambda x: NOT contains(x, 'doi.org')
+                         AND contains(x, 'opendata.uni-halle.de/handle'))[-1] AS handle_v
+           FROM ({_OAI_KEPT}) x),
+q AS (SELECT * FROM k WHERE {S.contains_any(f"lower(t || ' ' || {S.strip('description')} || ' ' || {S.strip('subject')} || ' ' || '')", rules.QDA_HINTS)})
+SELECT CAST(row_number() OVER (ORDER BY rec // 100, rec % 100) AS BIGINT) AS seq, 'uni_halle' AS source,
+  16 AS repository_id, coalesce(handle_v, doi_v, oai_id) AS project_url, '{rules.OAI_QUERY_STRING}' AS query_string,
+  '{rules.STATIONS[4][3]}' AS repository_url, CAST(NULL AS VARCHAR) AS version, t AS title,
+  nullif({S.strip('description')}, '') AS description, CAST(NULL AS VARCHAR) AS language, doi_v AS doi,
+  CAST(NULL AS VARCHAR) AS upload_date, 'opendata' AS download_repository_folder,
+  {S.safe_name("replace(regexp_extract(oai_id, '[^:]*$'), '/', '_') || '_' || t")} AS download_project_folder,
+  CAST(NULL AS VARCHAR) AS download_version_folder, 'SCRAPING' AS download_method, CAST(NULL AS BOOLEAN) AS has_qda
+FROM q"""
+
+
+@query("adapter_oai_projects", oracle=_OAI_PROJECTS_SQL)
+def adapter_oai_projects(spark: SparkSession, d: str) -> DataFrame:
+    """Project rows of the OAI adapter: kept, hint-filtered records in harvest order."""
+    return oai_source(spark, d).projects.select(*_PROJECT_OUT)
