@@ -9,7 +9,7 @@ from .. import rules
 from ..archive_run import run_harvest
 from ..operators.dedup import first_hit_per_station
 from ..session import scratch_path
-from ..sources import adapters, oai
+from ..sources import adapters, html, oai
 from ..sources import dataverse as DV
 from . import sqltext as S
 from .archive import fx, projects_full_df
@@ -38,8 +38,10 @@ def oai_source(spark: SparkSession, d: str) -> adapters.SourceTables:
     page_url = F.coalesce(F.nullif(F.col("handle"), F.lit("")), F.col("project_url"))
     # one landed page per distinct URL (several records may share a URL; they share its page)
     urls = rows.groupBy(page_url.alias("page_url")).agg(F.min("rec").alias("page_id"))
-    pages = fx(spark, d, "fx_pages").select("page_id", "http_status", "html").join(urls, "page_id")
-    return adapters.oai_records(recs, pages.select("page_url", "http_status", "html"))
+    # links are extracted on the page rows; only the narrow file rows meet the URLs (html never shuffles)
+    files = html.page_files(fx(spark, d, "fx_pages"), keep=["page_id"], placeholder=False)
+    files = files.join(urls, "page_id").drop("page_id")
+    return adapters.oai_records(recs, page_files=files)
 
 
 @query("harvest_run_export")

@@ -107,12 +107,15 @@ def dataverse(hits: DataFrame, details: DataFrame, order: tuple[str, ...] = ("ke
     return SourceTables("dans", projects, files, keywords, persons, licenses)
 
 
-def oai_records(records: DataFrame, item_pages: DataFrame, order: tuple[str, ...] = ("page_no", "record_index"),
-                ) -> SourceTables:
+def oai_records(records: DataFrame, item_pages: DataFrame | None = None,
+                order: tuple[str, ...] = ("page_no", "record_index"),
+                page_files: DataFrame | None = None) -> SourceTables:
     """OAI-PMH source: hint-filtered records, files from their item pages.
 
     ``records``: ``parse_records``/``read_records`` output plus the arrival
-    columns in ``order``; ``item_pages``: ``page_url, http_status, html``.
+    columns in ``order``; ``item_pages``: ``page_url, http_status, html``, or
+    ``page_files``: ``html.page_files(..., placeholder=False)`` rows already keyed
+    by ``page_url``.
     """
     order = list(order)
     rows = oai.project_rows(records, keep=order).where("has_qda_hint")
@@ -127,7 +130,8 @@ def oai_records(records: DataFrame, item_pages: DataFrame, order: tuple[str, ...
     )
     # Files are extracted on the page rows (html stays in its scan task); only the
     # narrow file rows are joined to the projects by the page URL.
-    page_files = html.page_files(item_pages, keep=["page_url"], placeholder=False)
+    if page_files is None:
+        page_files = html.page_files(item_pages, keep=["page_url"], placeholder=False)
     want = rows.select("seq", *KEY, "download_repository_folder", "download_project_folder",
                        F.coalesce(blank_to_null(F.col("handle")), F.col("project_url")).alias("page_url"))
     files = want.join(page_files, "page_url", "left")
