@@ -72,14 +72,14 @@ _PROJECT_OUT = ["seq", "source", "repository_id", "project_url", "query_string",
 
 
 def _station_case(col: str, idx: int) -> str:
-    whens = " ".join(f"WHEN {i} THEN {S.q(s[idx])}" for i, s in enumerate(rules.STATIONS))
+    whens = " ".join(f"WHEN {i} THEN {'NULL' if s[idx] is None else S.q(s[idx])}" for i, s in enumerate(rules.STATIONS))
     return f"(CASE {col} {whens} END)"
 
 
 _TERMS = "[" + ", ".join(S.q(t) for t in rules.SEARCH_TERMS) + "]"
 
-_DV_PROJECTS_SQL = f"""
-WITH h AS (SELECT station_ord, keyword_ord, start, global_id,
+_DV_OWNERS = f"""
+h AS (SELECT station_ord, keyword_ord, start, global_id,
              CAST(row_number() OVER (PARTITION BY station_ord, keyword_ord, start ORDER BY pos, global_id) - 1
                   AS INTEGER) AS item_index
            FROM fx_hits),
@@ -87,22 +87,37 @@ fh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_ord, glo
                                                    ORDER BY keyword_ord, start, item_index) AS rn
                       FROM h WHERE coalesce(global_id, '') <> '') t WHERE rn = 1),
 v AS (SELECT fh.station_ord, fh.keyword_ord, fh.start, fh.item_index, fh.global_id, d.version, d.language,
-             d.description, d.n_files = 1 AS has_qda
+             d.description, d.n_files, d.n_files = 1 AS has_qda
       FROM fh JOIN fx_dataset d ON fh.global_id = 'doi:10.1/' || CAST(d.ds AS VARCHAR) WHERE d.n_files > 0),
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY station_ord, keyword_ord, start,
-                                                  item_index) AS rn FROM v) t WHERE rn = 1)
-SELECT CAST(row_number() OVER (ORDER BY station_ord, NOT has_qda, keyword_ord, start, item_index, global_id) AS BIGINT)
-         AS seq,
-  {_station_case('station_ord', 2)} AS source, 5 AS repository_id,
-  'https://doi.org/' || substring(global_id, 5) AS project_url,
+                                                  item_index) AS rn FROM v) t WHERE rn = 1),
+p AS (SELECT *, CAST(row_number() OVER (ORDER BY station_ord, NOT has_qda, keyword_ord, start, item_index, global_id)
+                     AS BIGINT) AS seq,
+        'https://doi.org/' || substring(global_id, 5) AS project_url,
+        {S.safe_name("replace(replace(global_id, ':', '_'), '/', '_') || '_' || 'Dataset ' || global_id")}
+          AS download_project_folder,
+        CASE WHEN version IS NULL THEN NULL ELSE {S.safe_name('version')} END AS download_version_folder
+      FROM o)"""
+
+_DV_PROJECTS_SQL = f"""
+WITH {_DV_OWNERS}
+SELECT seq, {_station_case('station_ord', 2)} AS source, 5 AS repository_id, project_url,
   {_TERMS}[keyword_ord] AS query_string, {_station_case('station_ord', 3)} AS repository_url, version,
   'Dataset ' || global_id AS title, description, language, global_id AS doi, CAST(NULL AS VARCHAR) AS upload_date,
-  'DANS' AS download_repository_folder,
-  {S.safe_name("replace(replace(global_id, ':', '_'), '/', '_') || '_' || 'Dataset ' || global_id")}
-    AS download_project_folder,
-  CASE WHEN version IS NULL THEN NULL ELSE {S.safe_name('version')} END AS download_version_folder,
+  'DANS' AS download_repository_folder, download_project_folder, download_version_folder,
   'API-CALL' AS download_method, has_qda
-FROM o"""
+FROM p"""
+
+_DV_FILES_SQL = f"""
+WITH {_DV_OWNERS},
+f AS (SELECT 1 AS n_files, 0 AS file_index, CAST(1 AS BIGINT) AS file_id, 'a.qdpx' AS file_name, 'qdpx' AS file_type,
+        CAST(10 AS BIGINT) AS size, true AS restricted
+      UNION ALL SELECT 2, 0, 1, 'a.PDF', 'pdf', 10, true
+      UNION ALL SELECT 2, 1, 2, 'file_2', '', NULL, false)
+SELECT p.seq, 5 AS repository_id, p.project_url, f.file_index, f.file_name, f.file_type,
+  {_station_case('p.station_ord', 4)} || '/access/datafile/' || CAST(f.file_id AS VARCHAR) AS file_url, f.size,
+  f.restricted, concat_ws('/', 'DANS', p.download_project_folder, p.download_version_folder, f.file_name) AS local_path
+FROM p JOIN f ON f.n_files = p.n_files"""
 
 
 @query("adapter_dataverse_projects", oracle=_DV_PROJECTS_SQL)
@@ -138,3 +153,11 @@ FROM q"""
 def adapter_oai_projects(spark: SparkSession, d: str) -> DataFrame:
     """Project rows of the OAI adapter: kept, hint-filtered records in harvest order."""
     return oai_source(spark, d).projects.select(*_PROJECT_OUT)
+
+
+@query("adapter_dataverse_files", oracle=_DV_FILES_SQL)
+def adapter_dataverse_files(spark: SparkSession, d: str) -> DataFrame:
+    """File rows of the Dataverse adapter: per project's owning station, with local paths."""
+    return dataverse_source(spark, d).files.select(
+        "seq", "repository_id", "project_url", "file_index", "file_name", "file_type", "file_url", "size",
+        "restricted", "local_path")

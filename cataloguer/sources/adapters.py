@@ -65,13 +65,18 @@ def dataverse(hits: DataFrame, details: DataFrame, order: tuple[str, ...] = ("ke
     first = first_hit_per_station(hits, order=order + item)
     det = DV.parse_details(details, keep=["station_ord", "global_id"])
     has_qda = F.exists("files", lambda f: file_class(F.coalesce(f["dataFile"]["filename"], F.lit(""))) == "qda")
-    valid = det.where(F.size("files") > 0).select("station_ord", "global_id", has_qda.alias("has_qda"))
+    detail_cols = ["version_major", "version_minor", "release_time", "license_v", "fields", "files"]
+    valid = det.where(F.size("files") > 0).withColumn("has_qda", has_qda)
     cand = first.join(valid, ["station_ord", "global_id"])
-    owner = cand.groupBy("global_id").agg(F.min(F.struct("station_ord", *order, *item, "has_qda")).alias("_o"))
-    owner = owner.select("global_id", *[F.col(f"_o.{c}").alias(c) for c in ["station_ord", *order, *item, "has_qda"]])
+    # the first valid station per DOI; the parsed detail rides along in min_by's value
+    # (only the ordering struct is compared), so details are parsed and shuffled once
+    carried = ["station_ord", *order, *item, "has_qda", *detail_cols]
+    owner = cand.groupBy("global_id").agg(
+        F.min_by(F.struct(*carried), F.struct("station_ord", *order, *item)).alias("_o"))
+    owner = owner.select("global_id", *[F.col(f"_o.{c}").alias(c) for c in carried])
     owner = with_ordinal(owner, [F.col("station_ord"), ~F.col("has_qda"), *[F.col(c) for c in order],
                                  F.col("global_id")], name="seq")
-    full = owner.join(det, ["station_ord", "global_id"]).join(F.broadcast(_stations(spark)), "station_ord")
+    full = owner.join(F.broadcast(_stations(spark)), "station_ord")
 
     title = F.coalesce(F.col("name"), F.lit("untitled"))
     ver = DV.version()
