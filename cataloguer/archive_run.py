@@ -68,6 +68,9 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
     write_version(spark, projects, archive_base, "projects")
     projects = read_current(spark, archive_base, "projects")
     ids = projects.select(F.col("id").alias("project_id"), *KEY)
+    # one archive id per natural key of this run's pending projects (records that share
+    # a key share the project, as the original's insert-then-look-up does)
+    new_ids = ids.join(pending.select(*KEY), KEY, "left_semi")
     new_projects = pending.select("source", "source_ord", "seq", *KEY).join(ids, KEY)
 
     def children(attr: str) -> DataFrame:
@@ -76,7 +79,7 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
             c = getattr(s, attr).withColumn("source_ord", F.lit(i))
             out = c if out is None else out.unionByName(c, allowMissingColumns=True)
         # The natural key resolves to the archive id; only pending projects are written
-        return out.join(new_projects.select(*KEY, "project_id"), KEY)
+        return out.join(new_ids, KEY)
 
     # ---- keywords / persons / licences
     kw = M.clean_keywords(children("keywords"))
@@ -87,9 +90,9 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
     licenses = M.merge_into(read_current(spark, archive_base, "licenses"), li, ["project_id", "license"], [])
 
     # ---- files: visits in work order, budget, outcome, status fold
-    visits = children("files").join(new_projects.select("project_id", F.col("seq").alias("project_seq")),
-                                    "project_id")
-    order = ["source_ord", "project_seq", "file_index", "file_name"]
+    # each file keeps the arrival position of the record that listed it
+    visits = children("files")
+    order = ["source_ord", "seq", "file_index", "file_name"]
     if fetch_outcomes is not None:
         visits = visits.join(fetch_outcomes.select("file_url", "outcome"), "file_url", "left")
     else:
