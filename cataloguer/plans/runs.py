@@ -44,12 +44,8 @@ def oai_source(spark: SparkSession, d: str) -> adapters.SourceTables:
     return adapters.oai_records(recs, page_files=files)
 
 
-@query("harvest_run_export")
 def harvest_run_export(spark: SparkSession, d: str) -> DataFrame:
-    """A full run: both adapters -> merged, versioned archive -> flat export.
-
-    Rows-only check (the oracle of each step is checked by its own query).
-    """
+    """A full run: both adapters -> merged, versioned archive -> flat export."""
     base = scratch_path(spark, "harvest-run")
     res = run_harvest(spark, [dataverse_source(spark, d), oai_source(spark, d)], f"{base}/archive", RUN_TS,
                       ledger_path=f"{base}/ledger")
@@ -161,3 +157,99 @@ def adapter_dataverse_files(spark: SparkSession, d: str) -> DataFrame:
     return dataverse_source(spark, d).files.select(
         "seq", "repository_id", "project_url", "file_index", "file_name", "file_type", "file_url", "size",
         "restricted", "local_path")
+
+
+# ---------------------------------------------------------------- the run's flat export, as one SQL
+
+_PAGE_FILES_SQL = f"""
+x AS (SELECT page_id, CASE WHEN http_status = 200 THEN regexp_extract_all(html, 'href="(/bitstream/[^"?]+)"', 1)
+        ELSE [] END AS links FROM fx_pages),
+l AS (SELECT page_id, unnest(links) AS path, unnest(generate_series(1, len(links))) AS i FROM x),
+dl AS (SELECT page_id, path, min(i) AS i FROM l GROUP BY page_id, path),
+pn AS (SELECT page_id, path, i, split_part(regexp_extract(path, '[^/]*$'), '?', 1) AS file_name FROM dl
+       WHERE NOT {S.contains_any("lower(path)", rules.LINK_SKIP_PATTERNS)}),
+pf AS (SELECT page_id, file_name, min(i) AS i FROM pn WHERE file_name <> '' GROUP BY page_id, file_name),
+pr0 AS (SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS file_index,
+          file_name, {S.file_ext('file_name')} AS file_type FROM pf)"""
+
+_RUN_SQL = f"""
+WITH {_DV_OWNERS},
+dvp AS (SELECT 0 AS source_ord, seq, 5 AS repository_id, project_url, {_TERMS}[keyword_ord] AS query_string,
+          {_station_case('station_ord', 3)} AS repository_url, version, 'Dataset ' || global_id AS title,
+          description, language, global_id AS doi, CAST(NULL AS VARCHAR) AS upload_date,
+          'DANS' AS download_repository_folder, download_project_folder, download_version_folder,
+          'API-CALL' AS download_method, n_files FROM p),
+fdef AS (SELECT 1 AS n_files, 0 AS file_index, 'a.qdpx' AS file_name, 'qdpx' AS file_type, true AS restricted
+         UNION ALL SELECT 2, 0, 'a.PDF', 'pdf', true UNION ALL SELECT 2, 1, 'file_2', '', false),
+dvf AS (SELECT 0 AS source_ord, dvp.seq, dvp.repository_id, dvp.project_url, fdef.file_index, fdef.file_name,
+          fdef.file_type, fdef.restricted FROM dvp JOIN fdef ON fdef.n_files = dvp.n_files),
+k AS (SELECT *, {_OAI_T} AS t,
+        coalesce(list_filter({_OAI_IDS}, lambda x: contains(x, 'doi.org'))[-1],
+                 list_filter({_OAI_IDS}, lambda x: NOT contains(x, 'doi.org')
+                             AND NOT contains(x, 'opendata.uni-halle.de/handle') AND starts_with(x, 'http'))[1])
+          AS doi_v,
+        list_filter({_OAI_IDS}, lambda x: NOT contains(x, 'doi.org')
+                    AND contains(x, 'opendata.uni-halle.de/handle'))[-1] AS handle_v
+      FROM ({_OAI_KEPT}) x0),
+kq AS (SELECT *, coalesce(handle_v, doi_v, oai_id) AS purl FROM k),
+q AS (SELECT * FROM kq WHERE {S.contains_any(f"lower(t || ' ' || {S.strip('description')} || ' ' || {S.strip('subject')} || ' ' || '')", rules.QDA_HINTS)}),
+oaip AS (SELECT 1 AS source_ord, CAST(row_number() OVER (ORDER BY rec // 100, rec % 100) AS BIGINT) AS seq,
+           16 AS repository_id, purl AS project_url, '{rules.OAI_QUERY_STRING}' AS query_string,
+           '{rules.STATIONS[4][3]}' AS repository_url, CAST(NULL AS VARCHAR) AS version, t AS title,
+           nullif({S.strip('description')}, '') AS description, CAST(NULL AS VARCHAR) AS language, doi_v AS doi,
+           CAST(NULL AS VARCHAR) AS upload_date, 'opendata' AS download_repository_folder,
+           {S.safe_name("replace(regexp_extract(oai_id, '[^:]*$'), '/', '_') || '_' || t")} AS download_project_folder,
+           CAST(NULL AS VARCHAR) AS download_version_folder, 'SCRAPING' AS download_method, rec, subject FROM q),
+{_PAGE_FILES_SQL},
+urls AS (SELECT purl AS page_url, min(rec) AS page_id FROM kq GROUP BY purl),
+oaif0 AS (SELECT oaip.seq, oaip.repository_id, oaip.project_url, pr0.file_index, pr0.file_name, pr0.file_type
+          FROM oaip JOIN urls ON urls.page_url = oaip.project_url JOIN pr0 ON pr0.page_id = urls.page_id),
+oaif AS (SELECT 1 AS source_ord, seq, repository_id, project_url, file_index, file_name, file_type,
+           false AS restricted FROM oaif0
+         UNION ALL
+         SELECT 1, seq, repository_id, project_url, 0, '{rules.PLACEHOLDER_FILE_NAME}', '{rules.PLACEHOLDER_FILE_TYPE}',
+           false FROM oaip WHERE NOT EXISTS (SELECT 1 FROM oaif0 WHERE oaif0.seq = oaip.seq)),
+allp AS (SELECT source_ord, seq, repository_id, project_url, query_string, repository_url, version, title,
+           description, language, doi, upload_date, download_repository_folder, download_project_folder,
+           download_version_folder, download_method FROM dvp
+         UNION ALL
+         SELECT source_ord, seq, repository_id, project_url, query_string, repository_url, version, title,
+           description, language, doi, upload_date, download_repository_folder, download_project_folder,
+           download_version_folder, download_method FROM oaip),
+fa AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY repository_id, project_url ORDER BY source_ord, seq)
+                      AS rn FROM allp) t WHERE rn = 1),
+proj AS (SELECT CAST(row_number() OVER (ORDER BY source_ord, seq, repository_id, project_url) AS BIGINT) AS id, *
+         FROM fa),
+allf AS (SELECT * FROM dvf UNION ALL SELECT * FROM oaif),
+fj AS (SELECT proj.id AS project_id, allf.* FROM allf
+       JOIN proj ON proj.repository_id = allf.repository_id AND proj.project_url = allf.project_url),
+files AS (SELECT project_id, file_name,
+            min({{'a': source_ord, 'b': seq, 'c': file_index, 'e': file_type}}).e AS file_type,
+            min({{'a': source_ord, 'b': seq, 'c': file_index, 'd': file_name,
+                 'v': CASE WHEN restricted THEN 'RESTRICTED' ELSE 'SKIPPED' END}}).v AS status
+          FROM fj GROUP BY project_id, file_name),
+kwall AS (SELECT dvp.repository_id, dvp.project_url, d.keyword AS kw FROM dvp
+            JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
+          UNION ALL SELECT dvp.repository_id, dvp.project_url, d.subject FROM dvp
+            JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
+          UNION ALL SELECT repository_id, project_url, subject FROM oaip),
+kwa AS (SELECT proj.id AS project_id, string_agg(DISTINCT {S.strip('kw')}, ' | ' ORDER BY {S.strip('kw')}) AS keywords
+        FROM kwall JOIN proj ON proj.repository_id = kwall.repository_id AND proj.project_url = kwall.project_url
+        WHERE {S.strip('kw')} <> '' GROUP BY proj.id),
+pra AS (SELECT proj.id AS project_id, string_agg(DISTINCT d.author || ' (AUTHOR)', ' | ' ORDER BY d.author || ' (AUTHOR)')
+          AS persons
+        FROM dvp JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
+        JOIN proj ON proj.repository_id = dvp.repository_id AND proj.project_url = dvp.project_url GROUP BY proj.id),
+lia AS (SELECT proj.id AS project_id, string_agg(DISTINCT {S.license('d.license')}, ' | '
+          ORDER BY {S.license('d.license')}) AS licenses
+        FROM dvp JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
+        JOIN proj ON proj.repository_id = dvp.repository_id AND proj.project_url = dvp.project_url
+        WHERE d.license IS NOT NULL GROUP BY proj.id)
+SELECT proj.id AS project_id, proj.repository_id, proj.repository_url, proj.project_url, proj.title,
+  proj.description, proj.language, proj.doi, proj.upload_date, '{RUN_TS}' AS download_date, proj.download_method,
+  proj.download_repository_folder, proj.download_project_folder, proj.download_version_folder, proj.version,
+  proj.query_string, files.file_name, files.file_type, files.status, kwa.keywords, pra.persons, lia.licenses
+FROM proj LEFT JOIN files ON files.project_id = proj.id LEFT JOIN kwa ON kwa.project_id = proj.id
+LEFT JOIN pra ON pra.project_id = proj.id LEFT JOIN lia ON lia.project_id = proj.id"""
+
+query("harvest_run_export", oracle=_RUN_SQL)(harvest_run_export)
