@@ -3,9 +3,10 @@
     adapters (A, C, D) -> dedup (F1, F2) -> anti ledger (E2) -> work order (I4)
     -> budget (H2-H4) -> status (F7, F8) -> merge (F5, F6) -> ledger (F9, B3)
 
-Every table is merged into the versioned archive under ``archive_base``
-(version ``n+1`` written next to ``n``, then the pointer moves). Nothing is
-collected on the driver except the scalar ``max(id)`` of each table.
+Append-only tables (projects, keywords, person_role, licenses) receive only
+their new rows; the files table, whose statuses change, is written as a new
+version (``sources/store.py``). Nothing is collected on the driver except the
+scalar ``max(id)`` of each table.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from . import rules
 from .operators import merge as M
 from .operators.budget import admit_by_budget
 from .operators.status import fold_file_status
-from .sources.store import read_current, write_version
+from .sources.store import append_rows, read_current, read_rows, write_version
 from .sources import ledger as L
 from .sources.adapters import KEY, SourceTables
 
@@ -63,10 +64,10 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
         proj = p if proj is None else proj.unionByName(p, allowMissingColumns=True)
     pending = L.pending(proj, ledger).withColumn("download_date", F.lit(run_ts))
     batch = M.drop_not_null_violations(pending.select("source_ord", "seq", *PROJECT_COLS), PROJECT_REQUIRED)
-    projects = M.merge_into(read_current(spark, archive_base, "projects"), batch, KEY, ["source_ord", "seq"],
-                            columns=PROJECT_COLS)
-    write_version(spark, projects, archive_base, "projects")
-    projects = read_current(spark, archive_base, "projects")
+    added = M.new_rows(read_rows(spark, archive_base, "projects"), batch, KEY, ["source_ord", "seq"],
+                       columns=PROJECT_COLS)
+    append_rows(added, archive_base, "projects")
+    projects = read_rows(spark, archive_base, "projects")
     ids = projects.select(F.col("id").alias("project_id"), *KEY)
     # one archive id per natural key of this run's pending projects (records that share
     # a key share the project, as the original's insert-then-look-up does)
@@ -82,12 +83,12 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
         return out.join(new_ids, KEY)
 
     # ---- keywords / persons / licences
-    kw = M.clean_keywords(children("keywords"))
-    keywords = M.merge_into(read_current(spark, archive_base, "keywords"), kw, ["project_id", "keyword"], [])
-    pr = M.clean_persons(children("persons"))
-    persons = M.merge_into(read_current(spark, archive_base, "person_role"), pr, ["project_id", "name", "role"], [])
-    li = M.clean_licenses(children("licenses"))
-    licenses = M.merge_into(read_current(spark, archive_base, "licenses"), li, ["project_id", "license"], [])
+    for table, rows, key in [
+        ("keywords", M.clean_keywords(children("keywords")), ["project_id", "keyword"]),
+        ("person_role", M.clean_persons(children("persons")), ["project_id", "name", "role"]),
+        ("licenses", M.clean_licenses(children("licenses")), ["project_id", "license"]),
+    ]:
+        append_rows(M.new_rows(read_rows(spark, archive_base, table), rows, key, []), archive_base, table)
 
     # ---- files: visits in work order, budget, outcome, status fold
     # each file keeps the arrival position of the record that listed it
@@ -119,14 +120,13 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
                            ["project_id", "file_name"], "left").withColumn("status", F.coalesce("status", "_old")).drop("_old")
     files = files.select("id", "project_id", "file_name", "file_type", "status")
 
-    for name, df in [("keywords", keywords), ("person_role", persons), ("licenses", licenses), ("files", files)]:
-        write_version(spark, df, archive_base, name)
+    write_version(spark, files, archive_base, "files")
 
     if ledger_path:
         L.save_completed(new_projects, ledger_path)
     return RunResult(
         projects=projects, files=read_current(spark, archive_base, "files"),
-        keywords=read_current(spark, archive_base, "keywords"),
-        person_role=read_current(spark, archive_base, "person_role"),
-        licenses=read_current(spark, archive_base, "licenses"), new_projects=new_projects,
+        keywords=read_rows(spark, archive_base, "keywords"),
+        person_role=read_rows(spark, archive_base, "person_role"),
+        licenses=read_rows(spark, archive_base, "licenses"), new_projects=new_projects,
     )

@@ -48,9 +48,9 @@ def max_id(archive: DataFrame | None, id_col: str = "id") -> int:
     return int(v) if v is not None else 0
 
 
-def merge_into(archive: DataFrame | None, batch: DataFrame, key: list[str], order: list[str],
-               id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
-    """Archive after inserting ``batch`` with insert-or-ignore on ``key``.
+def new_rows(archive: DataFrame | None, batch: DataFrame, key: list[str], order: list[str],
+             id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """Rows ``batch`` adds to ``archive`` under insert-or-ignore on ``key``, with their new ids.
 
     ``order`` is the arrival order of the batch; it must be total on first
     arrivals (append the key when unsure). The result holds ``id_col`` plus
@@ -63,7 +63,14 @@ def merge_into(archive: DataFrame | None, batch: DataFrame, key: list[str], orde
     start = max_id(archive, id_col) + 1
     id_order = list(dict.fromkeys(order + key))
     new = with_ordinal(first, [F.col(c) for c in id_order], name=id_col, start=start)
-    new = new.select(id_col, *cols)
+    return new.select(id_col, *cols)
+
+
+def merge_into(archive: DataFrame | None, batch: DataFrame, key: list[str], order: list[str],
+               id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
+    """Archive after inserting ``batch`` with insert-or-ignore on ``key`` (archive + ``new_rows``)."""
+    cols = columns or [c for c in batch.columns if c not in order or c in key]
+    new = new_rows(archive, batch, key, order, id_col, cols)
     return new if archive is None else archive.select(id_col, *cols).unionByName(new)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import merge as M
-from ..sources.store import read_current
+from ..sources.store import read_rows
 from ..session import scratch_path
 from ..streaming.incremental import merge_stream, run_until_drained
 from .archive import fx, ledger_project_ids
@@ -32,5 +32,5 @@ def stream_merge_keywords(spark: SparkSession, d: str) -> DataFrame:
         run.write.mode("append").parquet(source)
         q = merge_stream(spark, source, schema, archive, "keywords", KEY, [], ck, columns=KEY)
         run_until_drained(q)
-    return read_current(spark, archive, "keywords")
+    return read_rows(spark, archive, "keywords")
 

@@ -1,9 +1,12 @@
-"""Versioned archive store.
+"""Archive store (B4): append-only tables and versioned tables.
 
-Parquet cannot be overwritten while it is being read, so an archive update
-writes version ``n+1`` next to version ``n`` and then moves a small pointer
-file (``_CURRENT``); readers follow the pointer. Paths go through the Hadoop
-FileSystem API, so the same code runs on HDFS, S3 or ABFS.
+Insert-or-ignore never changes a stored row, so the projects, keywords,
+person_role and licenses tables only grow: a merge appends its new rows
+(``append_rows``), which costs O(new rows), not O(archive). The files table also
+has status updates; Parquet cannot be overwritten while it is being read, so it
+is written as version ``n+1`` next to version ``n`` and a small pointer file
+(``_CURRENT``) is moved (``write_version``); readers follow the pointer. Paths go
+through the Hadoop FileSystem API, so the same code runs on HDFS, S3 or ABFS.
 """
 
 from __future__ import annotations
@@ -67,3 +70,20 @@ def read_current(spark: SparkSession, base: str, table: str, schema: T.StructTyp
     if schema is not None:
         r = r.schema(schema)
     return r.parquet(version_path(base, table, v))
+
+
+def append_path(base: str, table: str) -> str:
+    return f"{base.rstrip('/')}/{table}/rows"
+
+
+def append_rows(df: DataFrame, base: str, table: str) -> None:
+    """Add rows to an append-only table (new part files; existing files are never touched)."""
+    df.write.mode("append").parquet(append_path(base, table))
+
+
+def read_rows(spark: SparkSession, base: str, table: str) -> DataFrame | None:
+    """An append-only table, or None before its first append."""
+    fs, p, _ = _fs(spark, append_path(base, table))
+    if not fs.exists(p):
+        return None
+    return spark.read.parquet(append_path(base, table))

@@ -19,14 +19,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.merge import merge_into
-from ..sources.store import read_current, write_version
+from ..operators.merge import merge_into, new_rows
+from ..sources.store import append_rows, read_current, read_rows, write_version
 
 
 def merge_stream(spark: SparkSession, source: str, schema: str, archive_base: str, table: str,
                  key: list[str], order: list[str], checkpoint: str, columns: list[str] | None = None,
-                 max_files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
-    """Start a stream that merges files landed in ``source`` into ``archive_base/table``."""
+                 max_files_per_trigger: int | None = None, available_now: bool = True,
+                 append_only: bool = True) -> StreamingQuery:
+    """Start a stream that merges files landed in ``source`` into ``archive_base/table``.
+
+    ``append_only`` tables get only each micro-batch's new rows appended (cost
+    O(batch), not O(archive)); otherwise the merged table is written as a new version.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -35,9 +40,12 @@ def merge_stream(spark: SparkSession, source: str, schema: str, archive_base: st
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        current = read_current(spark, archive_base, table)
-        merged = merge_into(current, batch, key, order, columns=columns)
-        write_version(spark, merged, archive_base, table)
+        if append_only:
+            added = new_rows(read_rows(spark, archive_base, table), batch, key, order, columns=columns)
+            append_rows(added, archive_base, table)
+        else:
+            merged = merge_into(read_current(spark, archive_base, table), batch, key, order, columns=columns)
+            write_version(spark, merged, archive_base, table)
 
     writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")

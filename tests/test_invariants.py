@@ -117,9 +117,9 @@ def test_stream_resume_processes_only_new_files(spark):
     assert run_until_drained(merge_stream(spark, src, schema, arc, "kw", ["project_id", "keyword"], [], ck)) == 0
     b.write.parquet(src, mode="append")
     assert run_until_drained(merge_stream(spark, src, schema, arc, "kw", ["project_id", "keyword"], [], ck)) == 1
-    from cataloguer.sources.store import read_current
+    from cataloguer.sources.store import read_rows
 
-    got = _rows(read_current(spark, arc, "kw"))
+    got = _rows(read_rows(spark, arc, "kw"))
     assert got == [(1, 1, "x"), (2, 1, "y"), (3, 2, "x"), (4, 3, "z")]
 
 
@@ -131,7 +131,7 @@ def test_stream_with_small_triggers_equals_batch(spark):
         spark.createDataFrame([(i, "k"), (i + 1, "k")], schema).write.parquet(src, mode="append")
     q = merge_stream(spark, src, schema, arc, "kw", ["project_id", "keyword"], [], ck, max_files_per_trigger=1)
     assert run_until_drained(q) >= 1
-    from cataloguer.sources.store import read_current
+    from cataloguer.sources.store import read_rows
 
-    keys = sorted((r[1], r[2]) for r in read_current(spark, arc, "kw").collect())
+    keys = sorted((r[1], r[2]) for r in read_rows(spark, arc, "kw").collect())
     assert keys == [(i, "k") for i in range(5)]
