@@ -58,8 +58,9 @@ def fetch_outcome(log: DataFrame, file_col: str = "file_id", seq_col: str = "seq
     if other_error_col:
         terminal = F.when(F.coalesce(F.col(other_error_col), F.lit(False)), F.lit(rules.FAILED)).otherwise(terminal)
     w = Window.partitionBy(file_col).orderBy(F.col(seq_col), http.asc_nulls_first())
+    extra = [other_error_col] if other_error_col else []
     first_k = (
-        log.select(file_col, seq_col, http_col)
+        log.select(file_col, seq_col, http_col, *extra)
         .withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") <= max_attempts)
         .select(file_col, "_rn", terminal.alias("_t"))

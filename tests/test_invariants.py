@@ -135,3 +135,35 @@ def test_stream_with_small_triggers_equals_batch(spark):
 
     keys = sorted((r[1], r[2]) for r in read_rows(spark, arc, "kw").collect())
     assert keys == [(i, "k") for i in range(5)]
+
+
+def test_fetch_outcome_rules(spark):
+    from cataloguer.operators.status import fetch_outcome
+
+    log = spark.createDataFrame([
+        (1, 1, 503, False), (1, 2, None, False), (1, 3, 200, False),   # third attempt succeeds
+        (2, 1, 503, False), (2, 2, 503, False), (2, 3, 503, False), (2, 4, 200, False),  # 4th is never made
+        (3, 1, 403, False), (3, 2, 200, False),                          # restricted at once
+        (4, 1, 500, False), (4, 2, None, True),                         # non-HTTP error: failed at once
+        (5, 1, 302, False),                                               # < 400 is ok
+    ], "file_id long, seq long, http_status int, other boolean")
+    got = {r[0]: (r[1], r[2]) for r in fetch_outcome(log, other_error_col="other").collect()}
+    assert got == {1: ("SUCCESS", 3), 2: ("FAILED", 3), 3: ("RESTRICTED", 1), 4: ("FAILED", 2), 5: ("SUCCESS", 1)}
+
+
+def test_hot_key_is_split_and_combined(spark):
+    """A third of all rows on one key: ordinals stay exact and the hot prefix is split over
+    range partitions; first-arrival aggregation combines map-side before the shuffle."""
+    from cataloguer.operators.ordering import _ranged
+
+    n = 9000
+    df = spark.range(0, n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("a"), (F.col("id") * 7 % n).alias("b"))
+    ranged = _ranged(df, [F.col("a"), F.col("b")], 6)
+    sizes = [r[1] for r in ranged.groupBy(F.shiftright("_mid", 33)).count().collect()]
+    assert max(sizes) < n / 3  # the hot key (n/3 rows) did not land in one partition
+    out = with_ordinal(df, [F.col("a"), F.col("b")], partitions=6)
+    assert sorted(r[0] for r in out.select("ordinal").collect()) == list(range(1, n + 1))
+    first = M.first_arrivals(df.withColumn("v", F.col("b")), ["a"], ["b"])
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan
