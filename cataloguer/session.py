@@ -38,9 +38,16 @@ def local_session(cpus: int | str = "*", app: str = "cataloguer", shuffle_partit
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, choosing a local one only in local mode."""
-    sc = spark.sparkContext
+def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
+    """Return the session's checkpoint folder, choosing a local one only in local mode.
+
+    With a remote (Spark Connect) session the server's own setting applies and
+    nothing is set here.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext on a Connect client
+        return spark.conf.get(_CHECKPOINT_KEY, None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -58,5 +65,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder (for exports, versions, streams)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = (ensure_checkpoint_dir(spark) or "").rstrip("/")
+    if not base:
+        raise RuntimeError("spark.checkpoint.dir is unset; it must name a shared folder")
     return f"{base}/cataloguer-scratch/{name}-{uuid.uuid4().hex}"
