@@ -51,11 +51,12 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
     ``fetch_outcomes``: ``file_url, outcome`` (see ``operators.status.fetch_outcome``);
     without it no file is downloaded and statuses stay at their initial value.
     Dataverse files are subject to ``cap_bytes``; OAI files are not, but their bytes count.
+    The per-station gate (H3: a station that starts at or above the cap is not
+    harvested) is ``operators.budget.station_gate``; apply it to the sources
+    before the run when stations are landed together.
     """
     ledger = L.load_ledger(spark, ledger_path) if ledger_path else L.empty_ledger(spark)
-    tagged = []
-    for i, s in enumerate(sources):
-        tagged.append((i, s))
+    tagged = list(enumerate(sources))
 
     # ---- projects
     proj = None
@@ -110,11 +111,11 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
         visits = visits.withColumn("outcome", F.when(F.col("outcome").isNull(), F.lit(None))
                                    .otherwise(F.col("budget_status")))
     existing = read_current(spark, archive_base, "files")
-    new_rows = M.merge_into(existing, visits.select("project_id", "file_name", "file_type", *order),
-                            ["project_id", "file_name"], order, columns=["project_id", "file_name", "file_type"])
+    all_files = M.merge_into(existing, visits.select("project_id", "file_name", "file_type", *order),
+                             ["project_id", "file_name"], order, columns=["project_id", "file_name", "file_type"])
     folded = fold_file_status(visits, ["project_id", "file_name"], order, restricted="restricted", result="outcome",
                               existing=existing)
-    files = new_rows.join(folded, ["project_id", "file_name"], "left")
+    files = all_files.join(folded, ["project_id", "file_name"], "left")
     if existing is not None:
         files = files.join(existing.select("project_id", "file_name", F.col("status").alias("_old")),
                            ["project_id", "file_name"], "left").withColumn("status", F.coalesce("status", "_old")).drop("_old")
