@@ -215,3 +215,14 @@ FROM read_blob('/root/testdata/sf0.01/*') WHERE NOT regexp_matches(filename, '[^
 def src_disk_usage(spark: SparkSession, d: str) -> DataFrame:
     """Files and bytes below the data folder (the byte budget's starting usage)."""
     return disk.disk_usage(spark, d)
+
+
+@query("report_oai_harvest", oracle=f"""
+SELECT count(*) AS n_records,
+  count(*) FILTER (WHERE {S.contains_any(f"lower({_OAI_TITLE} || ' ' || {S.strip('description')} || ' ' || {S.strip('subject')} || ' ' || '')", rules.QDA_HINTS)})
+    AS n_qda_related
+FROM ({_KEPT_OAI}) k""")
+def report_oai_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """G11 for the OAI source: parsed records (not deleted, with Dublin Core) and the QDA-related ones."""
+    p = oai.project_rows(records(spark, d), keep=["rec"])
+    return p.agg(F.count(F.lit(1)).alias("n_records"), F.count_if("has_qda_hint").alias("n_qda_related"))

@@ -43,6 +43,20 @@ def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
     return out.select(*LANDING_COLS, "keyword", "item_index", "item.*")
 
 
+def pages_until_stop(pages: DataFrame, items: str = "items", error: str = "error_code",
+                     term: tuple[str, ...] = ("station_ord", "keyword_ord"), start: str = "start") -> DataFrame:
+    """D8 for search pages: per (station, term) keep pages before the first failed or empty one.
+
+    The first stop per term is a small aggregate (one row per station and term),
+    broadcast back on the term key.
+    """
+    term = list(term)
+    bad = F.col(error).isNotNull() | F.coalesce(F.size(items) <= 0, F.lit(True))
+    stop = pages.where(bad).groupBy(*term).agg(F.min(start).alias("_stop"))
+    j = pages.join(F.broadcast(stop), term, "left")
+    return j.where(F.col("_stop").isNull() | (F.col(start) < F.col("_stop"))).drop("_stop")
+
+
 # ---------------------------------------------------------------- dataset details (A2)
 
 def parse_details(df: DataFrame, json_col: str = "json", keep: list[str] | None = None) -> DataFrame:

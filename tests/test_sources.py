@@ -121,3 +121,13 @@ def test_versioned_store_partition_pruning(spark):
     plan = cur._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(source" in plan and "uni_halle" in plan
     assert [r["id"] for r in cur.collect()] == [2]
+
+
+def test_search_pages_until_stop(spark):
+    rows = [(0, 1, 0, ["a"], None), (0, 1, 20, ["b"], None), (0, 1, 40, [], None), (0, 1, 60, ["c"], None),
+            (0, 2, 0, ["d"], None), (0, 2, 20, ["e"], "500"), (0, 2, 40, ["f"], None),
+            (1, 1, 0, ["g"], None), (1, 1, 20, ["h"], None)]
+    df = spark.createDataFrame(rows, "station_ord int, keyword_ord int, start long, items array<string>, "
+                                     "error_code string")
+    kept = sorted((r[0], r[1], r[2]) for r in DV.pages_until_stop(df).collect())
+    assert kept == [(0, 1, 0), (0, 1, 20), (0, 2, 0), (1, 1, 0), (1, 1, 20)]
