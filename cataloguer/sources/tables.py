@@ -32,6 +32,10 @@ def register(spark: SparkSession, sf_dir: str) -> None:
     _registered[key] = sf_dir
 
 
+# Below this size a scan is cheap enough for one task; spreading would only add a stage.
+SPREAD_MIN_BYTES = 1 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread an under-split scan over the cluster's task slots.
 
@@ -46,9 +50,10 @@ def spread(df: DataFrame) -> DataFrame:
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
         parts = df.rdd.getNumPartitions()
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001 - no RDD view on a Connect client: leave the scan as it is
         return df
-    if parts < target:
+    if parts < target and size >= SPREAD_MIN_BYTES:
         return df.repartition(target)
     return df
 
