@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, packing, quality, token_counts, token_files
+from . import chat, jaccard_join, langid, line_dedup, packing, quality, suffix_dedup, token_counts, token_files
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -57,12 +57,51 @@ def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest_formatted(chat.format_conversations(rows.unionByName(probe)))
 
 
+OP6_ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 4 THEN list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')))
+    WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS sh FROM w
+), g AS (SELECT doc_id, unnest(sh) AS x FROM s),
+n AS (SELECT doc_id, len(sh)::BIGINT AS n_shingles FROM s),
+c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM g a JOIN g b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM c JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * k >= 85 * (p.n_shingles + q.n_shingles - k)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+reach(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, e.b FROM reach r JOIN e ON e.a = r.y)
+SELECT n.doc_id, n_shingles, min(y) AS component_id FROM n JOIN reach ON x = n.doc_id GROUP BY ALL
+"""
+
+
+@query("op6_jaccard_join", OP6_ORACLE)
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents")).drop("class_id")
+
+
+@query("op7_line_dedup")
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, how many went as exact and near repeats, and a digest of the text that stays."""
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_exact", "n_near", F.md5("text").alias("text_md5"))
+
+
 @query("op8_token_files")
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids, read back from the Simple-8b shards."""
     return token_files.document_digests(token_files.write_shards(table(spark, sf_dir, "documents"))).drop("shard")
 
 
+@query("op9_suffix_dedup")
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes, removed bytes and runs, and a digest of what stays, of every document."""
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the verdict on every document."""
