@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import rules
 from .operators import merge as M
-from .operators.budget import admit_by_budget
-from .operators.status import fold_file_status
+from .operators.budget import admit_by_budget, station_gate
+from .operators.status import capped_outcome, fold_file_status, visit_outcome
 from .sources.store import append_rows, read_current, read_rows, write_version
 from .sources import ledger as L
 from .sources.adapters import KEY, SourceTables
@@ -43,17 +43,36 @@ class RunResult:
     new_projects: DataFrame  # pending projects of this run, with their archive id
 
 
+def _gated(pending: DataFrame, files: DataFrame, order: list[str], cap_bytes: int, initial_bytes: int,
+           uncapped: list[int]) -> DataFrame:
+    """``pending`` projects of the stations that are harvested (H3).
+
+    A station that starts at or above the cap adds nothing at all. Stations are the
+    ``source`` values in arrival order: a handful of rows.
+    """
+    stations = pending.groupBy("source_ord", "source").agg(F.min("seq").alias("_at"))
+    numbered = stations.withColumn("station_ord", F.row_number().over(Window.orderBy("source_ord", "_at")))
+    visits = files.join(pending.select("source_ord", "source", *KEY).distinct(), ["source_ord", *KEY]).join(
+        numbered.select("source_ord", "source", "station_ord"), ["source_ord", "source"])
+    gate = station_gate(visits, ["station_ord", *order], [*KEY, "file_name"], cap_bytes, initial_bytes, status="outcome",
+                        on_disk="on_disk").select("station_ord", "harvested")
+    kept = numbered.join(gate, "station_ord", "left").where(
+        F.col("source_ord").isin(uncapped) | F.coalesce("harvested", F.lit(initial_bytes < cap_bytes)))
+    return pending.join(kept.select("source_ord", "source"), ["source_ord", "source"], "left_semi")
+
+
 def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base: str, run_ts: str,
                 ledger_path: str | None = None, fetch_outcomes: DataFrame | None = None,
-                cap_bytes: int | None = rules.DOWNLOAD_TARGET_BYTES, initial_bytes: int = 0) -> RunResult:
+                cap_bytes: int | None = rules.DOWNLOAD_TARGET_BYTES, initial_bytes: int = 0,
+                on_disk: DataFrame | None = None) -> RunResult:
     """Merge the sources (in the given order) into the archive.
 
     ``fetch_outcomes``: ``file_url, outcome`` (see ``operators.status.fetch_outcome``);
     without it no file is downloaded and statuses stay at their initial value.
     Dataverse files are subject to ``cap_bytes``; OAI files are not, but their bytes count.
-    The per-station gate (H3: a station that starts at or above the cap is not
-    harvested) is ``operators.budget.station_gate``; apply it to the sources
-    before the run when stations are landed together.
+    ``on_disk``: ``local_path`` of the files that are there before the run. They are
+    SUCCESS without an attempt, and their bytes are part of ``initial_bytes``.
+    A Dataverse station that starts at or above the cap is not harvested.
     """
     ledger = L.load_ledger(spark, ledger_path) if ledger_path else L.empty_ledger(spark)
     tagged = list(enumerate(sources))
@@ -64,6 +83,26 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
         p = s.projects.withColumn("source_ord", F.lit(i))
         proj = p if proj is None else proj.unionByName(p, allowMissingColumns=True)
     pending = L.pending(proj, ledger).withColumn("download_date", F.lit(run_ts))
+    order = ["source_ord", "seq", "file_index", "file_name"]
+    uncapped = [i for i, s in tagged if s.source == "uni_halle"]
+    all_files = None
+    for i, s in tagged:
+        f = s.files.withColumn("source_ord", F.lit(i))
+        all_files = f if all_files is None else all_files.unionByName(f, allowMissingColumns=True)
+    downloadable = F.col("file_url").isNotNull() & F.col("local_path").isNotNull()
+    visited = all_files.withColumn("size_bytes", F.coalesce("size", F.lit(0)))
+    if fetch_outcomes is not None:
+        visited = visited.join(fetch_outcomes.select("file_url", "outcome"), "file_url", "left")
+    else:
+        visited = visited.withColumn("outcome", F.lit(None).cast("string"))
+    if on_disk is not None:
+        there = on_disk.select("local_path").distinct().withColumn("on_disk", F.lit(True))
+        visited = visited.join(there, "local_path", "left")
+    else:
+        visited = visited.withColumn("on_disk", F.lit(False))
+    visited = visited.withColumn("outcome", visit_outcome(F.col("outcome"), F.col("on_disk"), downloadable))
+    if cap_bytes is not None:
+        pending = _gated(pending, visited, order, cap_bytes, initial_bytes, uncapped)
     batch = M.drop_not_null_violations(pending.select("source_ord", "seq", *PROJECT_COLS), PROJECT_REQUIRED)
     added = M.new_rows(read_rows(spark, archive_base, "projects"), batch, KEY, ["source_ord", "seq"],
                        columns=PROJECT_COLS)
@@ -80,8 +119,11 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
         for i, s in tagged:
             c = getattr(s, attr).withColumn("source_ord", F.lit(i))
             out = c if out is None else out.unionByName(c, allowMissingColumns=True)
+        return of_pending(out)
+
+    def of_pending(rows: DataFrame) -> DataFrame:
         # The natural key resolves to the archive id; only pending projects are written
-        return out.join(new_ids, KEY)
+        return rows.join(new_ids, KEY)
 
     # ---- keywords / persons / licences
     for table, rows, key in [
@@ -93,29 +135,17 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
 
     # ---- files: visits in work order, budget, outcome, status fold
     # each file keeps the arrival position of the record that listed it
-    visits = children("files")
-    order = ["source_ord", "seq", "file_index", "file_name"]
-    if fetch_outcomes is not None:
-        visits = visits.join(fetch_outcomes.select("file_url", "outcome"), "file_url", "left")
-    else:
-        visits = visits.withColumn("outcome", F.lit(None).cast("string"))
-    downloadable = F.col("file_url").isNotNull() & F.col("local_path").isNotNull()
-    visits = visits.withColumn("outcome", F.when(downloadable, F.col("outcome")))
-    if cap_bytes is not None and fetch_outcomes is not None:
-        src_names = [s.source for _, s in tagged]
-        uncapped = F.col("source_ord").isin([i for i, n in enumerate(src_names) if n == "uni_halle"])
-        visits = admit_by_budget(
-            visits.withColumn("size_bytes", F.coalesce("size", F.lit(0))), order, ["project_id", "file_name"],
-            cap_bytes, initial_bytes, status="outcome", uncapped=uncapped)
-        # a capped visit writes SKIPPED; a visit without download writes nothing
-        visits = visits.withColumn("outcome", F.when(F.col("outcome").isNull(), F.lit(None))
-                                   .otherwise(F.col("budget_status")))
+    visits = of_pending(visited)
+    if cap_bytes is not None:
+        visits = admit_by_budget(visits, order, ["project_id", "file_name"], cap_bytes, initial_bytes, status="outcome",
+                                 uncapped=F.col("source_ord").isin(uncapped), on_disk="on_disk")
+        visits = visits.withColumn("outcome", capped_outcome(F.col("outcome"), F.col("capped"), downloadable))
     existing = read_current(spark, archive_base, "files")
-    all_files = M.merge_into(existing, visits.select("project_id", "file_name", "file_type", *order),
+    merged = M.merge_into(existing, visits.select("project_id", "file_name", "file_type", *order),
                              ["project_id", "file_name"], order, columns=["project_id", "file_name", "file_type"])
     folded = fold_file_status(visits, ["project_id", "file_name"], order, restricted="restricted", result="outcome",
                               existing=existing)
-    files = all_files.join(folded, ["project_id", "file_name"], "left")
+    files = merged.join(folded, ["project_id", "file_name"], "left")
     if existing is not None:
         files = files.join(existing.select("project_id", "file_name", F.col("status").alias("_old")),
                            ["project_id", "file_name"], "left").withColumn("status", F.coalesce("status", "_old")).drop("_old")

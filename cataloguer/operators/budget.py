@@ -29,16 +29,24 @@ from .merge import first_arrivals
 from .ordering import with_running_sum
 
 
-def _events(visits: DataFrame, order: list[str], key: list[str], status: str, restricted: str) -> DataFrame:
-    ok = visits.where((F.col(status) == rules.SUCCESS) & ~F.coalesce(F.col(restricted), F.lit(False)))
-    return first_arrivals(ok, key, order).select(*visits.columns)
+def _events(visits: DataFrame, order: list[str], key: list[str], status: str, restricted: str,
+            on_disk: str | None = None) -> DataFrame:
+    ok = (F.col(status) == rules.SUCCESS) & ~F.coalesce(F.col(restricted), F.lit(False))
+    if on_disk:  # its bytes are in ``initial_bytes`` already
+        ok = ok & ~F.coalesce(F.col(on_disk), F.lit(False))
+    return first_arrivals(visits.where(ok), key, order).select(*visits.columns)
 
 
 def admit_by_budget(visits: DataFrame, order: list[str], key: list[str], cap_bytes: int,
                     initial_bytes: int = 0, status: str = "status", restricted: str = "restricted",
-                    size: str = "size_bytes", uncapped: Column | None = None) -> DataFrame:
-    """Visits with ``used_before`` (bytes on disk before the visit) and ``budget_status``."""
-    ev = _events(visits, order, key, status, restricted)
+                    size: str = "size_bytes", uncapped: Column | None = None,
+                    on_disk: str | None = None) -> DataFrame:
+    """Visits with ``used_before`` (bytes on disk before the visit), ``capped`` and ``budget_status``.
+
+    ``on_disk`` names a flag of visits whose file was there before the run: it is part
+    of ``initial_bytes`` and adds nothing.
+    """
+    ev = _events(visits, order, key, status, restricted, on_disk)
     u = visits.withColumn("_is_event", F.lit(0)).withColumn("_bytes", F.lit(0).cast("bigint")).unionByName(
         ev.withColumn("_is_event", F.lit(1)).withColumn("_bytes", F.col(size).cast("bigint"))
     )
@@ -48,6 +56,8 @@ def admit_by_budget(visits: DataFrame, order: list[str], key: list[str], cap_byt
     capped = F.col("used_before") >= cap_bytes
     if uncapped is not None:
         capped = capped & ~uncapped
+    run = run.withColumn("capped", capped)
+    capped = F.col("capped")
     out = run.withColumn(
         "budget_status",
         F.when(F.coalesce(F.col(restricted), F.lit(False)), F.lit(rules.RESTRICTED))
@@ -59,14 +69,14 @@ def admit_by_budget(visits: DataFrame, order: list[str], key: list[str], cap_byt
 
 def station_gate(visits: DataFrame, order: list[str], key: list[str], cap_bytes: int, initial_bytes: int = 0,
                  station: str = "station_ord", status: str = "status", restricted: str = "restricted",
-                 size: str = "size_bytes") -> DataFrame:
+                 size: str = "size_bytes", on_disk: str | None = None) -> DataFrame:
     """Per station: bytes it adds, bytes on disk before it starts, and whether it is harvested.
 
     A station that starts at or above the cap is not harvested (nor are later
     ones). The per-station table has one row per station (a handful), so its
     prefix sum is a plain window.
     """
-    ev = _events(visits, order, key, status, restricted)
+    ev = _events(visits, order, key, status, restricted, on_disk)
     per = ev.groupBy(station).agg(F.sum(size).cast("bigint").alias("station_bytes"))
     allst = visits.select(station).distinct()
     j = allst.join(per, station, "left").fillna(0, ["station_bytes"])

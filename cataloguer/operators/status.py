@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import rules
@@ -36,6 +36,18 @@ def fold_file_status(visits: DataFrame, key: list[str], order: list[str], restri
     return agg.select(*key, status.alias("status"))
 
 
+def visit_outcome(outcome: Column, on_disk: Column, downloadable: Column) -> Column:
+    """Result of a visit that is not capped: a file already on disk is SUCCESS without an
+    attempt, another one has its outcome in the log, one without URL or path writes nothing."""
+    return F.when(downloadable, F.when(F.coalesce(on_disk, F.lit(False)), F.lit(rules.SUCCESS)).otherwise(outcome))
+
+
+def capped_outcome(outcome: Column, capped: Column, downloadable: Column) -> Column:
+    """What a visit writes: a capped one is SKIPPED whether or not the log knows it (it is never
+    fetched, so it normally has no log row)."""
+    return F.when(downloadable & F.coalesce(capped, F.lit(False)), F.lit(rules.SKIPPED)).otherwise(outcome)
+
+
 def fetch_outcome(log: DataFrame, file_col: str = "file_id", seq_col: str = "seq",
                   http_col: str = "http_status", other_error_col: str | None = None,
                   max_attempts: int = rules.MAX_ATTEMPTS) -> DataFrame:

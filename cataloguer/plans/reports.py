@@ -10,6 +10,8 @@ from .. import rules
 from ..functions.normalise import file_class
 from ..functions.text import file_extension, human_size
 from ..operators.budget import admit_by_budget, station_gate
+from ..operators.merge import first_arrivals
+from ..operators.status import capped_outcome, fold_file_status, visit_outcome
 from ..operators.status import fetch_outcome as fetch_outcome_op
 from . import sqltext as S
 from .archive import _ARCHIVE_FILES_SQL, _IN_LEDGER, anti_completed, archive_files, fx, stations
@@ -204,6 +206,78 @@ def budget_station_gate(spark: SparkSession, d: str) -> DataFrame:
                         cap_bytes=FIXTURE_CAP_BYTES)
 
 
+# ---------------------------------------------------------------- two runs over one archive
+
+FIRST_CAP_BYTES = FIXTURE_CAP_BYTES // 2
+UNCAPPED_STATION = 3
+KEY_FILE = ["project_id", "file_name"]
+
+
+def _two_runs_sql() -> str:
+    """Both runs as plain windows over one total order."""
+
+    def used(rows: str, initial: str) -> str:
+        return f"""SELECT *, CAST({initial} + coalesce(sum(CASE WHEN first THEN size_bytes ELSE 0 END) OVER (ORDER BY rn
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS used FROM {rows}"""
+
+    def firsts(rows: str, ok: str) -> str:
+        return f"""SELECT *, ok AND rn = min(CASE WHEN ok THEN rn END) OVER (PARTITION BY project_id, file_name) AS first
+          FROM (SELECT *, ({ok}) AS ok FROM {rows}) t"""
+
+    last = "arg_max(o, rn) FILTER (NOT restricted AND o IS NOT NULL)"
+    return f"""
+WITH v AS (SELECT *, row_number() OVER (ORDER BY {_ORDER_SQL}) AS rn FROM ({_VISITS_SQL}) t),
+a1 AS ({firsts("v", "status = 'SUCCESS' AND NOT restricted")}),
+u1 AS ({used("a1", "0")}),
+o1 AS (SELECT *, CASE WHEN used >= {FIRST_CAP_BYTES} THEN 'SKIPPED' ELSE status END AS o FROM u1),
+s1 AS (SELECT project_id, file_name, coalesce({last}, arg_min(CASE WHEN restricted THEN 'RESTRICTED' ELSE 'SKIPPED' END, rn)) AS status
+       FROM o1 GROUP BY ALL),
+d AS (SELECT project_id, file_name, true AS there FROM s1 WHERE status = 'SUCCESS'),
+i AS (SELECT CAST(coalesce(sum(b), 0) AS BIGINT) AS b FROM (SELECT arg_min(size_bytes, rn) AS b FROM o1
+      WHERE o = 'SUCCESS' AND NOT restricted GROUP BY project_id, file_name) t),
+v2 AS (SELECT v.*, there, CASE WHEN there THEN 'SUCCESS' WHEN size_bytes % 3 = 0 THEN NULL ELSE status END AS res
+       FROM v LEFT JOIN d USING (project_id, file_name)),
+a2 AS ({firsts("v2", "coalesce(res = 'SUCCESS', false) AND NOT restricted AND there IS NULL")}),
+st AS (SELECT station_ord, CAST(coalesce(sum(size_bytes) FILTER (first), 0) AS BIGINT) AS b FROM a2 GROUP BY 1),
+g AS (SELECT station_ord, (SELECT b FROM i) + coalesce(sum(b) OVER (ORDER BY station_ord ROWS BETWEEN UNBOUNDED PRECEDING
+      AND 1 PRECEDING), 0) < {FIXTURE_CAP_BYTES} OR station_ord = {UNCAPPED_STATION} AS harvested FROM st),
+v3 AS (SELECT v2.* FROM v2 JOIN g USING (station_ord) WHERE harvested),
+a3 AS ({firsts("v3", "coalesce(res = 'SUCCESS', false) AND NOT restricted AND there IS NULL")}),
+u3 AS ({used("a3", "(SELECT b FROM i)")}),
+o3 AS (SELECT *, CASE WHEN used >= {FIXTURE_CAP_BYTES} AND station_ord <> {UNCAPPED_STATION} THEN 'SKIPPED' ELSE res END AS o FROM u3),
+s3 AS (SELECT project_id, file_name, {last} AS status FROM o3 GROUP BY ALL)
+SELECT project_id, file_name, coalesce(s3.status, s1.status) AS status FROM s1 LEFT JOIN s3 USING (project_id, file_name)"""
+
+
+@query("two_run_status", oracle=_two_runs_sql())
+def two_run_status(spark: SparkSession, d: str) -> DataFrame:
+    """File statuses after two runs over the same visits.
+
+    Run 1 starts empty with half the cap. Run 2 finds the files run 1 fetched on disk
+    (their bytes are its initial bytes), has the full cap, one source without a cap, no
+    log row for a third of the visits, and leaves out stations that start at the cap.
+    """
+    yes, key = F.lit(True), KEY_FILE
+    first = admit_by_budget(_visits(spark, d), WORK_ORDER, key, FIRST_CAP_BYTES)
+    first = first.withColumn("outcome", capped_outcome(F.col("status"), F.col("capped"), yes))
+    order = ["station_ord", "ord1", "ord2", "project_id", "file_name"]
+    archive = fold_file_status(first, key, order, result="outcome")
+    fetched = first.where((F.col("outcome") == rules.SUCCESS) & ~F.col("restricted"))
+    initial = first_arrivals(fetched, key, WORK_ORDER).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint")).first()[0]
+    there = archive.where(F.col("status") == rules.SUCCESS).select(*key, yes.alias("on_disk"))
+    log = F.when(F.col("size_bytes") % 3 != 0, F.col("status"))
+    again = _visits(spark, d).join(there, key, "left")
+    again = again.withColumn("outcome", visit_outcome(log, F.col("on_disk"), yes))
+    gate = station_gate(again, WORK_ORDER, key, FIXTURE_CAP_BYTES, initial, status="outcome", on_disk="on_disk")
+    again = again.join(gate.where(F.col("harvested") | (F.col("station_ord") == UNCAPPED_STATION)).select("station_ord"), "station_ord")
+    second = admit_by_budget(again, WORK_ORDER, key, FIXTURE_CAP_BYTES, initial, status="outcome",
+                             uncapped=F.col("station_ord") == UNCAPPED_STATION, on_disk="on_disk")
+    second = second.withColumn("outcome", capped_outcome(F.col("outcome"), F.col("capped"), yes))
+    folded = fold_file_status(second, key, order, result="outcome", existing=archive)
+    kept = archive.join(folded.select(*key), key, "left_anti")
+    return folded.unionByName(kept)
+
+
 # ---------------------------------------------------------------- fetch outcome (F8, H6)
 
 @query("fetch_outcome", oracle="""
