@@ -1,16 +1,20 @@
 """Progress ledger (A6, B3, F9): which (source, project_url) pairs are done.
 
-A missing or unreadable ledger is an empty ledger and the run goes on. Saving
+A missing ledger, or one whose files are not Parquet, is an empty ledger and the
+run goes on; any other error (storage, permissions) fails the run. Saving
 appends the projects completed by a batch; duplicates are harmless because
 readers treat the ledger as a set.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .store import _fs
+
 LEDGER_SCHEMA = "source string, project_url string"
 
 
@@ -19,11 +23,16 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
 
 
 def load_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """The ledger as a distinct set; empty when the folder is missing or unreadable."""
+    """The ledger as a distinct set; empty when the folder is missing or a file is corrupt."""
+    fs, folder, _ = _fs(spark, path)
+    if not fs.exists(folder):
+        return empty_ledger(spark)
+    df = spark.read.schema(LEDGER_SCHEMA).parquet(path)
     try:
-        df = spark.read.schema(LEDGER_SCHEMA).parquet(path)
-        df.limit(1).collect()  # surface unreadable files now, not inside a later job
-    except (AnalysisException, Exception):  # noqa: BLE001 - any read failure means "no progress yet"
+        df.count()  # reads every footer
+    except (PySparkException, Py4JJavaError) as e:
+        if "is not a Parquet file" not in str(e):
+            raise
         return empty_ledger(spark)
     return df.dropDuplicates(["source", "project_url"])
 

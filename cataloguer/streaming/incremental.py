@@ -29,17 +29,21 @@ def merge_stream(spark: SparkSession, source: str, schema: str, archive_base: st
                  append_only: bool = True) -> StreamingQuery:
     """Start a stream that merges files landed in ``source`` into ``archive_base/table``.
 
-    ``append_only`` tables get only each micro-batch's new rows appended (cost
-    O(batch), not O(archive)); otherwise the merged table is written as a new version.
+    ``append_only`` tables get only each micro-batch's new rows appended: it writes
+    O(batch), but reads the key column of the archive for the anti join and ``max(id)``.
+    Otherwise the merged table is written as a new version.
     """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(source)
 
+    merged_batches: set[int] = set()
+
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
+        merged_batches.add(batch_id)
         if append_only:
             added = new_rows(read_rows(spark, archive_base, table), batch, key, order, columns=columns)
             append_rows(added, archive_base, table)
@@ -49,12 +53,17 @@ def merge_stream(spark: SparkSession, source: str, schema: str, archive_base: st
 
     writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
-    return writer.start()
+    query = writer.start()
+    query.merged_batches = merged_batches
+    return query
+
 
+def run_until_drained(query: StreamingQuery) -> int:
+    """Wait until an ``availableNow`` stream has finished; returns the number of micro-batches it merged.
 
-def run_until_drained(query: StreamingQuery, timeout_s: int = 600) -> int:
-    """Wait for an ``availableNow`` stream to finish; returns the number of micro-batches it ran."""
-    query.awaitTermination(timeout_s)
+    There is no time limit: a caller that reads the archive must see every landed file.
+    """
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-    return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
+    return len(query.merged_batches)
