@@ -4,9 +4,10 @@ Insert-or-ignore never changes a stored row, so the projects, keywords,
 person_role and licenses tables only grow: a merge appends its new rows
 (``append_rows``), which costs O(new rows), not O(archive). The files table also
 has status updates; Parquet cannot be overwritten while it is being read, so it
-is written as version ``n+1`` next to version ``n`` and a small pointer file
-(``_CURRENT``) is moved (``write_version``); readers follow the pointer. Paths go
-through the Hadoop FileSystem API, so the same code runs on HDFS, S3 or ABFS.
+is written as a new version folder (``write_version``). The current version is the
+highest one that Spark committed (it holds ``_SUCCESS``, written last), so the switch
+is that single file: a crash at any point leaves the version before it current. Paths
+go through the Hadoop FileSystem API, so the same code runs on HDFS, S3 or ABFS.
 """
 
 from __future__ import annotations
@@ -21,17 +22,22 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _versions(spark: SparkSession, base: str, table: str) -> dict[int, bool]:
+    """Version numbers of a table's folders, and whether each is committed."""
+    fs, folder, jvm = _fs(spark, f"{base.rstrip('/')}/{table}")
+    if not fs.exists(folder):
+        return {}
+    out = {}
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("v") and name[1:].isdigit():
+            out[int(name[1:])] = fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS"))
+    return out
+
+
 def current_version(spark: SparkSession, base: str, table: str) -> int:
-    """Version number the pointer names; 0 when the table has never been written."""
-    fs, p, _ = _fs(spark, f"{base.rstrip('/')}/{table}/_CURRENT")
-    if not fs.exists(p):
-        return 0
-    stream = fs.open(p)
-    try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-        return int(reader.readLine().strip())
-    finally:
-        stream.close()
+    """The highest committed version; 0 when the table has never been written."""
+    return max((v for v, done in _versions(spark, base, table).items() if done), default=0)
 
 
 def version_path(base: str, table: str, version: int) -> str:
@@ -40,25 +46,16 @@ def version_path(base: str, table: str, version: int) -> str:
 
 def write_version(spark: SparkSession, df: DataFrame, base: str, table: str,
                   partition_by: list[str] | None = None) -> int:
-    """Write ``df`` as the next version, then switch the pointer to it.
+    """Write ``df`` as the next version; it becomes current when Spark commits the write.
 
     ``partition_by`` (e.g. ``["source"]``) lays the version out in folders per
     value, so a filter on that column prunes whole folders at read time.
     """
-    nxt = current_version(spark, base, table) + 1
+    nxt = max(_versions(spark, base, table), default=0) + 1  # past folders of writes that did not finish
     w = df.write.mode("errorifexists")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(version_path(base, table, nxt))
-    fs, tmp, jvm = _fs(spark, f"{base.rstrip('/')}/{table}/_CURRENT.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(f"{nxt}\n".encode()))
-    finally:
-        out.close()
-    final = jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{table}/_CURRENT")
-    fs.delete(final, False)
-    fs.rename(tmp, final)
     return nxt
 
 
