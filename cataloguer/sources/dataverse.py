@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, file_extension, safe_name
-from ..functions.arrays import explode_rows
+from ..functions.arrays import computed, explode_rows
 
 SEARCH_ITEM = "struct<global_id: string, name: string, url: string, published_at: string, pos: bigint>"
 SEARCH_PAGE_SCHEMA = f"data struct<total_count: bigint, items: array<{SEARCH_ITEM}>>"
@@ -47,13 +47,13 @@ def pages_until_stop(pages: DataFrame, items: str = "items", error: str = "error
                      term: tuple[str, ...] = ("station_ord", "keyword_ord"), start: str = "start") -> DataFrame:
     """D8 for search pages: per (station, term) keep pages before the first failed or empty one.
 
-    The first stop per term is a small aggregate (one row per station and term),
-    broadcast back on the term key.
+    The first stop per term is an aggregate (one row per station and term), joined
+    back on the term key; Spark broadcasts it below its own size threshold.
     """
     term = list(term)
     bad = F.col(error).isNotNull() | F.coalesce(F.size(items) <= 0, F.lit(True))
     stop = pages.where(bad).groupBy(*term).agg(F.min(start).alias("_stop"))
-    j = pages.join(F.broadcast(stop), term, "left")
+    j = pages.join(stop, term, "left")
     return j.where(F.col("_stop").isNull() | (F.col(start) < F.col("_stop"))).drop("_stop")
 
 
@@ -66,7 +66,7 @@ def parse_details(df: DataFrame, json_col: str = "json", keep: list[str] | None
     """
     keep = keep or [c for c in df.columns if c != json_col]
     latest = F.try_variant_get(F.parse_json(F.col(json_col)), "$.data.latestVersion", "variant")
-    return df.select(*keep, latest.alias("_latest")).select(
+    return computed(df, keep, [latest.alias("_latest")]).select(
         *keep,
         F.try_variant_get("_latest", "$.versionNumber", "string").alias("version_major"),
         F.try_variant_get("_latest", "$.versionMinorNumber", "string").alias("version_minor"),

@@ -1,7 +1,7 @@
 """Item-page HTML adapter.
 
 All work is array functions on the page row itself: extract the bitstream links
-with one regex, keep first occurrences, drop thumbnail/preview links, keep the
+with one regex pass, keep first occurrences, drop thumbnail/preview links, keep the
 first link per file name. No explode before the filtering and no shuffle: the
 ``html`` column never leaves the scan's task.
 """
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import rules
 from ..functions.text import contains_any, file_extension
-from ..functions.arrays import explode_rows
+from ..functions.arrays import bind, explode_rows
 
 BASE_URL = rules.STATIONS[4][3]
 
@@ -35,11 +35,20 @@ def _name(path: Column) -> Column:
 
 
 def files_of_links(links: Column) -> Column:
-    """Array of (file_name, path): the first path per non-empty file name, in page order."""
-    names = F.transform(links, _name)
-    uniq = F.filter(F.array_distinct(names), lambda n: n != "")
-    return F.transform(uniq, lambda n: F.struct(n.alias("file_name"),
-                                                F.element_at(links, F.array_position(names, n).cast("int")).alias("path")))
+    """Array of (file_name, path): the first path per non-empty file name, in page order.
+
+    The links are sorted by (name, place), the first of each name is kept and put back
+    in page order, so a page costs n log n. Arrays that a lambda looks back into are
+    bound to a lambda variable (``bind``): written as expressions they would be worked
+    out again for every element.
+    """
+    named = F.transform(links, lambda p, i: F.struct(_name(p).alias("n"), i.alias("i"), p.alias("path")))
+
+    def firsts(a: Column) -> Column:
+        return F.filter(a, lambda x, k: (x["n"] != "") & ((k == 0) | (F.get(a, k - 1)["n"] != x["n"])))
+
+    kept = F.transform(bind(F.sort_array(named), firsts), lambda x: F.struct(x["i"], x["n"], x["path"]))
+    return F.transform(F.sort_array(kept), lambda x: F.struct(x["n"].alias("file_name"), x["path"].alias("path")))
 
 
 def page_files(pages: DataFrame, keep: list[str], html: str = "html", status: str = "http_status",

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..functions.arrays import computed
 from ..functions.text import blank_to_null, contains_any, py_strip, safe_name
 
 DC_TAGS = ["title", "description", "language", "date", "rights", "subject", "creator", "contributor",
@@ -29,8 +30,7 @@ HANDLE_MARK = "opendata.uni-halle.de/handle"
 def parse_records(df: DataFrame, xml_col: str = "xml", keep: list[str] | None = None) -> DataFrame:
     """Landed record XML text -> header and Dublin Core arrays."""
     keep = keep if keep is not None else [c for c in df.columns if c != xml_col]
-    r = F.from_xml(F.col(xml_col), RECORD_SCHEMA, XML_OPTIONS).alias("_r")
-    x = df.select(*keep, r)
+    x = computed(df, keep, [F.from_xml(F.col(xml_col), RECORD_SCHEMA, XML_OPTIONS).alias("_r")])
     return x.select(
         *keep,
         F.coalesce(py_strip("_r.header.identifier"), F.lit("")).alias("oai_id"),
@@ -131,11 +131,11 @@ def pages_until_error(records: DataFrame, page_col: str = "page_no", error_col:
                       harvest_cols: list[str] | None = None) -> DataFrame:
     """Keep only pages before the first error page of each harvest.
 
-    The first error page per harvest is a small aggregate (one row per harvest),
-    broadcast back on the harvest key.
+    The first error page per harvest is an aggregate (one row per harvest), joined
+    back on the harvest key; Spark broadcasts it below its own size threshold.
     """
     harvest_cols = harvest_cols or ["harvest"]
     first_bad = records.where(F.col(error_col).isNotNull()).groupBy(*harvest_cols).agg(
         F.min(page_col).alias("_first_bad"))
-    j = records.join(F.broadcast(first_bad), harvest_cols, "left")
+    j = records.join(first_bad, harvest_cols, "left")
     return j.where(F.col("_first_bad").isNull() | (F.col(page_col) < F.col("_first_bad"))).drop("_first_bad")
