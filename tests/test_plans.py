@@ -6,10 +6,11 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from cataloguer.plans import QUERIES
 
 from .conftest import SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 TEXT_COLS = re.compile(r"\b(html|text|json|xml)#")
 
 

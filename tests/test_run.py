@@ -44,3 +44,51 @@ def test_run_with_outcomes_and_cap(spark):
     assert got.get("SUCCESS", 0) >= 2 and got.get("SKIPPED", 0) >= 1
     ok_bytes = 10 * got["SUCCESS"]
     assert ok_bytes < 25 + 10  # only the file that crosses the cap is still taken
+
+
+def _statuses(res):
+    names = res.files.join(res.projects.select(F.col("id").alias("project_id"), "project_url"), "project_id")
+    return {(r.project_url, r.file_name): r.status for r in names.collect()}
+
+
+def test_rerun_skips_capped_files_and_counts_disk_bytes_once(spark):
+    """Capped files have no log row and become SKIPPED; a file on disk is SUCCESS and adds nothing."""
+    base = scratch_path(spark, "t-run3")
+    src = runs.dataverse_source(spark, SMALL)
+    src.files = src.files.withColumn("size", F.lit(10).cast("bigint")).withColumn("restricted", F.lit(False))
+    log = src.files.select("file_url", F.lit("SUCCESS").alias("outcome")).distinct()
+    first = run_harvest(spark, [src], f"{base}/a", "2026-01-01T00:00:00+00:00", fetch_outcomes=log, cap_bytes=35)
+    fetched = {k for k, v in _statuses(first).items() if v == "SUCCESS"}
+    assert len(fetched) == 4
+    there = first.files.where("status = 'SUCCESS'").join(first.projects.select(F.col("id").alias("project_id"), *runs.adapters.KEY), "project_id")
+    disk = src.files.join(there.select(*runs.adapters.KEY, "file_name"), [*runs.adapters.KEY, "file_name"]).select("local_path")
+    none = log.limit(0)
+    again = run_harvest(spark, [src], f"{base}/a", "2026-02-01T00:00:00+00:00", fetch_outcomes=log, cap_bytes=55, initial_bytes=40, on_disk=disk)
+    assert sum(v == "SUCCESS" for v in _statuses(again).values()) == 6 and fetched <= {k for k, v in _statuses(again).items() if v == "SUCCESS"}
+    full = run_harvest(spark, [src], f"{base}/b", "2026-02-01T00:00:00+00:00", fetch_outcomes=none, cap_bytes=30, initial_bytes=30)
+    assert full.projects.count() == 0  # every station starts at the cap
+    open_ = run_harvest(spark, [src], f"{base}/c", "2026-02-01T00:00:00+00:00", fetch_outcomes=log, cap_bytes=10, initial_bytes=5)
+    got = _statuses(open_)
+    assert sum(v == "SUCCESS" for v in got.values()) == 1 and set(got.values()) == {"SUCCESS", "SKIPPED"}
+
+
+def test_a_crash_between_versions_leaves_the_old_one(spark):
+    from cataloguer.sources import store
+
+    base = scratch_path(spark, "t-store")
+    store.write_version(spark, spark.range(3), base, "files")
+    spark.range(9).write.parquet(f"{base}/files/v2")
+    fs, mark, _ = store._fs(spark, f"{base}/files/v2/_SUCCESS")
+    fs.delete(mark, False)  # the write did not finish
+    assert store.read_current(spark, base, "files").count() == 3
+    assert store.write_version(spark, spark.range(5), base, "files") == 3
+    assert store.read_current(spark, base, "files").count() == 5
+
+
+def test_ledger_errors(spark):
+    from cataloguer.sources import ledger
+
+    base = scratch_path(spark, "t-ledger")
+    assert ledger.load_ledger(spark, f"{base}/none").count() == 0
+    spark.createDataFrame([("not a ledger " * 9,)], "x string").coalesce(1).write.text(f"{base}/corrupt")
+    assert ledger.load_ledger(spark, f"{base}/corrupt").count() == 0

@@ -131,3 +131,37 @@ def test_search_pages_until_stop(spark):
                                      "error_code string")
     kept = sorted((r[0], r[1], r[2]) for r in DV.pages_until_stop(df).collect())
     assert kept == [(0, 1, 0), (0, 1, 20), (0, 2, 0), (1, 1, 0), (1, 1, 20)]
+
+
+def test_page_with_many_links_reads_the_page_once(spark):
+    """Names keep their first path, in page order; the plan holds one regex pass, none below a lambda."""
+    import re
+
+    from cataloguer.sources import html
+
+    links = [f"/bitstream/1/{i}/name{(i * 7) % 900}.pdf" for i in range(1500)]
+    page = "".join(f'<a href="{x}">' for x in links)
+    df = html.page_files(spark.createDataFrame([(1, page, 200)], "page_id int, html string, http_status int"), ["page_id"])
+    want, seen = [], set()
+    for x in links:
+        name = x.rsplit("/", 1)[1]
+        if name not in seen:
+            seen.add(name)
+            want.append((name, x))
+    got = [(r.file_name, r.file_url) for r in df.orderBy("file_index").collect()]
+    assert [g[0] for g in got] == [w[0] for w in want] and all(u.endswith(w[1]) for (_, u), w in zip(got, want))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall("regexp_extract_all", plan)) == 1
+
+
+def test_payloads_are_parsed_once(spark):
+    """Filters on parsed fields stay above the parse."""
+    from cataloguer.sources import dataverse, oai
+
+    xml = oai.project_rows(oai.parse_records(spark.createDataFrame([(1, "<record/>")], "rec int, xml string")), ["rec"])
+    detail = dataverse.parse_details(spark.createDataFrame([(1, "{}")], "ds int, json string")).select("ds", dataverse.license_value().alias("license"))
+    for df, parse in ((xml, "from_xml|XmlToStructs|xmltostructs"), (detail.where("license is not null"), "parse_json|parseJson")):
+        import re
+
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert len(re.findall(parse, plan, re.I)) == 1, plan
