@@ -24,7 +24,7 @@ bit-parallel edit distance:
 Defined cases: null text stays null, empty stays empty; lines end at ``\n`` only and
 are compared as they are; rows with equal doc_id and text are one text (a repeated
 row keeps what the first keeps); a null doc_id is earlier than any; extra columns
-stay; an empty table stays empty.
+stay, but for those named like a result; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -234,29 +234,37 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
 
 def dedup_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame:
     """``docs`` with ``text`` less its repeated lines, and n_lines, n_exact, n_near (lines dropped)."""
-    keep = docs.columns
+    results = ["n_lines", "n_exact", "n_near"]
+    texts = docs.select("doc_id", "text")
     classes = written(
-        _lines(docs, params).groupBy("h1", "h2").agg(F.min(_first()).alias("first"), F.max(_first()).alias("last")), "line-classes"
+        _lines(texts, params).groupBy("h1", "h2").agg(F.min(_first()).alias("first"), F.max(_first()).alias("last")), "line-classes"
     )
-    near = near_links(docs, classes, params)
+    near = near_links(texts, classes, params)
     marked = classes.join(near.withColumn("near", F.lit(True)), classes["h1"] == near["id"], "left").select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("first"), F.coalesce("near", F.lit(False)).alias("near"),
         (F.col("first") < F.col("last")).alias("again"),
     ).where("near or again")
     drops = (
-        _lines(docs, params).select("doc_id", "th", "line_no", "h1", "h2")
+        _lines(texts, params).select("doc_id", "th", "line_no", "h1", "h2")
         .join(marked, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
         .withColumn("later", _first() > F.col("first")).where("near or later")
         .groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
-        .agg(F.collect_set("line_no").alias("_drop"), F.countDistinct(F.when(F.col("later"), F.col("line_no"))).alias("n_exact"))
+        .agg(F.collect_set("line_no").alias("_drop"), F.countDistinct(F.when(F.col("later"), F.col("line_no"))).alias("_exact"))
     )
-    joined = docs.withColumn("_th", F.xxhash64("text")).join(drops, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left")
-    lines = joined.select(*keep, F.split("text", "\n", -1).alias("_lines"), "_drop", "n_exact")
-    all_lines = F.sequence(F.lit(0), F.size("_lines") - 1)
-    kept = F.array_join(F.transform(F.array_except(all_lines, F.col("_drop")), lambda i: F.get("_lines", i)), "\n")
-    return lines.select(
-        *[F.when(F.col("_drop").isNull(), F.col("text")).otherwise(kept).alias("text") if c == "text" else F.col(c) for c in keep],
-        F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-        F.coalesce("n_exact", F.lit(0)).cast("long").alias("n_exact"),
-        (F.coalesce(F.size("_drop"), F.lit(0)) - F.coalesce("n_exact", F.lit(0))).cast("long").alias("n_near"),
+    # all input columns travel as one: no name can clash with a step's
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row")).withColumn("_th", F.xxhash64("_row.text"))
+    lines = rows.join(drops, F.col("_row.doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select(
+        "_row", F.split("_row.text", "\n", -1).alias("_lines"), "_drop", "_exact")
+    places = F.sequence(F.lit(0), F.size("_lines") - 1)
+    kept = F.array_join(F.transform(F.array_except(places, F.col("_drop")), lambda i: F.get("_lines", i)), "\n")
+    text = F.when(F.col("_drop").isNull(), F.col("_row.text")).otherwise(kept)
+    gone = F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long")
+    exact = F.coalesce("_exact", F.lit(0)).cast("long")
+    # a generator is a barrier: a filter on the results stays above, else each reference to the lines becomes another split
+    done = lines.select("_row", F.inline_outer(F.array(F.struct(
+        text.alias("_text"), F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines")).cast("long").alias("n_lines"),
+        exact.alias("n_exact"), (gone - exact).alias("n_near"),
+    ))))
+    return done.select(
+        *[F.col("_text").alias(c) if c.lower() == "text" else F.col("_row")[c].alias(c) for c in docs.columns if c.lower() not in results], *results
     )
