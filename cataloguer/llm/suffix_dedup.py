@@ -12,10 +12,12 @@ same document. The result is exact over the whole corpus without one array over
 2. **Whole contexts.** Rows are dealt out by anchor. Anchors that occur once, nearly
    all of unrepeated text, end here. Of equal contexts all but the first are covered
    in full: the inside of copies and repeated passages needs no text at all.
+   Contexts that a text repeats inside itself are settled before anything is sent.
 3. **Shards.** What remains are first contexts with an anchor that other contexts
    share: the edges of repeats, and common short phrases. Their windows are cut in
    bands; all windows of a band share a core of bytes, and bands are dealt out by the
-   hash of their core, so equal windows meet. A task lays the bands of several cores
+   hash of their core, so equal windows meet. Equal bands settle each other as
+   contexts do. A task lays the other bands of several cores
    out as one shard text and builds its suffix array by induced sorting and the
    permuted common prefixes (``llm.sais``): suffixes of common prefix ``window`` or more
    stand next to each other, and all but the first of such a run are covered.
@@ -39,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bytesops import mix, prefix_hash, span_hash, text_chunks
+from .bytesops import flat_ranges, mix, prefix_hash, span_hash, text_chunks
 from .registry import written
 from .sais import permuted_lcp, suffix_array
 
@@ -53,7 +55,7 @@ class SuffixParams:
     window: int = 100
     gram: int = 32
     band: int = 23
-    shard_bytes: int = 1 << 18
+    shard_bytes: int = 1 << 16
     hot: int = 2000
 
 
@@ -91,16 +93,42 @@ def anchors(data: np.ndarray, offsets: np.ndarray, p: SuffixParams) -> tuple[np.
     return text[lo], grams[where].view(np.int64), context.view(np.int64), lo, hi, where
 
 
+def settle_inside(text: np.ndarray, ah: np.ndarray, ch: np.ndarray, lo: np.ndarray, hi: np.ndarray, place: np.ndarray, p: SuffixParams):
+    """Contexts that a text repeats are covered by their first place in it: they become covered ranges.
+
+    A range is a row with place -1 and a hash of its own, so text of a short period
+    sends a row per run, not a row per period, and none of them to the same place.
+    """
+    if not len(text):
+        return text, ah, ch, lo, hi, place
+    key = mix(mix(ah.view(np.uint64) + text.astype(np.uint64) * _FIRST) + ch.view(np.uint64))
+    once = np.zeros(len(text), bool)
+    once[np.unique(key, return_index=True)[1]] = True
+    at = np.flatnonzero(~once)
+    if not len(at):
+        return text, ah, ch, lo, hi, place
+    begin = np.ones(len(at), bool)
+    begin[1:] = (text[at[1:]] != text[at[:-1]]) | (lo[at[1:]] > hi[at[:-1]] + p.window)
+    runs = np.flatnonzero(begin)
+    first, last = at[runs], at[np.append(runs[1:], len(at)) - 1]
+    own = mix(key[first] + lo[first].astype(np.uint64) * _FIRST).view(np.int64)
+    return tuple(np.concatenate([x[once], y]) for x, y in (
+        (text, text[first]), (ah, own), (ch, own), (lo, lo[first]), (hi, hi[last]), (place, np.full(len(first), -1))))
+
+
 def anchor_rows(docs: DataFrame, p: SuffixParams) -> DataFrame:
-    """(ah, ch, doc_id, rank, lo, hi, place): one row per anchor; places are offsets in the text."""
+    """(ah, ch, doc_id, rank, lo, hi, place): one row per anchor; places are offsets in the text.
+
+    Rows with place -1 are ranges that ``settle_inside`` found covered.
+    """
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, end, data, offsets in text_chunks(b.column(2)):
-                text, ah, ch, lo, hi, place = anchors(data, offsets, p)
+                text, ah, ch, lo, hi, place = settle_inside(*anchors(data, offsets, p), p)
                 start = offsets[text] if len(text) else text
                 rows = pa.array(text + first)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ah), pa.array(ch), b.column(0).take(rows), b.column(1).take(rows), *(pa.array((x - start).astype(np.int32)) for x in (lo, hi, place))],
+                    [pa.array(ah), pa.array(ch), b.column(0).take(rows), b.column(1).take(rows), *(pa.array(x.astype(np.int32)) for x in (lo - start, hi - start, np.where(place < 0, -1, place - start)))],
                     ["ah", "ch", "doc_id", "rank", "lo", "hi", "place"],
                 )
 
@@ -112,33 +140,34 @@ def _position(start: str = "lo") -> Column:
 
 
 def band_rows(docs: DataFrame, wanted: DataFrame, p: SuffixParams) -> DataFrame:
-    """(core, doc_id, rank, lo, body): the bands of the wanted contexts with the bytes of their windows."""
+    """(core, bh, doc_id, rank, lo, body): the bands of the wanted contexts, the bytes of their windows and a hash of them."""
     reach = p.window - p.gram
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = pa.schema([("core", pa.int64()), ("doc_id", pa.int64()), ("rank", pa.int32()), ("lo", pa.int32()), ("body", pa.binary())])
+        names = ["core", "bh", "doc_id", "rank", "lo", "body"]
         for b in batches:
-            out: list[list] = [[] for _ in types]
-            for doc_id, rank, text, contexts in zip(*(b.column(c) for c in ("doc_id", "rank", "text", "contexts"))):
-                raw = (text.as_py() or "").encode()
+            for row in range(b.num_rows):
+                raw = (b.column("text")[row].as_py() or "").encode()
                 prefix = prefix_hash(np.frombuffer(raw, np.uint8))
-                for c in contexts.as_py():
-                    lo, hi, place = c["lo"], c["hi"], c["place"]
-                    for k in range((lo - place + reach) // p.band, (hi - place + reach) // p.band + 1):
-                        edge = place - reach + p.band * k  # first window of the band
-                        core = np.array([edge + p.band - 1]), np.array([edge + p.window])
-                        h = span_hash(prefix, *core)
-                        a, z = max(lo, edge), min(hi, edge + p.band - 1)
-                        for col, v in zip(out, (int(mix(h).view(np.int64)[0]), doc_id.as_py(), rank.as_py(), a, raw[a : z + p.window])):
-                            col.append(v)
-                if len(out[0]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, types)], types.names)
-                    out = [[] for _ in types]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(out, types)], types.names)
+                contexts = b.column("contexts")[row].values
+                lo, hi, place = (contexts.field(c).to_numpy().astype(np.int64) for c in ("lo", "hi", "place"))
+                first, last = (lo - place + reach) // p.band, (hi - place + reach) // p.band
+                n = last - first + 1
+                lo, hi, place = (np.repeat(x, n) for x in (lo, hi, place))
+                edge = place - reach + p.band * flat_ranges(first, n)  # first window of each band
+                core = mix(span_hash(prefix, edge + p.band - 1, edge + p.window))
+                begin, end = np.maximum(lo, edge), np.minimum(hi, edge + p.band - 1) + p.window
+                body = span_hash(prefix, begin, end)
+                m = len(edge)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(core.view(np.int64)), pa.array(body.view(np.int64)),
+                    pa.array([b.column("doc_id")[row].as_py()] * m, pa.int64()), pa.array([b.column("rank")[row].as_py()] * m, pa.int32()),
+                    pa.array(begin.astype(np.int32)), pa.array([raw[a:z] for a, z in zip(begin.tolist(), end.tolist())], pa.binary()),
+                ], names)
 
     lists = wanted.groupBy(F.col("doc_id").alias("_d"), F.col("rank").alias("_r")).agg(F.collect_list(F.struct("lo", "hi", "place")).alias("contexts"))
     joined = docs.join(lists, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("rank") == F.col("_r"))).select("doc_id", "rank", "text", "contexts")
-    return joined.mapInArrow(make, "core long, doc_id long, rank int, lo int, body binary")
+    return joined.mapInArrow(make, "core long, bh long, doc_id long, rank int, lo int, body binary")
 
 
 def repeated_starts(bodies: list[bytes], order: list[tuple], window: int) -> list[list[int]]:
@@ -259,16 +288,26 @@ def covered_ranges(docs: DataFrame, p: SuffixParams) -> DataFrame:
     rows = (
         anchor_rows(docs, p).withColumn("first", F.min(_position()).over(same))
         .withColumn("_n", F.count(F.lit(1)).over(group)).withColumn("_lo", F.min("ch").over(group)).withColumn("_hi", F.max("ch").over(group))
-        .where("_n > 1").select("doc_id", "rank", "lo", "hi", "place", (_position() > F.col("first")).alias("later"), (F.col("_lo") != F.col("_hi")).alias("mixed"))
+        .where("_n > 1 or place < 0").select(
+            "doc_id", "rank", "lo", "hi", "place", ((_position() > F.col("first")) | (F.col("place") < 0)).alias("later"), (F.col("_lo") != F.col("_hi")).alias("mixed"))
     )
     rows = written(rows.where("later or mixed"), "suffix-anchors")
     whole = rows.where("later").select("doc_id", "rank", "lo", (F.col("hi") + p.window).alias("end"))
     wanted = rows.where("mixed and not later").dropDuplicates(["doc_id", "rank", "lo"])
-    bands = written(band_rows(docs, wanted, p), "suffix-bands")
-    hot = written(bands.groupBy(F.col("core").alias("_core")).agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > p.hot).select("_core"), "suffix-hot")
-    cold = bands.join(hot, F.col("core") == F.col("_core"), "left_anti")
-    warm = bands.join(hot, F.col("core") == F.col("_core"), "left_semi")
-    return whole.union(shard_ranges(cold, p)).union(hot_ranges(warm, p))
+    # equal bands settle each other in the same way: only different bands of one core are left for the arrays
+    equal, core = Window.partitionBy("core", "bh"), Window.partitionBy("core")
+    bands = (
+        band_rows(docs, wanted, p).withColumn("first", F.min(_position()).over(equal))
+        .withColumn("_lo", F.min("bh").over(core)).withColumn("_hi", F.max("bh").over(core)).withColumn("later", _position() > F.col("first"))
+        .withColumn("n", F.sum(F.when(F.col("later"), 0).otherwise(1)).over(core)).where("later or _lo <> _hi")
+        .select("core", "doc_id", "rank", "lo", F.when(F.col("later"), F.lit(None)).otherwise(F.col("body")).alias("body"),
+                (F.col("lo") + F.octet_length("body")).alias("end"), "later", "n")
+    )
+    bands = written(bands, "suffix-bands")
+    again = bands.where("later").select("doc_id", "rank", "lo", "end")
+    open_bands = bands.where("not later").select("core", "doc_id", "rank", "lo", "body", "n")
+    cold, hot = open_bands.where(F.col("n") <= p.hot).drop("n"), open_bands.where(F.col("n") > p.hot)
+    return whole.union(again).union(shard_ranges(cold, p)).union(hot_ranges(hot, p))
 
 
 def suffix_dedup(docs: DataFrame, params: SuffixParams = SuffixParams()) -> DataFrame:
