@@ -9,11 +9,10 @@ helpers here give the same numbers with a range shuffle instead:
 3. the per-partition totals (one row per partition: bounded by the partition
    count, so safe to broadcast) give the offset of every partition.
 
-The input is checkpointed once (the range bounds need a sampling pass over it,
-and the input is usually a large aggregate that should not run twice); the
-partition id and the local position are then fixed by a second reliable
-``checkpoint`` (into ``spark.checkpoint.dir``) before they are used twice, so a
-lost executor cannot renumber rows between the two uses.
+The partition id and the local position are fixed by a reliable ``checkpoint``
+(into ``spark.checkpoint.dir``) before they are used twice, so a lost executor
+cannot renumber rows between the two uses. The input needs no checkpoint of its
+own: it is usually an aggregate, whose shuffle output the sampling pass reuses.
 """
 
 from __future__ import annotations
@@ -34,8 +33,8 @@ def _partitions(df: DataFrame, n: int | None) -> int:
 
 def _ranged(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
-    # the range bounds need a sampling pass over the input: compute the input once
-    df = df.checkpoint(eager=True)
+    # the sampling pass for the range bounds repeats only what follows the input's last
+    # shuffle: adaptive execution has the shuffle's output by then
     ranged = (
         df.repartitionByRange(_partitions(df, n), *order)
         .sortWithinPartitions(*order)
