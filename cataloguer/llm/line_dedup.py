@@ -21,6 +21,9 @@ bit-parallel edit distance:
   bucket, so a bucket of a common phrase splits by the text around it;
 * lines still open are compared with the earlier lines of their small buckets.
 
+Before the exact comparison the counts of some letters are compared: an edit
+changes them by at most two in sum, so pairs that differ more are out.
+
 Defined cases: null text stays null, empty stays empty; lines end at ``\n`` only and
 are compared as they are; rows with equal doc_id and text are one text (a repeated
 row keeps what the first keeps); a null doc_id is earlier than any; extra columns
@@ -38,6 +41,10 @@ from .quality import SPACES
 from .registry import written
 
 
+#: Letters whose counts screen pairs before the exact comparison.
+PROFILE = "etanoirshdlu"
+
+
 @dataclass(frozen=True)
 class LineParams:
     """Production parameters."""
@@ -63,33 +70,36 @@ def probes(max_edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def _segment(length: Column, i: int, max_edits: int) -> tuple[Column, Column]:
-    """(0-based start, size) of segment i of a line of ``length``; later segments take the remainder."""
-    parts = max_edits + 1
-    base = F.floor(length / parts).cast("int")
-    long_from = parts - (length % parts)
-    start = i * base + F.greatest(F.lit(0), F.lit(i) - long_from).cast("int")
-    return start, base + F.when(F.lit(i) >= long_from, 1).otherwise(0)
+def _with_places(lines: DataFrame, max_edits: int) -> DataFrame:
+    """``lines`` (.., n) with the 1-based start and the size of each segment of each index length, as columns.
 
+    Later segments take the remainder of a length. Plain integer columns, worked out once per line.
+    """
+    parts, cols = max_edits + 1, []
+    for less in range(parts):
+        length = F.col("n") - less
+        base, rest = F.expr(f"cast((n - {less}) div {parts} as int)"), length % parts
+        for i in range(parts):
+            over = F.greatest(F.lit(0), F.lit(i) - (parts - rest)).cast("int")
+            cols += [(1 + i * base + over).cast("int").alias(f"_s{less}_{i}"),
+                     (base + F.when(F.lit(i) >= parts - rest, 1).otherwise(0)).cast("int").alias(f"_z{less}_{i}")]
+    return lines.select("*", *cols)
 
-def _places(n: Column, max_edits: int) -> list[tuple[Column, Column, Column]]:
-    """(index length, 1-based start, size) of each probe of a line of ``n`` characters."""
-    out = []
-    for less, i, shift in probes(max_edits):
-        length = (n - less).cast("int")
-        start, size = _segment(length, i, max_edits)
-        out.append((length, (start + 1 + shift).cast("int"), size.cast("int")))
-    return out
+
+def _substrings(max_edits: int) -> list[tuple[int, int, Column, Column]]:
+    """(length less by, segment, start, size) of each probe, over the columns of ``_with_places``."""
+    return [(less, i, F.col(f"_s{less}_{i}") + shift, F.col(f"_z{less}_{i}")) for less, i, shift in probes(max_edits)]
 
 
 def bucket_rows(lines: DataFrame, max_edits: int) -> DataFrame:
     """(key, id, slot) of every index and probe substring of ``lines`` (scope, id, s, n)."""
-    s, cells = F.col("s"), []
-    for slot, ((length, start, size), (_, i, _)) in enumerate(zip(_places(F.col("n"), max_edits), probes(max_edits))):
-        fits = (start >= 1) & (start + size <= F.col("n") + 1) & (size > 0)
-        key = F.when(fits, F.xxhash64("scope", length, F.lit(i), s.substr(start, size)))
-        cells.append(F.struct(key.alias("key"), F.lit(slot).cast("short").alias("slot")))
-    return lines.select("id", F.explode_outer(F.array(*cells)).alias("c")).where("c.key is not null").select("c.key", "id", "c.slot")
+    keys = []
+    for less, i, start, size in _substrings(max_edits):
+        key = F.xxhash64("scope", F.col("n") - less, F.lit(i), F.col("s").substr(start, size))
+        # in a line of fewer characters than that a probe may not fit; none is needed there
+        keys.append(F.when((start >= 1) & (start + size <= F.col("n") + 1), key))
+    placed = _with_places(lines.select("scope", "id", "s", F.col("n").cast("int").alias("n")), max_edits)
+    return placed.select("id", F.posexplode_outer(F.array(*keys)).alias("slot", "key")).where("key is not null")
 
 
 def shared_buckets(rows: DataFrame, max_edits: int) -> DataFrame:
@@ -101,13 +111,25 @@ def shared_buckets(rows: DataFrame, max_edits: int) -> DataFrame:
     )
 
 
-def remainder(s: Column, n: Column, slot: Column, max_edits: int) -> Column:
-    """The line without the substring of its slot; a NUL keeps the two sides apart."""
-    cells = [F.concat(s.substr(F.lit(1), start - 1), F.lit("\x00"), s.substr(start + size, n)) for _, start, size in _places(n, max_edits)]
-    out = cells[0]
-    for k, c in enumerate(cells[1:], 1):
-        out = F.when(slot == k, c).otherwise(out)
-    return out
+def remainders(lines: DataFrame, max_edits: int) -> DataFrame:
+    """``lines`` (.., s, n, slot) with ``rest``: s without the substring of its slot; a NUL keeps the two sides apart."""
+    s, out = F.col("s"), F.lit(None).cast("string")
+    for slot, (_, _, start, size) in enumerate(_substrings(max_edits)):
+        out = F.when(F.col("slot") == slot, F.concat(s.substr(F.lit(1), start - 1), F.lit("\x00"), s.substr(start + size, F.col("n")))).otherwise(out)
+    return _with_places(lines, max_edits).withColumn("rest", out)
+
+
+def profile(s: Column) -> list[Column]:
+    """How often each of some letters occurs: an edit changes the sum of these counts' differences by at most two."""
+    return [(F.char_length(s) - F.char_length(F.replace(s, F.lit(c), F.lit("")))).alias(f"c{k}") for k, c in enumerate(PROFILE)]
+
+
+def profiles_allow(x: str, y: str, max_edits: int) -> Column:
+    """Whether two rows' lengths and profiles (columns with prefixes x and y) allow so few edits."""
+    total = F.lit(0)
+    for k in range(len(PROFILE)):
+        total = total + F.abs(F.col(f"{x}c{k}") - F.col(f"{y}c{k}"))
+    return (F.abs(F.col(f"{x}n") - F.col(f"{y}n")) <= max_edits) & (total <= 2 * max_edits)
 
 
 def within_edits(a: Column, b: Column, max_edits: int) -> Column:
@@ -172,7 +194,7 @@ def within_edits(a: Column, b: Column, max_edits: int) -> Column:
 
 
 def _lines(docs: DataFrame, params: LineParams) -> DataFrame:
-    """One row per line that may be dropped: (doc_id, th, line_no, h1, h2, n, line)."""
+    """One row per line that may be dropped: (doc_id, th, line_no, n, h1, h2, line)."""
     return (
         docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
         .withColumn("n", F.char_length("line")).where((F.col("n") >= params.min_exact) & (F.btrim("line", F.lit(SPACES)) != ""))
@@ -180,6 +202,21 @@ def _lines(docs: DataFrame, params: LineParams) -> DataFrame:
     )
 
 
+def _flags(ids: DataFrame, column: str, size: int = 1 << 22) -> Column:
+    """A test that holds for every id of ``ids`` and few others: one bit per id modulo ``size``.
+
+    A constant of fixed size (``size`` bits) that screens the lines before they are
+    shuffled; where it is full it screens less and the join after it stays exact.
+    """
+    words = [0] * (size // 64)
+    for r in ids.select((F.pmod(column, F.lit(size)) / 64).cast("int").alias("w"), (F.pmod(column, F.lit(size)) % 64).cast("int").alias("b")).groupBy("w").agg(
+            F.bit_or(F.expr("shiftleft(1L, b)")).alias("m")).collect():
+        words[r["w"]] = r["m"]
+    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
+    place = F.pmod(F.col("h1"), F.lit(size))
+    return F.getbit(F.get(table, (place / 64).cast("int")), (place % 64).cast("int")) == 1
+
+
 def _first() -> Column:
     return F.struct("doc_id", "th", "line_no")
 
@@ -194,41 +231,45 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
     # a wanted line's text is taken from its first place only
     place = wanted.select(F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t"), F.col("first.line_no").alias("_l"))
     found = (
-        near.join(place, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("line_no") == F.col("_l")), "left_semi")
-        .select(F.col("h1").alias("id"), F.col("line").alias("s"), "n", _first().alias("first")).dropDuplicates(["id"])
+        near.where(_flags(wanted, "id"))
+        .join(place, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("line_no") == F.col("_l")), "left_semi")
+        .select(F.col("h1").alias("id"), F.col("line").alias("s"), "n", _first().alias("first"), *profile(F.col("line"))).dropDuplicates(["id"])
     )
     lines = written(found, "line-texts")
-    order = lines.select("id", "first")
+    counts = [f"c{i}" for i in range(len(PROFILE))]
+    order = lines.select("id", "first", "n", *counts)
+
+    def side(name: str) -> DataFrame:
+        return order.drop("first").withColumnsRenamed({"id": name, "n": f"{name}_n"} | {c: f"{name}_{c}" for c in counts})
 
     def verified(pairs: DataFrame) -> DataFrame:
         """Ids of later lines among (x later, y earlier) pairs that are within the edits."""
+        likely = pairs.distinct().join(side("x"), "x").join(side("y"), "y").where(profiles_allow("x_", "y_", k)).select("x", "y")
         one = lines.select(F.col("id").alias("x"), F.col("s").alias("sx"))
         two = lines.select(F.col("id").alias("y"), F.col("s").alias("sy"))
-        return pairs.distinct().join(one, "x").join(two, "y").where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
+        return likely.join(one, "x").join(two, "y").where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
 
-    def open_rows(b: DataFrame, done: DataFrame | None) -> DataFrame:
-        b = b.join(order, "id")
-        return b.withColumn("open", F.lit(True)) if done is None else b.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
+    def open_rows(b: DataFrame, done: DataFrame) -> DataFrame:
+        return b.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
 
     pop = buckets.groupBy("id").agg(F.count(F.lit(1)).alias("pop"))
     w = Window.partitionBy("key")
     star = (
-        open_rows(buckets, None).join(pop, "id")
+        buckets.join(order.select("id", "first"), "id").join(pop, "id")
         .withColumn("pivot", F.max(F.struct("pop", "id", "first")).over(w)).withColumn("earliest", F.min(F.struct("first", "id")).over(w))
     )
     pairs = star.where(F.col("first") > F.col("pivot.first")).select(F.col("id").alias("x"), F.col("pivot.id").alias("y")).union(
         star.where(F.col("first") > F.col("earliest.first")).select(F.col("id").alias("x"), F.col("earliest.id").alias("y")))
     done = written(verified(pairs), "line-done")
-    sized = open_rows(buckets, done).withColumn("size", F.count(F.lit(1)).over(w)).withColumn("_open", F.max("open").over(w)).where("_open")
-    sized = written(sized.select("key", "id", "slot", "size"), "line-buckets")
-    cut = sized.where(F.col("size") > params.cell).join(lines.select("id", "s", "n"), "id").select(
-        F.col("key").alias("scope"), "id", remainder(F.col("s"), F.col("n"), F.col("slot"), k).alias("s")
-    ).withColumn("n", F.char_length("s"))
-    finer = shared_buckets(bucket_rows(cut, k), k).select("key", "id")
-    left = written(open_rows(sized.where(F.col("size") <= params.cell).select("key", "id").union(finer), done), "line-buckets")
-    left = left.withColumn("_open", F.max("open").over(w)).where("_open")
-    other = left.select("key", F.col("id").alias("y"), F.col("first").alias("_first"))
-    rest = left.where("open").join(other, "key").where(F.col("first") > F.col("_first")).select(F.col("id").alias("x"), "y")
+    sized = open_rows(buckets, done).withColumn("size", F.count(F.lit(1)).over(w)).withColumn("_open", F.max("open").over(w)).where("_open and size > 2")
+    sized = written(sized.select("key", "id", "slot", "size", "open"), "line-buckets")
+    cut = remainders(sized.where(F.col("size") > params.cell).join(lines.select("id", "s", "n"), "id"), k).select(
+        F.col("key").alias("scope"), "id", F.col("rest").alias("s")).withColumn("n", F.char_length("s"))
+    finer = open_rows(shared_buckets(bucket_rows(cut, k), k).select("key", "id"), done)
+    left = sized.where(F.col("size") <= params.cell).select("key", "id", "open").unionByName(finer).join(order, "id")
+    other = left.withColumnsRenamed({"id": "y", "first": "y_first", "n": "y_n"} | {c: f"y_{c}" for c in counts}).drop("open")
+    left = left.where("open").withColumnsRenamed({"id": "x", "n": "x_n"} | {c: f"x_{c}" for c in counts})
+    rest = left.join(other, (left["key"] == other["key"]) & (F.col("first") > F.col("y_first")) & profiles_allow("x_", "y_", k)).select("x", "y")
     return written(done.union(verified(rest)).distinct(), "line-near")
 
 
@@ -236,17 +277,15 @@ def dedup_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame
     """``docs`` with ``text`` less its repeated lines, and n_lines, n_exact, n_near (lines dropped)."""
     results = ["n_lines", "n_exact", "n_near"]
     texts = docs.select("doc_id", "text")
-    classes = written(
-        _lines(texts, params).groupBy("h1", "h2").agg(F.min(_first()).alias("first"), F.max(_first()).alias("last")), "line-classes"
-    )
+    places = written(_lines(texts, params).select("doc_id", "th", "line_no", "h1", "h2"), "line-places")
+    classes = written(places.groupBy("h1", "h2").agg(F.min(_first()).alias("first"), F.max(_first()).alias("last")), "line-classes")
     near = near_links(texts, classes, params)
     marked = classes.join(near.withColumn("near", F.lit(True)), classes["h1"] == near["id"], "left").select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"), F.col("first"), F.coalesce("near", F.lit(False)).alias("near"),
         (F.col("first") < F.col("last")).alias("again"),
     ).where("near or again")
     drops = (
-        _lines(texts, params).select("doc_id", "th", "line_no", "h1", "h2")
-        .join(marked, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
+        places.join(marked, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")))
         .withColumn("later", _first() > F.col("first")).where("near or later")
         .groupBy(F.col("doc_id").alias("_d"), F.col("th").alias("_t"))
         .agg(F.collect_set("line_no").alias("_drop"), F.countDistinct(F.when(F.col("later"), F.col("line_no"))).alias("_exact"))
@@ -255,8 +294,8 @@ def dedup_lines(docs: DataFrame, params: LineParams = LineParams()) -> DataFrame
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row")).withColumn("_th", F.xxhash64("_row.text"))
     lines = rows.join(drops, F.col("_row.doc_id").eqNullSafe(F.col("_d")) & (F.col("_th") == F.col("_t")), "left").select(
         "_row", F.split("_row.text", "\n", -1).alias("_lines"), "_drop", "_exact")
-    places = F.sequence(F.lit(0), F.size("_lines") - 1)
-    kept = F.array_join(F.transform(F.array_except(places, F.col("_drop")), lambda i: F.get("_lines", i)), "\n")
+    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    kept = F.array_join(F.transform(F.array_except(every, F.col("_drop")), lambda i: F.get("_lines", i)), "\n")
     text = F.when(F.col("_drop").isNull(), F.col("_row.text")).otherwise(kept)
     gone = F.when(F.col("_drop").isNull(), 0).otherwise(F.size("_drop")).cast("long")
     exact = F.coalesce("_exact", F.lit(0)).cast("long")
