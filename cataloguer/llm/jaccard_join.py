@@ -15,15 +15,20 @@ Exact, in three layers, all Spark joins:
    dealings (other hash seeds), which its linked sets in the same state use too.
    Common lines and passages thus make no large region: a slice is equal only if all
    its shingles, from anywhere in the text, are.
-3. **Pivots in a region.** The class that occurs in most regions is the region's
-   pivot, and exact distances to it are computed; classes within the radius are
-   linked to it (a star, not all pairs). Regions whose classes are by then one
-   component are done. Others are split: several pivots create Voronoi cells, each
-   class goes to its nearest pivot's cell and, by the triangle inequality, to every
-   cell whose pivot is at most ``2 * radius`` further; cells are split again until
-   they are small, and the rest is compared pair by pair inside cells, leaving out
-   pairs already in one component, pairs whose sizes rule a link out, and pairs
-   whose distances to the pivot differ by more than the radius.
+3. **Pivots and windows.** The class that occurs in most regions is a region's pivot,
+   and exact distances to it are computed; classes within the radius are linked to
+   it (a star, not all pairs). Regions whose classes are by then one component are
+   done. Each class now belongs to the Voronoi region of the nearest pivot it was
+   measured against, and two classes of one region can be linked only if their
+   distances to the pivot differ by at most the radius (triangle inequality).
+4. **Boundary.** What is left is joined once more by windows over shingles: the
+   shingles of the classes left are ranked, rarest first, and a class is replicated to
+   the regions of its first ``(1 - s) n + 1`` shingles, in which it must meet any
+   linked class. In a region only pairs of different components are compared whose
+   sizes, places in the ranking and distances to a common pivot allow a link. A
+   shingle that a text shares with no other fills a place of its window and meets
+   nobody, so families of texts that are all edited too far apart end here without
+   being compared.
 
 Components follow from the links found (``llm.components``). Links inside one
 component that are not needed to connect it are not computed.
@@ -65,9 +70,6 @@ class JaccardParams:
     words: int = 4
     growth: float = 1.4  # ratio of the size windows
     seeds: int = 8  # dealings for sets with many small slices
-    cell: int = 64  # cells up to this size are compared pair by pair
-    pivots: int = 8
-    depth: int = 4
 
 
 class Windows:
@@ -218,17 +220,25 @@ class _Joiner:
             F.size("sa").cast("long").alias("na"), F.size("sb").cast("long").alias("nb"),
         )
         fresh = written(counted, "jaccard-pairs")
+        linked = (100 + self.p.percent) * F.col("common") >= self.p.percent * (F.col("na") + F.col("nb"))
         self.known = fresh if self.known is None else self.known.union(fresh)
-        links = self.known.where((100 + self.p.percent) * F.col("common") >= self.p.percent * (F.col("na") + F.col("nb")))
-        self.labels = written(components(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "jaccard-labels")
+        if self.labels is None or not fresh.where(linked).isEmpty():
+            links = self.known.where(linked).select(F.col("a").alias("u"), F.col("b").alias("v"))
+            self.labels = written(components(links), "jaccard-labels")
 
     def labelled(self, regions: DataFrame) -> DataFrame:
-        """Regions with each class's component, without regions that are one component."""
+        """Regions with each class's component, without those that are settled.
+
+        A region is settled if it is one component, or, once measured against its pivot, has two classes only.
+        """
         if self.labels is None:
             return regions.withColumn("comp", F.col("cls"))
         rows = regions.join(self.labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("root", "cls")).drop("root")
         w = Window.partitionBy("key")
-        return rows.withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).where("_lo <> _hi").drop("_lo", "_hi")
+        return (
+            rows.withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).withColumn("_n", F.count(F.lit(1)).over(w))
+            .where("_lo <> _hi and _n > 2").drop("_lo", "_hi", "_n")
+        )
 
     def possible(self, n: str, m: str):
         """Whether sizes allow a link."""
@@ -241,41 +251,41 @@ class _Joiner:
     def star(self, regions: DataFrame) -> None:
         """Measure each class of a region against the region's most frequent class."""
         pivot = F.max(F.struct("pop", "cls", "n", "comp")).over(Window.partitionBy("key"))
+        self.pivots = written(regions.groupBy("key").agg(F.max(F.struct("pop", "cls")).alias("p")).select(F.col("p.cls").alias("pivot")).distinct(), "jaccard-pivots")
         rows = regions.withColumn("pivot", pivot).where(F.col("comp") != F.col("pivot.comp")).select(
             "cls", "n", F.col("pivot.cls").alias("p"), F.col("pivot.n").alias("pn")
         )
         self.measure(self.ordered(rows.where(self.possible("n", "pn")), "cls", "p"))
 
-    def distance(self, rows: DataFrame, x: str, y: str) -> DataFrame:
-        """``rows`` with the Jaccard distance ``d`` of the measured pair (x, y)."""
-        k = self.known.select(F.col("a").alias("_a"), F.col("b").alias("_b"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("d"))
-        return rows.join(k, (F.least(x, y) == F.col("_a")) & (F.greatest(x, y) == F.col("_b")), "left").drop("_a", "_b").withColumn(
-            "d", F.when(F.col(x) == F.col(y), 0.0).otherwise(F.col("d")))
-
-    def split(self, regions: DataFrame) -> DataFrame:
-        """Voronoi cells of regions larger than a cell; each class also enters the cells its window reaches."""
+    def homes(self) -> DataFrame:
+        """(cls, home, d): the nearest pivot each class was measured against, and the distance to it."""
+        d = 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+        k = self.known.select("a", "b", d.alias("d"))
+        both = k.select(F.col("a").alias("cls"), F.col("b").alias("home"), "d").union(k.select(F.col("b").alias("cls"), F.col("a").alias("home"), "d"))
+        near = both.join(self.pivots, both["home"] == self.pivots["pivot"], "left_semi").groupBy("cls").agg(F.min(F.struct("d", "home")).alias("h"))
+        own = self.pivots.select(F.col("pivot").alias("cls"), F.col("pivot").alias("home"), F.lit(0.0).alias("d"))
+        return near.select("cls", "h.home", "h.d").join(own.select("cls"), "cls", "left_anti").union(own)
+
+    def boundary(self, left: DataFrame) -> None:
+        """Measure the pairs of different components that windows over the rarest shingles bring together."""
         radius = 1 - self.p.percent / 100
-        w = Window.partitionBy("key")
-        sized = regions.withColumn("size", F.count(F.lit(1)).over(w))
-        small = sized.where(F.col("size") <= self.p.cell).drop("size")
-        large = sized.where(F.col("size") > self.p.cell).drop("size")
-        ranked = large.withColumn("rank", F.row_number().over(w.orderBy(F.xxhash64("cls", "key"))))
-        pivots = ranked.where(F.col("rank") <= self.p.pivots).select("key", F.col("cls").alias("p"))
-        met = written(large.join(pivots, "key"), "jaccard-cells")
-        self.measure(self.ordered(met.where("cls <> p"), "cls", "p"))
-        near = self.distance(met, "cls", "p").withColumn("least", F.min("d").over(Window.partitionBy("key", "cls")))
-        cells = near.where(F.col("d") <= F.col("least") + 2 * radius + 1e-9)
-        return small.unionByName(cells.select(F.xxhash64("key", "p").alias("key"), "cls", "n", "pop"), allowMissingColumns=True).select("key", "cls", "n", "pop")
-
-    def rest(self, regions: DataFrame) -> None:
-        """Pairs of different components inside cells, less those that the pivot's distances rule out."""
-        radius = 1 - self.p.percent / 100
-        pivot = F.max(F.struct("pop", "cls")).over(Window.partitionBy("key"))["cls"]
-        rows = self.distance(regions.withColumn("p", pivot), "cls", "p").select("key", "cls", "n", "comp", "d")
-        other = rows.select("key", *[F.col(c).alias(f"_{c}") for c in ("cls", "n", "comp", "d")])
-        pairs = rows.join(other, "key").where(
-            (F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & self.possible("n", "_n")
-            & ~F.coalesce(F.abs(F.col("d") - F.col("_d")) > radius + 1e-9, F.lit(False))
+        classes = left.select("cls", "n", "comp").distinct().join(self.homes(), "cls", "left")
+        rows = classes.join(self.sets, "cls").select("cls", "n", "comp", "home", "d", F.explode("shingles").alias("g"))
+        common = rows.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
+        ranked = rows.join(common, "g").withColumn("pos", F.row_number().over(Window.partitionBy("cls").orderBy("df", "g")))
+        window = F.floor((100 - self.p.percent) * F.col("n") / 100) + 1
+        w = Window.partitionBy("g")
+        met = written(
+            ranked.where((F.col("pos") <= window) & (F.col("df") > 1))
+            .withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).where("_lo <> _hi").drop("_lo", "_hi", "df"),
+            "jaccard-boundary",
+        )
+        other = met.select("g", *[F.col(c).alias(f"_{c}") for c in ("cls", "n", "comp", "home", "d", "pos")])
+        needed = F.ceil(self.p.percent * (F.col("n") + F.col("_n")) / (100 + self.p.percent))
+        apart = (F.col("home") == F.col("_home")) & (F.abs(F.col("d") - F.col("_d")) > radius + 1e-9)
+        pairs = met.join(other, "g").where(
+            (F.col("cls") < F.col("_cls")) & (F.col("comp") != F.col("_comp")) & self.possible("n", "_n") & ~F.coalesce(apart, F.lit(False))
+            & (1 + F.least(F.col("n") - F.col("pos"), F.col("_n") - F.col("_pos")) >= needed)
         )
         self.measure(self.ordered(pairs, "cls", "_cls"))
 
@@ -297,13 +307,8 @@ def jaccard_join(docs: DataFrame, params: JaccardParams = JaccardParams()) -> Da
     join = _Joiner(regions, classes.select("cls", "n"), sets, params)
     join.star(join.labelled(join.regions))
     left = written(join.labelled(join.regions), "jaccard-left")
-    join.star(left)
-    left = written(join.labelled(join.regions), "jaccard-left")
-    for _ in range(params.depth):
-        if left.groupBy("key").count().where(F.col("count") > params.cell).isEmpty():
-            break
-        left = written(join.labelled(join.split(left.drop("comp"))), "jaccard-left")
-    join.rest(left)
+    if not left.isEmpty():
+        join.boundary(left)
     roots = classes.join(join.labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
     named = roots.join(least, "root").select("cls", "component_id")
