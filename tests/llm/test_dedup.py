@@ -240,10 +240,8 @@ def test_suffix_arrays():
 def quality_model(rows, labels, p):
     """Contract counts and verdicts."""
     def bucket(w):
-        return xxhash.xxh64_intdigest(w.lower().encode(), seed=42) % p.buckets if True else None
-
-    def signed(h):
-        return h - (1 << 64) if h >= 1 << 63 else h
+        h = xxhash.xxh64_intdigest(w.lower().encode(), seed=42)  # the engine's hash is a signed number
+        return (h - (1 << 64) if h >= 1 << 63 else h) % p.buckets
 
     raw, good = collections.Counter(), collections.Counter()
     state = collections.defaultdict(lambda: True)
@@ -251,7 +249,7 @@ def quality_model(rows, labels, p):
         state[d] &= q == 1 and not t
     for d, text, *_ in rows:
         for w in WORD.findall(text or ""):
-            b = signed(xxhash.xxh64_intdigest(w.lower().encode(), seed=42)) % p.buckets
+            b = bucket(w)
             raw[b] += 1
             good[b] += d is not None and d in state and state[d]
     nr, ng = sum(raw.values()), sum(good.values())
@@ -269,7 +267,7 @@ def quality_model(rows, labels, p):
             spots[tuple(words[i : i + 3])].append(i)
         repeat = len({j for v in spots.values() if len(v) > 1 for i in v for j in (i, i + 1, i + 2)})
         failed = len(words) < p.min_words or 100 * repeat > p.max_repeat_percent * len(words)
-        total = sum(weight[signed(xxhash.xxh64_intdigest(w.lower().encode(), seed=42)) % p.buckets] for w in words)
+        total = sum(weight[bucket(w)] for w in words)
         kept = not failed and total >= round(p.threshold * quality.MICRO) * len(words)
         out.append((d, len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), repeat, failed, kept))
     return sorted(out, key=repr)
