@@ -2,39 +2,45 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 import numpy as np
 
+from .bytesops import prefix_hash, span_hash
+
 
-def _induce(text: Sequence[int], sizes: np.ndarray, small: list[bool], seeds: list[int]) -> list[int]:
-    """Sort all suffixes from sorted leftmost-smaller seeds: larger types forward, smaller types backward."""
-    n = len(text)
-    ends = np.cumsum(sizes).tolist()
-    starts = [0, *ends[:-1]]
-    sa = [-1] * n
-    tail = ends[:]
-    for i in reversed(seeds):
-        c = text[i]
-        tail[c] -= 1
-        sa[tail[c]] = i
-    head = starts[:]
-    last = n - 1
-    sa_last = text[last]  # the suffix after the end induces the last one, always of the larger type
-    sa[head[sa_last]] = last
-    head[sa_last] += 1
+def _induce(sizes: np.ndarray, larger: list[int], smaller: list[int], seeds: np.ndarray, buckets: np.ndarray, last: int) -> list[int]:
+    """Sort all suffixes from sorted leftmost-smaller seeds: larger types forward, smaller types backward.
+
+    ``larger[i]`` and ``smaller[i]`` are the bucket of suffix i - 1 if that has the type, else -1; a last
+    entry of -1 serves the places (-1) not filled yet. ``buckets`` are the seeds' buckets, ``last`` the
+    bucket of the last suffix, which the end of the text induces.
+    """
+    n = len(larger) - 1
+    ends = np.cumsum(sizes)
+    start = ends - sizes
+    sa = np.full(n, -1, np.int64)
+    # seeds fill the ends of their buckets, in order
+    order = np.argsort(buckets, kind="stable")
+    held = np.bincount(buckets, minlength=len(sizes))
+    rank = np.arange(len(seeds)) - np.repeat(np.cumsum(held) - held, held)
+    sa[(ends - held)[buckets[order]] + rank] = seeds[order]
+    sa = sa.tolist()
+    head = start.tolist()
+    sa[head[last]] = n - 1
+    head[last] += 1
     for i in sa:
-        if i > 0 and not small[i - 1]:
-            c = text[i - 1]
-            sa[head[c]] = i - 1
-            head[c] += 1
-    tail = ends[:]
+        c = larger[i]
+        if c >= 0:
+            k = head[c]
+            sa[k] = i - 1
+            head[c] = k + 1
+    tail = ends.tolist()
     for k in range(n - 1, -1, -1):
         i = sa[k]
-        if i > 0 and small[i - 1]:
-            c = text[i - 1]
-            tail[c] -= 1
-            sa[tail[c]] = i - 1
+        c = smaller[i]
+        if c >= 0:
+            j = tail[c] - 1
+            sa[j] = i - 1
+            tail[c] = j
     return sa
 
 
@@ -56,24 +62,28 @@ def suffix_array(values: np.ndarray) -> np.ndarray:
     left = np.zeros(n, bool)  # leftmost smaller: a smaller type after a larger one
     left[1:] = small[1:] & ~small[:-1]
     seeds = np.flatnonzero(left)
-    text, types = v.tolist(), small.tolist()
+    larger, smaller = np.full(n + 1, -1, np.int64), np.full(n + 1, -1, np.int64)
+    larger[1:n] = np.where(small[:-1], -1, v[:-1])
+    smaller[1:n] = np.where(small[:-1], v[:-1], -1)
+    larger, smaller, last = larger.tolist(), smaller.tolist(), int(v[-1])
+    rough = np.array(_induce(sizes, larger, smaller, seeds, v[seeds], last))
     if len(seeds) < 2:
-        return np.array(_induce(text, sizes, types, seeds.tolist()))
-    rough = np.array(_induce(text, sizes, types, seeds.tolist()))
-    order = rough[left[rough]]  # leftmost-smaller substrings are in order now; equal ones get one name
-    follow = np.append(seeds[1:], n)
-    length = dict(zip(seeds.tolist(), (follow - seeds + 1).tolist()))
-    names, name, before = {}, -1, None
-    for i in order.tolist():
-        own = text[i : i + length[i]]
-        ends_here = i + length[i] > n
-        if own != before or ends_here:
-            name += 1
-        before = None if ends_here else own
-        names[i] = name
-    reduced = np.array([names[i] for i in seeds.tolist()])
-    ranks = np.argsort(reduced) if name + 1 == len(seeds) else suffix_array(reduced)
-    return np.array(_induce(text, sizes, types, seeds[ranks].tolist()))
+        return rough
+    # leftmost-smaller substrings are in order now; equal ones get one name
+    order = rough[left[rough]]
+    stop = np.zeros(n, np.int64)
+    stop[seeds] = np.append(seeds[1:] + 1, n + 1)  # the last one ends with the text and equals none
+    prefix = prefix_hash(np.append(v, 0))
+    own = span_hash(prefix, order, np.minimum(stop[order], n + 1))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (own[1:] != own[:-1]) | (stop[order[1:]] - order[1:] != stop[order[:-1]] - order[:-1])
+    fresh[1:] |= (order[1:] == seeds[-1]) | (order[:-1] == seeds[-1])
+    names = np.zeros(n, np.int64)
+    names[order] = np.cumsum(fresh) - 1
+    reduced = names[seeds]
+    ranks = np.argsort(reduced) if fresh.all() else suffix_array(reduced)
+    sorted_seeds = seeds[ranks]
+    return np.array(_induce(sizes, larger, smaller, sorted_seeds, v[sorted_seeds], last))
 
 
 def permuted_lcp(values: np.ndarray, sa: np.ndarray, stop: np.ndarray, most: int) -> np.ndarray:

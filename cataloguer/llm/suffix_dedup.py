@@ -237,7 +237,9 @@ def shard_ranges(bands: DataFrame, p: SuffixParams) -> DataFrame:
         if shard:
             yield covered()
 
-    return bands.repartition("core").sortWithinPartitions("core").mapInArrow(make, "doc_id long, rank int, lo int, end int")
+    # a fixed number of tasks: the work is in the arrays, so few bytes must not mean few tasks
+    tasks = int(bands.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return bands.repartition(tasks, "core").sortWithinPartitions("core").mapInArrow(make, "doc_id long, rank int, lo int, end int")
 
 
 def hot_ranges(bands: DataFrame, p: SuffixParams) -> DataFrame:
