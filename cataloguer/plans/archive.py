@@ -19,6 +19,8 @@ from ..functions.text import file_extension, safe_name
 from ..operators import merge as M
 from ..operators.ordering import with_ordinal
 from ..operators.status import fold_file_status
+from ..session import scratch_path
+from ..sources import ledger as L
 from ..sources import tables
 from . import sqltext as S
 from .registry import RUN_TS, RUN_TS_PREVIOUS, query
@@ -389,27 +391,59 @@ def select_source(spark: SparkSession, d: str, source: str = "uni_halle") -> Dat
     return p if source == "both" else p.where(source_of(F.col("repository_id")) == source)
 
 
-@query("anti_completed", oracle=f"SELECT {_FX_PROJECT_COLS} FROM fx_projects p WHERE NOT ({_IN_LEDGER})")
+# The ledger's source is the station for Dataverse and the source name for OAI; the fixture's host
+# ("https://h<k>.example") names the station.
+LEDGER_SOURCES = [s[2] for s in rules.STATIONS[:4]] + [rules.STATIONS[4][0]]
+
+
+def with_ledger_source(df: DataFrame) -> DataFrame:
+    host = F.substring("project_url", 10, 1).cast("int")
+    return df.withColumn("source", F.get(F.array(*[F.lit(x) for x in LEDGER_SOURCES]), host))
+
+
+def _ledger_source_sql(col: str) -> str:
+    whens = " ".join(f"WHEN '{i}' THEN {S.q(x)}" for i, x in enumerate(LEDGER_SOURCES))
+    return f"(CASE substr({col}, 10, 1) {whens} END)"
+
+
+_PROJECTS_SOURCE_SQL = f"(SELECT {_FX_PROJECT_COLS}, {_ledger_source_sql('project_url')} AS source FROM fx_projects)"
+_LEDGER_SOURCE_SQL = f"(SELECT {_ledger_source_sql('project_url')} AS source, project_url FROM fx_ledger)"
+_DONE_SQL = f"EXISTS (SELECT 1 FROM {_LEDGER_SOURCE_SQL} l WHERE l.source = p.source AND l.project_url = p.project_url)"
+
+
+def landed_ledger(spark: SparkSession, d: str) -> str:
+    """Folder of a saved ledger that holds the fixture's completed projects."""
+    path = scratch_path(spark, "ledger")
+    L.save_completed(with_ledger_source(fx(spark, d, "fx_ledger")), path)
+    return path
+
+
+@query("anti_completed", oracle=f"SELECT * FROM {_PROJECTS_SOURCE_SQL} p WHERE NOT {_DONE_SQL}")
 def anti_completed(spark: SparkSession, d: str) -> DataFrame:
-    return fx(spark, d, "fx_projects").join(fx(spark, d, "fx_ledger"), PROJECT_KEY, "left_anti")
+    """Projects that the saved ledger does not list for their source."""
+    return L.pending(with_ledger_source(fx(spark, d, "fx_projects")), L.load_ledger(spark, landed_ledger(spark, d)))
 
 
-@query("semi_completed", oracle=f"""
-SELECT repository_id, count(*) AS n_skipped FROM fx_projects p WHERE {_IN_LEDGER} GROUP BY repository_id""")
+@query("semi_completed", oracle=f"SELECT source, count(*) AS n_skipped FROM {_PROJECTS_SOURCE_SQL} p WHERE {_DONE_SQL} GROUP BY source")
 def semi_completed(spark: SparkSession, d: str) -> DataFrame:
-    done = fx(spark, d, "fx_projects").join(fx(spark, d, "fx_ledger"), PROJECT_KEY, "left_semi")
-    return done.groupBy("repository_id").agg(F.count(F.lit(1)).alias("n_skipped"))
+    ledger = L.load_ledger(spark, landed_ledger(spark, d))
+    done = with_ledger_source(fx(spark, d, "fx_projects")).join(ledger, ["source", "project_url"], "left_semi")
+    return done.groupBy("source").agg(F.count(F.lit(1)).alias("n_skipped"))
 
 
 def merged_ledger(spark: SparkSession, d: str) -> DataFrame:
-    led = fx(spark, d, "fx_ledger")
-    done_now = fx(spark, d, "fx_projects").join(led, PROJECT_KEY, "left_anti")
-    return M.ledger_union(led, done_now, PROJECT_KEY)
+    """The ledger after this run's pending projects were saved to it, and twice at that."""
+    path = landed_ledger(spark, d)
+    pending = L.pending(with_ledger_source(fx(spark, d, "fx_projects")), L.load_ledger(spark, path))
+    pending = pending.select("source", "project_url").checkpoint()  # the ledger grows while it is read otherwise
+    for _ in range(2):
+        L.save_completed(pending, path)
+    return L.load_ledger(spark, path)
 
 
-_LEDGER_MERGE_SQL = """SELECT DISTINCT repository_id, project_url FROM (
-  SELECT repository_id, project_url FROM fx_ledger
-  UNION ALL SELECT repository_id, project_url FROM fx_projects) t"""
+_LEDGER_MERGE_SQL = f"""SELECT DISTINCT source, project_url FROM (
+  SELECT source, project_url FROM {_LEDGER_SOURCE_SQL} l
+  UNION ALL SELECT source, project_url FROM {_PROJECTS_SOURCE_SQL} p) t"""
 
 
 @query("ledger_merge", oracle=_LEDGER_MERGE_SQL)
@@ -418,9 +452,9 @@ def ledger_merge(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("report_ledger", oracle=f"""
-SELECT repository_id, count(*) AS completed FROM ({_LEDGER_MERGE_SQL}) t GROUP BY repository_id""")
+SELECT source, count(*) AS completed FROM ({_LEDGER_MERGE_SQL}) t GROUP BY source""")
 def report_ledger(spark: SparkSession, d: str) -> DataFrame:
-    return merged_ledger(spark, d).groupBy("repository_id").agg(F.count(F.lit(1)).alias("completed"))
+    return merged_ledger(spark, d).groupBy("source").agg(F.count(F.lit(1)).alias("completed"))
 
 
 # ---------------------------------------------------------------- registry
