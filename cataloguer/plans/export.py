@@ -11,11 +11,14 @@ The versioned archive store (B4) lives in ``cataloguer.sources.store``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import merge as M
 from ..session import scratch_path
-from .archive import fx
-from .registry import query
+from . import sqltext as S
+from .archive import _ARCHIVE_FILES_SQL, archive_files, fx, projects_full
+from .registry import ORACLE_TEXT, query
 
 CSV_WRITE = {
     "header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "",
@@ -61,3 +64,54 @@ def export_projects_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "export-projects")
     write_csv(fx(spark, d, "fx_projects"), path)
     return read_csv(spark, path, FX_PROJECTS_SCHEMA)
+
+
+# ---------------------------------------------------------------- all six outputs
+
+_KW = S.strip("keyword")
+_NAME = S.strip("name")
+_LIC = S.strip("license")
+_TABLE_SQL = {
+    "projects": "SELECT * FROM fx_projects",
+    "files": _ARCHIVE_FILES_SQL,
+    "keywords": f"SELECT DISTINCT project_id, {_KW} AS keyword FROM fx_keywords_raw WHERE {_KW} <> ''",
+    "person_role": f"SELECT DISTINCT project_id, {_NAME} AS name, {S.role('role')} AS role FROM fx_persons_raw WHERE {_NAME} <> ''",
+    "licenses": f"SELECT DISTINCT project_id, {S.license(_LIC)} AS license FROM fx_licenses_raw WHERE {_LIC} <> ''",
+    "projects_full": ORACLE_TEXT["projects_full"],
+}
+_COLUMNS = {
+    "projects": [c.split()[0] for c in FX_PROJECTS_SCHEMA.split(", ")],
+    "files": ["project_id", "file_name", "file_type", "status"],
+    "keywords": ["project_id", "keyword"],
+    "person_role": ["project_id", "name", "role"],
+    "licenses": ["project_id", "license"],
+    "projects_full": ["project_id", "repository_id", "project_url", "title", "description", "version", "file_name", "status", "keywords", "persons", "licenses"],
+}
+
+
+def _digest_sql(name: str) -> str:
+    text = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _COLUMNS[name])
+    return f"""SELECT '{name}' AS table_name, count(*) AS n_rows,
+  CAST(sum(CAST('0x' || substr(md5(concat_ws('|', {text})), 1, 8) AS BIGINT)) AS BIGINT) AS digest FROM ({_TABLE_SQL[name]}) t"""
+
+
+@query("export_all_tables", oracle="\nUNION ALL\n".join(_digest_sql(n) for n in TABLES))
+def export_all_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Write the six outputs as CSV, read them back and digest every row of each."""
+    frames = {
+        "projects": fx(spark, d, "fx_projects"),
+        "files": archive_files(spark, d),
+        "keywords": M.clean_keywords(fx(spark, d, "fx_keywords_raw")).distinct(),
+        "person_role": M.clean_persons(fx(spark, d, "fx_persons_raw")).distinct(),
+        "licenses": M.clean_licenses(fx(spark, d, "fx_licenses_raw")).distinct(),
+        "projects_full": projects_full(spark, d),
+    }
+    paths = export_all(frames, scratch_path(spark, "export"))
+    out = None
+    for name in TABLES:
+        back = read_csv(spark, paths[name], frames[name].schema)
+        text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in _COLUMNS[name]])
+        number = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+        one = back.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(number).alias("digest")).select(F.lit(name).alias("table_name"), "n_rows", "digest")
+        out = one if out is None else out.unionByName(one)
+    return out
