@@ -9,6 +9,7 @@ from ..sources.store import read_rows
 from ..session import scratch_path
 from ..streaming.incremental import merge_stream, run_until_drained
 from .archive import fx, ledger_project_ids
+from .harvest import first_hits
 from .registry import ORACLE_TEXT, query
 
 KEY = ["project_id", "keyword"]
@@ -34,3 +35,26 @@ def stream_merge_keywords(spark: SparkSession, d: str) -> DataFrame:
         run_until_drained(q)
     return read_rows(spark, archive, "keywords")
 
+
+
+HIT_COLS = ["global_id", "station_ord", "keyword_ord", "start", "pos", "has_qda"]
+
+
+@query("stream_first_hits", oracle=ORACLE_TEXT["first_hit_global"])
+def stream_first_hits(spark: SparkSession, d: str) -> DataFrame:
+    """First valid hit of each dataset, station after station, as a stream (L4).
+
+    Each station's valid first hits are landed when the station is done; a stream pass
+    merges them into the seen set. A dataset seen at an earlier station stays with it,
+    so the result equals the batch ``first_hit_global``.
+    """
+    details = fx(spark, d, "fx_details").where("n_files > 0").select("station_ord", "global_id", "has_qda")
+    valid = first_hits(spark, d).join(details, ["station_ord", "global_id"]).select(*HIT_COLS)
+    valid = valid.checkpoint(eager=True)  # landed once per station
+    base = scratch_path(spark, "stream-hits")
+    source, archive, ck = f"{base}/landing", f"{base}/archive", f"{base}/checkpoint"
+    for station in range(4):
+        valid.where(f"station_ord = {station}").write.mode("append").parquet(source)
+        q = merge_stream(spark, source, valid.schema, archive, "seen", ["global_id"], HIT_COLS[1:], ck, columns=HIT_COLS)
+        run_until_drained(q)
+    return read_rows(spark, archive, "seen").select(*HIT_COLS)
