@@ -42,7 +42,7 @@ from .registry import written
 
 
 #: Letters whose counts screen pairs before the exact comparison.
-PROFILE = "etanoirshdlu"
+PROFILE = "etanoirshdlugbywcmpf"
 
 
 @dataclass(frozen=True)
@@ -266,10 +266,14 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
     cut = remainders(sized.where(F.col("size") > params.cell).join(lines.select("id", "s", "n"), "id"), k).select(
         F.col("key").alias("scope"), "id", F.col("rest").alias("s")).withColumn("n", F.char_length("s"))
     finer = open_rows(shared_buckets(bucket_rows(cut, k), k).select("key", "id"), done)
-    left = sized.where(F.col("size") <= params.cell).select("key", "id", "open").unionByName(finer).join(order, "id")
-    other = left.withColumnsRenamed({"id": "y", "first": "y_first", "n": "y_n"} | {c: f"y_{c}" for c in counts}).drop("open")
+    left = sized.where(F.col("size") <= params.cell).select("key", "id", "open").unionByName(finer)
+    # a pair is compared in one of the buckets it shares, the one of the smallest key
+    keys = left.groupBy("id").agg(F.collect_set("key").alias("keys"))
+    left = left.join(keys, "id").join(order, "id")
+    other = left.withColumnsRenamed({"id": "y", "first": "y_first", "n": "y_n", "keys": "y_keys"} | {c: f"y_{c}" for c in counts}).drop("open")
     left = left.where("open").withColumnsRenamed({"id": "x", "n": "x_n"} | {c: f"x_{c}" for c in counts})
-    rest = left.join(other, (left["key"] == other["key"]) & (F.col("first") > F.col("y_first")) & profiles_allow("x_", "y_", k)).select("x", "y")
+    once = F.array_min(F.array_intersect("keys", "y_keys")) == left["key"]
+    rest = left.join(other, (left["key"] == other["key"]) & (F.col("first") > F.col("y_first")) & profiles_allow("x_", "y_", k) & once).select("x", "y")
     return written(done.union(verified(rest)).distinct(), "line-near")
 
 
