@@ -141,7 +141,11 @@ def held_out(doc_id: str) -> Column:
 
 
 def training_sample(docs: DataFrame, params: LangParams) -> list[tuple[str, str]]:
-    """The bounded sample: ids are chosen on narrow rows, then only their texts are fetched."""
+    """The bounded sample: ids are chosen on narrow rows, then only their texts are fetched.
+
+    The ids are broadcast (at most ``per_class`` x ``max_classes``), so no text is shuffled.
+    """
+    docs = docs.select("doc_id", "lang", "text")
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = (
@@ -155,7 +159,7 @@ def training_sample(docs: DataFrame, params: LangParams) -> list[tuple[str, str]
         return []
     chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in set(ids)], "_id long, _lang string").distinct()
     texts = (
-        docs.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
+        docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
         .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, params.sample_chars).alias("text"))
         .limit(2 * len(ids)).collect()
     )
