@@ -10,7 +10,7 @@ Exact, in three layers, all Spark joins:
    for sizes in a window, linked sets differ in at most ``t`` shingles; the shingles
    are dealt by hash to ``t + 1 + spare`` slices, so linked sets agree on at least
    ``spare + 1`` slices. A region is the group of classes with the same slice
-   (window, slice number, content). Slices of fewer than two shingles are left out
+   (window, slice number, content). Slices of fewer than ``weak`` shingles are left out
    if a set has at most ``spare`` of them; a set with more also uses further
    dealings (other hash seeds), which its linked sets in the same state use too.
    Common lines and passages thus make no large region: a slice is equal only if all
@@ -69,7 +69,8 @@ class JaccardParams:
     percent: int = 85
     words: int = 4
     growth: float = 1.4  # ratio of the size windows
-    seeds: int = 8  # dealings for sets with many small slices
+    weak: int = 2  # slices of fewer shingles are left out
+    seeds: int = 8  # dealings for sets with many weak slices
 
 
 class Windows:
@@ -131,7 +132,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[
             yield np.zeros(0, np.uint64)
 
 
-def slice_keys(s: np.ndarray, windows: Windows, seeds: int) -> np.ndarray:
+def slice_keys(s: np.ndarray, windows: Windows, seeds: int, weak: int = 2) -> np.ndarray:
     """Region keys of a set (see the module)."""
     out = []
     for w in windows.of(len(s)):
@@ -144,7 +145,7 @@ def slice_keys(s: np.ndarray, windows: Windows, seeds: int) -> np.ndarray:
             at = (mix(s ^ _K[2:3] * np.uint64(r + 1)) % np.uint64(m)).astype(np.int64)
             total = np.zeros(m, np.uint64)
             np.add.at(total, at, mix(s + _K[3]))
-            strong = np.bincount(at, minlength=m) >= 2
+            strong = np.bincount(at, minlength=m) >= weak
             enough = m - int(strong.sum()) <= spare
             where = np.flatnonzero(strong) if enough or r < seeds - 1 else np.arange(m)
             out.append(mix(mix(total[where] + where.astype(np.uint64) * _K[0]) + np.uint64(w * 64 + r) * _K[1:2]))
@@ -177,7 +178,7 @@ def keyed_sets(docs: DataFrame, params: JaccardParams) -> DataFrame:
                     c = _digest(s)
                     sizes.append(len(s))
                     classes.append(c)
-                    keys.append(np.zeros(0, np.uint64) if c in met else slice_keys(s, windows, params.seeds))
+                    keys.append(np.zeros(0, np.uint64) if c in met else slice_keys(s, windows, params.seeds, params.weak))
                     met.add(c)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(lo, hi - lo), pa.array(sizes, pa.int64()), pa.array(classes, pa.int64()), _as_lists(keys)],

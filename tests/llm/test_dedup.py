@@ -61,7 +61,7 @@ def variants(seed, n):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("params", [jaccard_join.JaccardParams(), jaccard_join.JaccardParams(percent=80, words=5), jaccard_join.JaccardParams(percent=60, growth=2.0, seeds=1)])
+@pytest.mark.parametrize("params", [jaccard_join.JaccardParams(), jaccard_join.JaccardParams(percent=80, words=5, weak=1), jaccard_join.JaccardParams(percent=60, growth=2.0, seeds=1)])
 def test_jaccard_join_equals_brute_force(spark, params):
     rows = variants(4, 60)
     got = rows_of(jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string"), params), "doc_id", "n_shingles", "component_id")
