@@ -271,14 +271,17 @@ class _Joiner:
         """Measure the pairs of different components that windows over the rarest shingles bring together."""
         radius = 1 - self.p.percent / 100
         classes = left.select("cls", "n", "comp").distinct().join(self.homes(), "cls", "left")
-        rows = classes.join(self.sets, "cls").select("cls", "n", "comp", "home", "d", F.explode("shingles").alias("g"))
-        common = rows.groupBy("g").agg(F.count(F.lit(1)).alias("df"))
-        ranked = rows.join(common, "g").withColumn("pos", F.row_number().over(Window.partitionBy("cls").orderBy("df", "g")))
-        window = F.floor((100 - self.p.percent) * F.col("n") / 100) + 1
         w = Window.partitionBy("g")
+        # narrow rows, one shuffle: a shingle of one class only counts for the places it takes
+        rows = self.sets.join(classes.select("cls"), "cls", "left_semi").select("cls", F.explode("shingles").alias("g"))
+        shared = rows.withColumn("df", F.count(F.lit(1)).over(w)).where("df > 1")
+        own = Window.partitionBy("cls")
+        ranked = shared.withColumn("rank", F.row_number().over(own.orderBy("df", "g"))).withColumn("many", F.count(F.lit(1)).over(own))
+        window = F.floor((100 - self.p.percent) * F.col("n") / 100) + 1
         met = written(
-            ranked.where((F.col("pos") <= window) & (F.col("df") > 1))
-            .withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).where("_lo <> _hi").drop("_lo", "_hi", "df"),
+            ranked.join(classes, "cls").withColumn("pos", F.col("n") - F.col("many") + F.col("rank")).where(F.col("pos") <= window)
+            .withColumn("_lo", F.min("comp").over(w)).withColumn("_hi", F.max("comp").over(w)).where("_lo <> _hi")
+            .select("g", "cls", "n", "comp", "home", "d", "pos"),
             "jaccard-boundary",
         )
         other = met.select("g", *[F.col(c).alias(f"_{c}") for c in ("cls", "n", "comp", "home", "d", "pos")])
