@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from cataloguer.llm import components, decontaminate, jaccard_join, line_dedup, quality, sais, suffix_dedup
 
-from ..conftest import SMALL
+from ..conftest import MEDIUM, SMALL
 from .helpers import FOLD, SCHEMA, WORD, edge_docs, edge_rows, rows_of
 
 
@@ -297,6 +297,25 @@ def test_quality_edges(spark):
     assert quality.quality_rules(edge_docs(spark), labels.limit(0)).where("llr <> 0").count() == 0
 
 
+@pytest.mark.parametrize("folder, least", [(SMALL, 0.4), (MEDIUM, 0.7)])
+def test_quality_finds_toxic_documents(spark, folder, least):
+    """Production parameters at two sizes: most toxic documents go, nearly all trusted ones stay."""
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    judged = quality.quality_rules(docs, labels).where("n_words >= 50").join(labels, "doc_id").select("quality", "toxic", "kept").collect()
+    toxic = [r.kept for r in judged if r.toxic]
+    trusted = [r.kept for r in judged if r.quality == 1 and not r.toxic]
+    assert toxic.count(False) >= least * len(toxic) > 0
+    assert trusted.count(False) <= 0.02 * len(trusted)
+
+
+def test_quality_counts_every_trusted_document(spark):
+    n = 20_500
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("word").alias("text"))
+    labels = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    (counts,) = quality.bucket_counts(docs, labels, quality.QualityRules()).collect()
+    assert (counts.raw, counts.trusted) == (n, n)
+
+
 def test_quality_orders(spark):
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
     out = quality.quality_rules(docs, labels, quality.QualityRules(orders=(1, 2), smoothing=3.0))
