@@ -17,8 +17,10 @@ proportion (a new phase of rounds); nothing is dropped.
 Documents are tokenised once and written with their place in the queue of their
 task (a table in the shared folder), so a lost executor repeats only tasks. The
 place of each (source, task) queue comes from a window over one row per
-(source, task); the only thing gathered on the driver is one total per source
-(``max_sources`` bounds it, more raise an error).
+(source, task); the only thing gathered on the driver is one total per queue.
+``max_sources`` bounds the queues: of more sources the largest keep a queue each and
+all others share the last one, one source after the other, with their shares added up.
+Nothing is dropped, and the pieces keep their sources' names.
 
 Defined cases: null or empty text holds only the end id; a null source is a source
 of its own; repeated rows are packed each; an empty table gives no pieces; other
@@ -28,6 +30,7 @@ columns are not read.
 from __future__ import annotations
 
 import bisect
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -90,7 +93,7 @@ class Rounds:
     def layout(self, r: int) -> tuple[list[int], list[int]]:
         """Per source: queue position at the start of round ``r``, and its place in the whole stream."""
         if r not in self._known:
-            if len(self._known) > 100_000:
+            if len(self._known) > min(100_000, 2_000_000 // max(1, len(self.totals))):
                 self._known.clear()
             now, then = self.sent(r), self.sent(r + 1)
             at, place = sum(now), []
@@ -151,6 +154,19 @@ def tokenised(docs: DataFrame, vocabulary: str, end_id: int, id_type: str) -> Da
     return rows.mapInArrow(encode, _IDS)
 
 
+def _shared_queue(queues: DataFrame, slots: int = 1024) -> tuple[DataFrame, int]:
+    """(source, part, first) in one queue of all ``queues`` (source, part, size), ordered by slot of the source's hash, and its length."""
+    w = Window.partitionBy("slot").orderBy("source", "part")
+    rows = queues.withColumn("slot", F.pmod(F.xxhash64("source"), F.lit(slots)).cast("int"))
+    rows = written(rows.withColumn("within", F.sum("size").over(w) - F.col("size")), "packing-shared")
+    starts, at = [], 0
+    for r in rows.groupBy("slot").agg(F.sum("size").alias("size")).orderBy("slot").collect():
+        starts.append((r["slot"], at))
+        at += r["size"]
+    offsets = queues.sparkSession.createDataFrame(starts, "slot int, start long")
+    return rows.join(F.broadcast(offsets), "slot").select("source", "part", (F.col("start") + F.col("within")).alias("first")), at
+
+
 def pack(
     docs: DataFrame, window: int = 2048, weights: dict[str | None, float] | None = None, vocabulary: str | None = None,
     end_id: int = 1, max_sources: int = 4096, with_ids: bool = False,
@@ -160,24 +176,36 @@ def pack(
     id_type = _id_type(vocabulary, end_id)
     ids = written(tokenised(docs, vocabulary, end_id, id_type), "packing-ids")
     queues = ids.groupBy("source", "part").agg(F.sum("n").alias("size"))
-    # written, so that Spark knows its size: it broadcasts the table only below its own threshold
-    places = written(queues.select(
-        "source", "part", (F.sum("size").over(Window.partitionBy("source").orderBy("part")) - F.col("size")).alias("first")
-    ), "packing-places")
-    totals = {r["source"]: r["size"] for r in queues.groupBy("source").agg(F.sum("size").alias("size")).limit(max_sources + 1).collect()}
+    sizes = queues.groupBy("source").agg(F.sum("size").alias("size"))
+    totals = {r["source"]: r["size"] for r in sizes.orderBy(F.desc("size"), "source").limit(max_sources + 1).collect()}
+    rest = None
     if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources: a mixture names few sources, map them to components first")
+        totals = dict(list(totals.items())[: max_sources - 1])
+        named = docs.sparkSession.createDataFrame([(s,) for s in totals], "_source string")
+        rest = queues.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_source")), "left_anti")
+        queues = queues.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("_source")), "left_semi")
     order = sorted(totals, key=lambda s: (s is not None, s or ""))
+    lengths = [totals[s] for s in order]
+    places = queues.select("source", "part", (F.sum("size").over(Window.partitionBy("source").orderBy("part")) - F.col("size")).alias("first"))
+    if rest is not None:
+        shared, length = _shared_queue(rest)
+        places, lengths = places.unionByName(shared), [*lengths, length]
+    # written, so that Spark knows its size: it broadcasts the table only below its own threshold
+    places = written(places, "packing-places")
     if weights is None:
-        shares = [totals[s] for s in order]
+        shares = lengths
     else:
         parts = [Fraction(weights.get(s, 0)).limit_denominator(10**6) for s in order]
+        if rest is not None:  # every source has a weight, so no more than those can come
+            others = [r["source"] for r in rest.select("source").distinct().limit(len(weights) + 1).collect()]
+            each = [Fraction(weights.get(s, 0)).limit_denominator(10**6) for s in others]
+            parts.append(sum(each) if all(x > 0 for x in each) else Fraction(0))
         if any(p <= 0 for p in parts):
             raise ValueError("every source needs a positive weight")
-        base = int(np.lcm.reduce([p.denominator for p in parts])) if parts else 1
+        base = math.lcm(*[p.denominator for p in parts])
         shares = [int(p * base) for p in parts]
     number = {s: i for i, s in enumerate(order)}
-    args = ([totals[s] for s in order], shares, window)
+    args = (lengths, shares, window)
     schema = _PIECES + (", ids binary" if with_ids else "")
     types = pa.schema([(c.split()[0], pa.string() if c.split()[1] == "string" else pa.binary() if c.split()[1] == "binary" else pa.int64()) for c in schema.split(", ")])
 
@@ -188,7 +216,7 @@ def pack(
             doc_ids, sources, firsts, sizes = (b.column(c).to_pylist() for c in ("doc_id", "source", "queue_start", "n"))
             for doc_id, source, first, n, raw in zip(doc_ids, sources, firsts, sizes, b.column("ids")):
                 doc = np.frombuffer(raw.as_buffer(), id_type).astype("<u4")
-                for start, length, at in rounds.cut(number[source], first, n):
+                for start, length, at in rounds.cut(number.get(source, len(number)), first, n):
                     piece = doc[start : start + length]
                     row = (doc_id, source, start, length, zlib.crc32(piece), n, at // window, at % window)
                     for c, v in zip(cols, (*row, piece.tobytes()) if with_ids else row):

@@ -122,6 +122,22 @@ def test_packing_holds_every_id_once(spark, weights):
         assert [p.ids_crc32 for p in own] == [crc(ids[p.start : p.start + p.length]) for p in own]
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+@pytest.mark.parametrize("most", [1, 4])
+def test_packing_takes_more_sources_than_queues(spark, weighted, most):
+    rows = [(i, f"text number {i} of its source " * (1 + i % 5), f"site{i % 40}.org" if i % 41 else None) for i in range(200)]
+    weights = {s: 1 + len(s or "") % 3 for s in {r[2] for r in rows}} if weighted else None
+    pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string"), window=64, weights=weights, max_sources=most).collect()
+    by_doc, _ = check_pieces(pieces, 64)
+    assert len(by_doc) == len(rows)
+    for i, t, source in rows:
+        ids = library_ids(t) + [1]
+        own = sorted(by_doc[i, len(ids), source], key=lambda p: p.start)
+        assert [p.start for p in own] == np.concatenate([[0], np.cumsum([p.length for p in own])[:-1]]).tolist()
+        assert sum(p.length for p in own) == len(ids)
+        assert [p.ids_crc32 for p in own] == [crc(ids[p.start : p.start + p.length]) for p in own]
+
+
 def test_packing_keeps_the_mixture(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     pieces = packing.pack(docs).toPandas()
