@@ -12,7 +12,8 @@ coordinates; a repetition is an independent sample. The windows are those that
 start at a word of a document and reach over an item; an item is entered at
 ``entries`` of its words, so edits near one entry leave the others. The number of
 repetitions follows from ``recall``: it is the smallest that finds this part of copies
-of the items edited at the rate ``recall_rate``.
+of the items that are edited at the rate ``max_error`` and that verification accepts.
+If ``max_repetitions`` find fewer, a warning is logged.
 
 All windows of a chunk of texts walk together, as numpy arrays. The first
 coordinates of a key lie early in the walk; only windows whose early coordinates
@@ -34,6 +35,7 @@ no rows; extra columns are not read.
 
 from __future__ import annotations
 
+import logging
 import math
 import re
 from collections.abc import Iterator
@@ -49,6 +51,9 @@ from .bytesops import HashIndex, mix
 _SCHEMA = "doc_id long, item_id long, distance long"
 SLOT_BITS = 22
 _OTHER = re.compile(r"[\W_]+")
+#: Scripts without blanks below U+3000: Thai and Lao, Myanmar, Khmer, Tai Le and New Tai Lue, Buginese and Tai Tham.
+_NO_BLANKS = ((0xE00, 0xEFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A00, 0x1AAF))
+_LOG = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -57,9 +62,8 @@ class LeakParams:
 
     max_error: float = 0.1
     recall: float = 0.97
-    recall_rate: float = 0.05
     min_chars: int = 40
-    entries: int = 6
+    entries: int = 12
     early: tuple[int, int] = (6, 32)  # coordinates, of the first steps
     late: int = 5
     tiers: tuple[tuple[int, int], ...] = ((90, 160), (40, 72))  # (characters left from the entry, last step)
@@ -128,7 +132,7 @@ class ItemIndex:
         for number, (_, text) in enumerate(items):
             raw = text.encode()
             parts += [raw, b" " * (self.embedding.steps + 1)]
-            words = [0, *(m.end() for m in re.finditer(b" ", raw))]
+            words = word_starts(np.frombuffer(raw, np.uint8)).tolist()
             for e in sorted({words[len(words) * k // p.entries] for k in range(p.entries)}):
                 tier = next((t for t, (least, _) in enumerate(p.tiers) if len(raw) - e >= least), None)
                 if tier is not None:
@@ -218,6 +222,10 @@ def word_starts(data: np.ndarray) -> np.ndarray:
     start = ~blank & (data >= 0xE3)
     start[0] |= not blank[0]
     start[1:] |= blank[:-1] & ~blank[1:]
+    lead = np.flatnonzero((data[:-2] & 0xFE) == 0xE0)  # of U+0800 to U+1FFF
+    if len(lead):
+        code = (data[lead] & np.int64(15)) << 12 | (data[lead + 1] & np.int64(63)) << 6 | (data[lead + 2] & np.int64(63))
+        start[lead] |= np.logical_or.reduce([(code >= a) & (code <= b) for a, b in _NO_BLANKS])
     return np.flatnonzero(start)
 
 
@@ -235,17 +243,34 @@ def edited(text: str, rate: float, rng: np.random.Generator) -> str:
     return "".join(out)
 
 
+def accepted_copies(items: list[tuple[int, str]], p: LeakParams, rng: np.random.Generator) -> list[tuple[int, str]]:
+    """(place of the item, copy edited at the rate ``max_error``) that verification accepts: one an item, of 20 drawn at most."""
+    copies = []
+    for number, (_, text) in enumerate(items):
+        drawn = (edited(text, p.max_error, rng) for _ in range(20))
+        copies += [(number, c) for c in drawn if substring_distance(text, c, int(p.max_error * len(text))) is not None][:1]
+    return copies
+
+
+def recall_of(items: list[tuple[int, str]], copies: list[tuple[int, str]], p: LeakParams, repetitions: int) -> float:
+    """Part of the copies whose item is among their candidates."""
+    index, found = ItemIndex(items, p, repetitions), 0
+    for number, copy in copies:
+        data = np.frombuffer(copy.encode() + b" " * (index.embedding.steps + 1), np.uint8)
+        found += any(index.entries[e][0] == number for _, e in index.candidates(data, word_starts(data)))
+    return found / len(copies) if copies else 1.0
+
+
 def repetitions_for(items: list[tuple[int, str]], p: LeakParams) -> int:
-    """Repetitions that reach ``recall`` at ``recall_rate``, measured on edited copies of up to 200 items."""
-    rng = np.random.default_rng(p.seed + 1)
+    """Repetitions that reach ``recall`` on copies up to the accepted error, measured on up to 200 items."""
     sample = items[:: max(1, len(items) // 200)][:200]
-    for n in (2, 4, 6, 8, 12, 16, p.max_repetitions):
-        index, found = ItemIndex(sample, p, n), 0
-        for number, (_, text) in enumerate(sample):
-            data = np.frombuffer(edited(text, p.recall_rate, rng).encode() + b" " * (index.embedding.steps + 1), np.uint8)
-            found += any(index.entries[e][0] == number for _, e in index.candidates(data, word_starts(data)))
-        if found >= p.recall * len(sample):
+    copies = accepted_copies(sample, p, np.random.default_rng(p.seed + 1))
+    reached = 0.0
+    for n in [n for n in (2, 4, 6, 8, 12, 16) if n < p.max_repetitions] + [p.max_repetitions]:
+        reached = recall_of(sample, copies, p, n)
+        if reached >= p.recall:
             return n
+    _LOG.warning("decontamination finds %.3f of copies edited at %.3f in %d repetitions, not %.3f", reached, p.max_error, p.max_repetitions, p.recall)
     return p.max_repetitions
 
 
@@ -282,7 +307,7 @@ def _block_leaks(docs: DataFrame, items: list[tuple[int, str]], p: LeakParams) -
                     most = int(p.max_error * len(item))
                     k = int(np.searchsorted(places, start, "right")) - 1
                     end = places[k + 1] - len(gap) if k + 1 < len(places) else size - len(gap)
-                    slack = 2 * most + 4
+                    slack = (2 * most + 4) * (1 if item.isascii() else 3)  # bytes
                     lo, hi = max(places[k], start - offset - slack), min(end, start - offset + len(item.encode()) + slack)
                     spot = (rows[k], number)
                     if met.get(spot) == 0:

@@ -360,6 +360,35 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) >= 0.97 * len(want) >= 30
 
 
+def test_recall_holds_up_to_the_accepted_error(spark, caplog):
+    p = decontaminate.LeakParams()
+    items = sorted((r.item_id, decontaminate.fold(r.text)) for r in spark.read.parquet(f"{MEDIUM}/benchmark.parquet").collect())
+    items = [x for x in items if len(x[1]) >= p.min_chars]
+    n = decontaminate.repetitions_for(items, p)
+    assert not caplog.records
+    rng = np.random.default_rng(123)  # not the copies the repetitions were fitted on
+    found = [decontaminate.recall_of(items, decontaminate.accepted_copies(items, p, rng), p, n) for _ in range(5)]
+    assert sum(found) / len(found) >= 0.95
+    assert decontaminate.repetitions_for(items, decontaminate.LeakParams(entries=1, max_repetitions=2)) == 2
+    assert len(caplog.records) == 1
+
+
+def test_leaks_in_scripts_without_blanks(spark):
+    rng = random.Random(11)
+    docs, items = [], []
+    for number, (a, b) in enumerate([(0xE01, 0xE2E), (0xE94, 0xEA3), (0x1000, 0x1020), (0x1780, 0x17A2), (0x4E00, 0x5000), (0xAC00, 0xAD00)]):
+        letters = [chr(c) for c in range(a, b + 1) if chr(c).isalnum()]
+        item = "".join(rng.choice(letters) for _ in range(80))
+        around = ["".join(rng.choice(letters) for _ in range(50)) for _ in range(2)]
+        copy = "".join(letters[(letters.index(c) + 1) % len(letters)] for c in item[:4]) + item[4:]
+        items.append((number, item))
+        docs.append((number, around[0] + copy + around[1]))
+    found = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert [r[:2] for r in rows_of(found, "doc_id", "item_id", "distance")] == [(i, i) for i in range(6)]
+    starts = decontaminate.word_starts(np.frombuffer("กข ქართ ខគab".encode(), np.uint8)).tolist()
+    assert starts == [0, 3, 7, 20, 23]
+
+
 def test_leak_edges(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "short"), (4, "one two three four five six seven eight nine ten eleven twelve thirteen"), (None, "ünïcödé " * 9)], "item_id long, text string")
     out = decontaminate.find_leaks(edge_docs(spark, ["item_id", "distance"]), items).collect()
