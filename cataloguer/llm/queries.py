@@ -1,11 +1,14 @@
-"""The registered queries of the ten operators, each over its whole table with production parameters."""
+"""The registered queries of the operators, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, jaccard_join, langid, line_dedup, packing, quality, suffix_dedup, token_counts, token_files
+from . import (
+    chat, decontaminate, exact_dedup, hard_negatives, jaccard_join, langid, lexical_search, line_dedup, packing, quality, suffix_dedup,
+    token_counts, token_files,
+)
 from .registry import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -113,3 +116,70 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the verdict on every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.quality_rules(docs, table(spark, sf_dir, "labels")).drop("text")
+
+
+OP11_ORACLE = r"""
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256,
+  regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS whole FROM documents)
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size, doc_id = min(doc_id) OVER g AS kept, text_sha256
+FROM t WINDOW g AS (PARTITION BY whole)
+"""
+
+
+@query("op11_exact_dedup", OP11_ORACLE)
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row that stays for every document, and how many rows have its text."""
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).drop("n_chunks", "n_bytes")
+
+
+OP12_ORACLE = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.x, b.x)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY rank <= 3
+"""
+
+
+@query("op12_hard_negatives", OP12_ORACLE)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.select("vec_id", moved.alias("label"), "embedding"))
+
+
+OP13_ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents
+), f AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(ts) AS term FROM d) GROUP BY ALL),
+g AS (SELECT count(*) AS n_docs, sum(len(ts))::BIGINT AS n_all FROM d WHERE len(ts) > 0),
+df AS (SELECT term, count(*) AS df FROM f GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, g),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+m AS (SELECT k, doc_id, 100 - 50 + (50 * len(ts)::BIGINT * n_docs) // n_all AS m FROM d, g WHERE len(ts) > 0),
+s AS (
+  SELECT item_id, k, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM i JOIN f USING (term) JOIN w USING (term) JOIN m USING (k) GROUP BY ALL
+)
+SELECT item_id, (row_number() OVER r)::INTEGER AS rank, doc_id, score FROM s WHERE score > 0
+WINDOW r AS (PARTITION BY item_id ORDER BY score DESC, doc_id) QUALIFY rank <= 50
+"""
+
+
+@query("op13_lexical_search", OP13_ORACLE)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical_search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -16,18 +16,19 @@ from .test_dedup import groups, leaks_model, lines_model, quality_model
 from .test_tokens import check_pieces, library_ids
 
 OWN = ["op1_token_counts", "op2_packing", "op3_language_id", "op4_chat_formatting", "op5_decontamination", "op6_jaccard_join",
-       "op7_line_dedup", "op8_token_files", "op9_suffix_dedup", "op10_quality_rules", "pipeline"]
+       "op7_line_dedup", "op8_token_files", "op9_suffix_dedup", "op10_quality_rules", "op11_exact_dedup", "op12_hard_negatives", "op13_lexical_search", "pipeline"]
+WITH_SQL = ["op4_chat_formatting", "op6_jaccard_join", "op11_exact_dedup", "op12_hard_negatives", "op13_lexical_search"]
 
 
 def test_all_are_registered():
     assert set(OWN) <= set(E.queries())
-    assert {n for n in E.oracle_sql() if n in OWN} == {"op4_chat_formatting", "op6_jaccard_join"}
+    assert {n for n in E.oracle_sql() if n in OWN} == set(WITH_SQL)
 
 
-@pytest.mark.parametrize("name", ["op4_chat_formatting", "op6_jaccard_join"])
+@pytest.mark.parametrize("name", WITH_SQL)
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     cur = con.execute(E.oracle_sql()[name])
     names = sorted(c[0] for c in cur.description)
