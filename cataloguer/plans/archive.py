@@ -21,6 +21,7 @@ from ..operators.ordering import with_ordinal
 from ..operators.status import fold_file_status
 from ..session import scratch_path
 from ..sources import ledger as L
+from ..sources.store import append_rows, read_rows
 from ..sources import tables
 from . import sqltext as S
 from .registry import RUN_TS, RUN_TS_PREVIOUS, query
@@ -386,9 +387,15 @@ _FX_PROJECT_COLS = ("id, query_string, repository_id, repository_url, project_ur
 
 @query("select_source", oracle=f"SELECT {_FX_PROJECT_COLS} FROM fx_projects WHERE repository_id = 16")
 def select_source(spark: SparkSession, d: str, source: str = "uni_halle") -> DataFrame:
-    """``--source``: keep one source (``dans``, ``uni_halle``) or ``both``."""
-    p = fx(spark, d, "fx_projects")
-    return p if source == "both" else p.where(source_of(F.col("repository_id")) == source)
+    """``--source``: keep one source (``dans``, ``uni_halle``) or ``both``.
+
+    The archive's projects lie in a folder per source, so the other source's files are not opened.
+    """
+    p = fx(spark, d, "fx_projects").withColumn("source", source_of(F.col("repository_id")))
+    base = scratch_path(spark, "by-source")
+    append_rows(p, base, "projects", partition_by=["source"])
+    rows = read_rows(spark, base, "projects")
+    return (rows if source == "both" else rows.where(F.col("source") == source)).drop("source")
 
 
 # The ledger's source is the station for Dataverse and the source name for OAI; the fixture's host
@@ -492,19 +499,19 @@ def dim_stations(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- progress batches (H5)
 
 @query("progress_batches", oracle=f"""
-SELECT id, repository_id, ordinal, CAST((ordinal - 1) // {rules.PROGRESS_SAVE_INTERVAL} AS BIGINT) AS batch_no
-FROM (SELECT id, repository_id, CAST(row_number() OVER (PARTITION BY repository_id ORDER BY id) AS BIGINT) AS ordinal
-      FROM fx_projects p WHERE NOT ({_IN_LEDGER})) t""")
+SELECT id, source, ordinal, CAST((ordinal - 1) // {rules.PROGRESS_SAVE_INTERVAL} AS BIGINT) AS batch_no
+FROM (SELECT id, source, CAST(row_number() OVER (PARTITION BY source ORDER BY id) AS BIGINT) AS ordinal
+      FROM {_PROJECTS_SOURCE_SQL} p WHERE NOT {_DONE_SQL}) t""")
 def progress_batches(spark: SparkSession, d: str) -> DataFrame:
-    """Position of each pending project in its source's run and its save batch of 25.
+    """Position of each pending project in its station's run and its save batch of 25.
 
-    One global range-partitioned ordinal over (source, id), minus the first
-    ordinal of the source (a tiny per-source aggregate), so no source is a
-    single window task.
+    Each station is a run of its own, the OAI source another. One global
+    range-partitioned ordinal over (source, id), minus the first ordinal of the source
+    (a tiny per-source aggregate), so no source is a single window task.
     """
-    pending = anti_completed(spark, d).select("id", "repository_id")
-    g = with_ordinal(pending, [F.col("repository_id"), F.col("id")], name="_g")
-    first = g.groupBy("repository_id").agg(F.min("_g").alias("_g0"))
-    out = g.join(F.broadcast(first), "repository_id").withColumn("ordinal", (F.col("_g") - F.col("_g0") + 1))
-    return out.select("id", "repository_id", "ordinal",
+    pending = anti_completed(spark, d).select("id", "source")
+    g = with_ordinal(pending, [F.col("source"), F.col("id")], name="_g")
+    first = g.groupBy("source").agg(F.min("_g").alias("_g0"))
+    out = g.join(F.broadcast(first), "source").withColumn("ordinal", (F.col("_g") - F.col("_g0") + 1))
+    return out.select("id", "source", "ordinal",
                       F.floor((F.col("ordinal") - 1) / rules.PROGRESS_SAVE_INTERVAL).cast("bigint").alias("batch_no"))

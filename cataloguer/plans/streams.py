@@ -3,11 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import rules
 from ..operators import merge as M
-from ..sources.store import read_rows
+from ..operators.budget import station_gate
+from ..operators.ordering import with_ordinal
+from ..operators.status import visit_outcome
+from ..sources.store import BUCKET, read_rows
 from ..session import scratch_path
-from ..streaming.incremental import merge_stream, run_until_drained
+from ..streaming.incremental import first_of_stream, merge_stream, read_first, run_until_drained
+from ..streaming.batchlog import read_batches
+from ..streaming.visits import VisitStream, status_rows, statuses
+from . import reports as R
 from .archive import fx, ledger_project_ids
 from .harvest import first_hits
 from .registry import ORACLE_TEXT, query
@@ -33,7 +41,7 @@ def stream_merge_keywords(spark: SparkSession, d: str) -> DataFrame:
         run.write.mode("append").parquet(source)
         q = merge_stream(spark, source, schema, archive, "keywords", KEY, [], ck, columns=KEY)
         run_until_drained(q)
-    return read_rows(spark, archive, "keywords")
+    return read_rows(spark, archive, "keywords").drop(BUCKET)
 
 
 
@@ -58,3 +66,81 @@ def stream_first_hits(spark: SparkSession, d: str) -> DataFrame:
         q = merge_stream(spark, source, valid.schema, archive, "seen", ["global_id"], HIT_COLS[1:], ck, columns=HIT_COLS)
         run_until_drained(q)
     return read_rows(spark, archive, "seen").select(*HIT_COLS)
+
+
+def valid_first_hits(spark: SparkSession, d: str) -> DataFrame:
+    details = fx(spark, d, "fx_details").where("n_files > 0").select("station_ord", "global_id", "has_qda")
+    return first_hits(spark, d).join(details, ["station_ord", "global_id"]).select(*HIT_COLS)
+
+
+@query("stream_late_stations", oracle=ORACLE_TEXT["first_hit_global"])
+def stream_late_stations(spark: SparkSession, d: str) -> DataFrame:
+    """The same seen set with the stations landing last to first: a station that comes late
+    still takes its datasets, so the result equals the batch ``first_hit_global``."""
+    valid = valid_first_hits(spark, d).checkpoint(eager=True)  # landed once per station
+    base = scratch_path(spark, "stream-late")
+    source, ck = f"{base}/landing", f"{base}/checkpoint"
+    for station in (3, 2, 1, 0):
+        valid.where(f"station_ord = {station}").write.mode("append").parquet(source)
+        run_until_drained(first_of_stream(spark, source, valid.schema, base, "seen", "global_id", HIT_COLS[1:], ck))
+    return read_first(spark, valid.schema, base, "seen", "global_id", HIT_COLS[1:]).select(*HIT_COLS)
+
+
+VISIT_TIES = ["station_ord", "ord1", "ord2", "project_id", "file_name"]
+
+
+def land_in_order(visits: DataFrame, path: str, parts: int) -> None:
+    """Land ``visits`` as ``parts`` files that follow the work order, one after the other."""
+    numbered = with_ordinal(visits, [F.col(c) for c in R.WORK_ORDER], name="_at").checkpoint(eager=True)
+    size = numbered.count() // parts + 1
+    for k in range(parts):
+        part = numbered.where((F.col("_at") > k * size) & (F.col("_at") <= (k + 1) * size)).drop("_at")
+        part.coalesce(1).write.mode("append").parquet(path)  # a file of the fixture is one trigger's input
+
+
+def drained(stream: VisitStream, spark: SparkSession, visits: DataFrame, parts: int) -> None:
+    """Land ``visits`` and work them off, one file a micro-batch; the last one is then replayed."""
+    source, ck = f"{stream.base}/landing", f"{stream.base}/checkpoint"
+    land_in_order(visits, source, parts)
+    run_until_drained(stream.start(spark, source, visits.schema, ck))
+    last = max(stream.done)
+    again = read_batches(spark, stream.base, "visits", visits.schema).where(F.col("batch") == last).select(
+        *[c for c in visits.columns if c != "outcome"])
+    result = visits.select(*R.WORK_ORDER, "outcome").distinct()
+    stream.admit(again.join(result, R.WORK_ORDER, "left").select(*visits.columns).checkpoint(eager=True), last)
+
+
+@query("stream_budget_admission", oracle=ORACLE_TEXT["budget_admission"])
+def stream_budget_admission(spark: SparkSession, d: str) -> DataFrame:
+    """The byte budget over micro-batches of visits: the running total passes from batch to batch."""
+    visits = R._visits(spark, d).withColumn("outcome", F.col("status")).withColumn("on_disk", F.lit(False))
+    stream = VisitStream(scratch_path(spark, "stream-budget"), R.KEY_FILE, R.WORK_ORDER, R.FIXTURE_CAP_BYTES)
+    drained(stream, spark, visits, 3)
+    out = read_batches(spark, stream.base, "visits", _admitted_schema(visits))
+    return out.select("station_ord", "ord1", "ord2", "project_id", "file_name", "restricted", "size_bytes", "used_before", "budget_status")
+
+
+def _admitted_schema(visits: DataFrame):
+    return visits.select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("used_before", "long"), ("capped", "boolean"), ("budget_status", "string"))]).schema
+
+
+@query("stream_status_fold", oracle=ORACLE_TEXT["two_run_status"])
+def stream_status_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs of visits as streams with small triggers and a replayed batch each: equals ``two_run_status``."""
+    visits = R._visits(spark, d).withColumn("outcome", F.col("status")).withColumn("on_disk", F.lit(False))
+    base, key = scratch_path(spark, "stream-status"), R.KEY_FILE
+    first = VisitStream(f"{base}/one", key, R.WORK_ORDER, R.FIRST_CAP_BYTES)
+    drained(first, spark, visits, 3)
+    fold = status_rows(visits, key, R.WORK_ORDER).schema
+    archive = statuses(spark, first.base, fold, key)
+    done = read_batches(spark, first.base, "visits", _admitted_schema(visits)).where((F.col("outcome") == rules.SUCCESS) & ~F.col("restricted"))
+    initial = M.first_arrivals(done.select(*visits.columns), key, R.WORK_ORDER).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("long")).first()[0]
+    there = archive.where(F.col("status") == rules.SUCCESS).select(*key, F.lit(True).alias("on_disk"))
+    again = visits.drop("on_disk", "outcome").join(there, key, "left").withColumn("on_disk", F.coalesce("on_disk", F.lit(False)))
+    again = again.withColumn("outcome", visit_outcome(F.when(F.col("size_bytes") % 3 != 0, F.col("status")), F.col("on_disk"), F.lit(True)))
+    gate = station_gate(again, R.WORK_ORDER, key, R.FIXTURE_CAP_BYTES, initial, status="outcome", on_disk="on_disk")
+    open_ = gate.where(F.col("harvested") | (F.col("station_ord") == R.UNCAPPED_STATION)).select("station_ord")
+    again = again.join(open_, "station_ord").select(*visits.columns).checkpoint(eager=True)
+    second = VisitStream(f"{base}/two", key, R.WORK_ORDER, R.FIXTURE_CAP_BYTES, initial, F.col("station_ord") == R.UNCAPPED_STATION)
+    drained(second, spark, again, 3)
+    return statuses(spark, second.base, fold, key, existing=archive)

@@ -62,10 +62,11 @@ def pages_until_stop(pages: DataFrame, items: str = "items", error: str = "error
 def parse_details(df: DataFrame, json_col: str = "json", keep: list[str] | None = None) -> DataFrame:
     """``latestVersion`` pieces of a dataset detail: version numbers, licence, citation fields, files.
 
-    Missing objects read as NULL / empty, as the harvester's ``.get(..., {})`` chain does.
+    Missing objects read as NULL / empty, as the harvester's ``.get(..., {})`` chain does. A
+    payload that is no JSON (an HTML error body) has none, so D2 drops that dataset and the run goes on.
     """
     keep = keep or [c for c in df.columns if c != json_col]
-    latest = F.try_variant_get(F.parse_json(F.col(json_col)), "$.data.latestVersion", "variant")
+    latest = F.try_variant_get(F.try_parse_json(F.col(json_col)), "$.data.latestVersion", "variant")
     return computed(df, keep, [latest.alias("_latest")]).select(
         *keep,
         F.try_variant_get("_latest", "$.versionNumber", "string").alias("version_major"),

@@ -12,7 +12,8 @@ go through the Hadoop FileSystem API, so the same code runs on HDFS, S3 or ABFS.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -73,9 +74,48 @@ def append_path(base: str, table: str) -> str:
     return f"{base.rstrip('/')}/{table}/rows"
 
 
-def append_rows(df: DataFrame, base: str, table: str) -> None:
-    """Add rows to an append-only table (new part files; existing files are never touched)."""
-    df.write.mode("append").parquet(append_path(base, table))
+def append_rows(df: DataFrame, base: str, table: str, partition_by: list[str] | None = None) -> None:
+    """Add rows to an append-only table (new part files; existing files are never touched).
+
+    ``partition_by`` lays them out in folders per value; readers that filter on it open only those.
+    """
+    w = df.write.mode("append")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(append_path(base, table))
+
+
+BUCKET = "key_bucket"
+
+
+def bucket_of(key: list[str], buckets: int) -> Column:
+    """Bucket folder of a natural key."""
+    return F.pmod(F.xxhash64(*key), F.lit(buckets)).cast("int")
+
+
+def append_bucketed(df: DataFrame, base: str, table: str, key: list[str], buckets: int) -> None:
+    """Add rows to an append-only table laid out in folders by key bucket; one file a bucket and write."""
+    rows = df.withColumn(BUCKET, bucket_of(key, buckets))
+    append_rows(rows.repartition(buckets, BUCKET), base, table, [BUCKET])
+
+
+def read_buckets(spark: SparkSession, base: str, table: str, batch: DataFrame, key: list[str], buckets: int) -> DataFrame | None:
+    """Rows of the buckets that the keys of ``batch`` fall into (at most ``buckets`` numbers reach the driver).
+
+    The filter is on the folder column, so Spark lists and opens only those folders: a
+    small batch costs what it touches, not the whole archive.
+    """
+    rows = read_rows(spark, base, table)
+    if rows is None:
+        return None
+    touched = sorted(r[0] for r in batch.select(bucket_of(key, buckets)).distinct().collect())
+    return rows.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
+
+
+def highest_id(spark: SparkSession, base: str, table: str, id_col: str = "id") -> int:
+    """The largest id of an append-only table (0 without rows); one narrow column is read."""
+    rows = read_rows(spark, base, table)
+    return 0 if rows is None else (rows.agg(F.max(id_col)).first()[0] or 0)
 
 
 def read_rows(spark: SparkSession, base: str, table: str) -> DataFrame | None:
