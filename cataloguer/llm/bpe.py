@@ -4,8 +4,9 @@ A byte-level BPE never merges across pre-token boundaries, so the ids of a text
 are the ids of its pre-tokens in order, and texts repeat the same pre-tokens
 again and again. The library encodes each distinct pre-token once per worker; a
 hash index over span hashes (64 bits) finds the ids again, vectorised over the
-bytes of a whole chunk of texts. The index is bounded by ``MEMO_WORDS``; when
-full it is emptied, which changes the time, never the ids.
+bytes of a whole chunk of texts, and compares the bytes. A text with a pre-token whose
+hash belongs to another one goes through the library as a whole. The index is bounded by
+``MEMO_WORDS``; when full it is emptied, which changes the time, never the ids.
 
 Pre-tokens are cut vectorised in texts of ASCII (without apostrophes, which start
 contractions) and Latin letters U+00C0-U+024F. Every other text, and each text
@@ -20,7 +21,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-from .bytesops import HashIndex, flat_ranges, prefix_hash, span_hash, text_chunks
+from .bytesops import WordIndex, flat_ranges, prefix_hash, span_hash, text_chunks
 
 MEMO_WORDS = 2_000_000
 _JOIN = 500
@@ -65,6 +66,13 @@ def plain_texts(data: np.ndarray, offsets: np.ndarray, added: list[bytes]) -> np
     return plain
 
 
+class _Collision(Exception):
+    """Texts that hold a pre-token with the hash of another."""
+
+    def __init__(self, texts: np.ndarray):
+        self.texts = texts
+
+
 class WordEncoder:
     """``encode_chunk`` turns the texts of a chunk into ids; the index of known pre-tokens stays."""
 
@@ -77,7 +85,7 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._index = HashIndex(16)
+        self._index = WordIndex()
         self._ids = np.zeros(1 << 16, np.uint32)
         self._first = np.zeros(1, np.int64)  # start of each known pre-token's ids, and the end
 
@@ -106,26 +114,28 @@ class WordEncoder:
             self._ids = np.concatenate([self._ids, np.zeros(len(self._ids), np.uint32)])
         self._ids[end : end + len(new)] = new
         self._first = np.concatenate([self._first, end + np.cumsum(lengths)])
-        self._index.add(hashes[order])
+        self._index.add(hashes[order], [words[i].encode() for i in order])
 
     def _plain(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         starts = pretoken_starts(data, offsets)
         ends = np.append(starts[1:], len(data))
-        h = span_hash(prefix_hash(data), starts, ends)
-        known = self._index.lookup(h)
-        new = np.flatnonzero(known < 0)
+        h = span_hash(prefix_hash(data), starts, ends, data)
+        known = self._index.lookup(h, data, starts)
+        new = np.flatnonzero(known == -1)
         if len(new):
             hashes, at = np.unique(h[new], return_index=True)
-            if self._index.size + len(hashes) > MEMO_WORDS and self._index.size:
+            if len(self._index) + len(hashes) > MEMO_WORDS and len(self._index):
                 self._forget()
                 hashes, new = np.unique(h, return_index=True)
                 at = np.arange(len(new))
             raw = data.tobytes()
             s, e = starts[new[at]].tolist(), ends[new[at]].tolist()
             self._learn(hashes, [raw[a:b].decode() for a, b in zip(s, e)])
-            known = self._index.lookup(h)
+            known = self._index.lookup(h, data, starts)
+        if (known < 0).any():
+            raise _Collision(np.unique(np.searchsorted(offsets, starts[known < 0], "right") - 1))
         first, lengths = self._first[known], (self._first[1:] - self._first[:-1])[known]
         counts = np.concatenate([[0], np.cumsum(lengths)])
         at = np.searchsorted(starts, offsets)
@@ -134,6 +144,13 @@ class WordEncoder:
     def encode_chunk(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) of the texts back to back, and the number of each text's ids."""
         plain = plain_texts(data, offsets, self._added)
+        while True:
+            try:
+                return self._chunk(data, offsets, plain)
+            except _Collision as c:
+                plain[c.texts] = False
+
+    def _chunk(self, data: np.ndarray, offsets: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if plain.all():
             return self._plain(data, offsets)
         sizes = np.diff(offsets)

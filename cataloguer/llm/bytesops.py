@@ -3,16 +3,20 @@
 A batch is taken in chunks of whole texts, so memory follows the chunk size (or the
 longest single text), not the batch. Spans are hashed with a polynomial hash over
 prefix sums modulo 2^64 and a final mix: one pass over the bytes however many spans.
+Such a hash has built-in collisions of long, regular strings, so spans of over
+``LONG_SPAN`` bytes take a cryptographic digest, and ``WordIndex`` compares the bytes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
 CHUNK_BYTES = 1 << 20
+LONG_SPAN = 64
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
@@ -71,11 +75,14 @@ def prefix_hash(data: np.ndarray) -> np.ndarray:
     return out
 
 
-def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end); equal spans have equal hashes anywhere."""
+def span_hash(prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray, data: np.ndarray | None = None) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end); equal spans have equal hashes anywhere. With ``data``, long spans take digests."""
     inv = _power_table(len(prefix))[1]
     h = (prefix[ends] - prefix[starts]) * inv[starts]
-    return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    h = mix(h + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for k in np.flatnonzero(ends - starts > LONG_SPAN).tolist() if data is not None else ():
+        h[k] = int.from_bytes(hashlib.blake2b(data[starts[k] : ends[k]], digest_size=8).digest(), "little")
+    return h
 
 
 class HashIndex:
@@ -134,3 +141,36 @@ def flat_ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     first = np.cumsum(lengths) - lengths
     return np.arange(total, dtype=np.int64) + np.repeat(starts - first, lengths)
+
+
+class WordIndex:
+    """Consecutive numbers of distinct byte strings: found by hash, and known only if the bytes are equal."""
+
+    def __init__(self, bits: int = 16):
+        self._index = HashIndex(bits)
+        self._raw = np.zeros(1 << 16, np.uint8)
+        self._at = np.zeros(1, np.int64)  # start of each string in ``_raw``, and the end
+
+    def __len__(self) -> int:
+        return self._index.size
+
+    def lookup(self, h: np.ndarray, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Numbers of the strings that ``data`` is cut into at ``starts`` (the first is 0): -1 unknown, -2 another string has its hash."""
+        known = self._index.lookup(h)
+        sizes = np.diff(np.append(starts, len(data)))
+        there = np.maximum(known, 0)
+        same = (known >= 0) & (self._at[np.minimum(there + 1, len(self._at) - 1)] - self._at[there] == sizes)
+        place = np.repeat(np.where(same, self._at[there], 0) - starts * same, sizes) + np.arange(len(data)) * np.repeat(same, sizes)
+        unlike = np.add.reduceat((self._raw[place] != data).astype(np.int64), starts) > 0
+        known[(known >= 0) & (~same | unlike)] = -2
+        return known
+
+    def add(self, h: np.ndarray, words: list[bytes]) -> None:
+        """Number new strings of new, distinct hashes in their given order."""
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        end = int(self._at[-1])
+        while end + len(raw) > len(self._raw):
+            self._raw = np.concatenate([self._raw, np.zeros(len(self._raw), np.uint8)])
+        self._raw[end : end + len(raw)] = raw
+        self._at = np.concatenate([self._at, end + np.cumsum([len(w) for w in words], dtype=np.int64)])
+        self._index.add(h)

@@ -114,7 +114,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> Iterator[
     stop[1:-1] = word[:-1] & (edge & ~word[1:] | first[1:])
     stop[-1] = word[-1]
     ends = np.flatnonzero(stop)
-    h = span_hash(prefix_hash(data), starts, ends)
+    h = span_hash(prefix_hash(data), starts, ends, data)
     at = np.searchsorted(starts, offsets)
     grams = h[: max(0, len(h) - words + 1)].copy()
     for k in range(1, words):
@@ -307,7 +307,7 @@ def jaccard_join(docs: DataFrame, params: JaccardParams = JaccardParams()) -> Da
     )
     regions = written(regions, "jaccard-shared")
     wanted = regions.select("cls").distinct().join(classes, "cls").select(F.col("least").alias("_id"))
-    sets = written(class_sets(texts.join(wanted, F.col("doc_id") == F.col("_id"), "left_semi"), params).distinct(), "jaccard-sets")
+    sets = written(class_sets(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi"), params).distinct(), "jaccard-sets")
     join = _Joiner(regions, classes.select("cls", "n"), sets, params)
     join.star(join.labelled(join.regions))
     left = written(join.labelled(join.regions), "jaccard-left")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import plain_texts, pretoken_starts
-from .bytesops import HashIndex, prefix_hash, span_hash, text_chunks
+from .bytesops import WordIndex, prefix_hash, span_hash, text_chunks
 
 MEMO_WORDS = 3_000_000
 MICRO = 1_000_000
@@ -112,7 +112,7 @@ class PretokenCounter:
         self._forget()
 
     def _forget(self) -> None:
-        self._index, self._known = HashIndex(16), np.zeros(0, np.int64)
+        self._index, self._known = WordIndex(), np.zeros(0, np.int64)
 
     def starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Starts of all pre-tokens; texts outside the vectorised cut go through the pattern itself."""
@@ -136,21 +136,24 @@ class PretokenCounter:
         if not len(starts):
             return np.diff(at), np.diff(at)
         ends = np.append(starts[1:], len(data))
-        h = span_hash(prefix_hash(data), starts, ends)
-        known = self._index.lookup(h)
-        new = np.flatnonzero(known < 0)
+        h = span_hash(prefix_hash(data), starts, ends, data)
+        known = self._index.lookup(h, data, starts)
+        new = np.flatnonzero(known == -1)
+        raw = data.tobytes()
         if len(new):
             hashes, first = np.unique(h[new], return_index=True)
-            if self._index.size and self._index.size + len(hashes) > MEMO_WORDS:
+            if len(self._index) and len(self._index) + len(hashes) > MEMO_WORDS:
                 self._forget()
                 hashes, new = np.unique(h, return_index=True)
                 first = np.arange(len(new))
-            raw = data.tobytes()
             pairs = sorted(zip((raw[a:b] for a, b in zip(starts[new[first]].tolist(), ends[new[first]].tolist())), hashes.tolist()))
             self._known = np.concatenate([self._known, np.array(self._trie.counts([w for w, _ in pairs]), np.int64)])
-            self._index.add(np.array([x for _, x in pairs], np.uint64))
-            known = self._index.lookup(h)
-        sums = np.concatenate([[0], np.cumsum(self._known[known])])
+            self._index.add(np.array([x for _, x in pairs], np.uint64), [w for w, _ in pairs])
+            known = self._index.lookup(h, data, starts)
+        counts = self._known[known]
+        for k in np.flatnonzero(known < 0).tolist():  # its hash belongs to another pre-token
+            counts[k] = self._trie.counts([raw[starts[k] : ends[k]]])[0]
+        sums = np.concatenate([[0], np.cumsum(counts)])
         return np.diff(at), np.diff(sums[at])
 
 

@@ -133,7 +133,7 @@ def lines_model(rows, p):
     return out
 
 
-@pytest.mark.parametrize("params", [line_dedup.LineParams(min_exact=5, min_near=9), line_dedup.LineParams(min_exact=3, min_near=9, cell=1), line_dedup.LineParams(max_edits=1, min_exact=5, min_near=8)])
+@pytest.mark.parametrize("params", [line_dedup.LineParams(min_exact=5, min_near=9), line_dedup.LineParams(min_exact=3, min_near=9, cell=1), line_dedup.LineParams(max_edits=1, min_exact=5, min_near=8), line_dedup.LineParams(min_exact=3, min_near=9, cell=3, deep=3)])
 def test_lines_equal_brute_force(spark, params):
     rng = random.Random(8)
     pool = ["".join(rng.choice("ab cé😀") for _ in range(rng.randint(4, 30))) for _ in range(25)]
@@ -403,3 +403,53 @@ def test_blocks_find_the_same(spark):
     whole = rows_of(decontaminate.find_leaks(docs, items), "doc_id", "item_id")
     parts = rows_of(decontaminate.find_leaks(docs, items, decontaminate.LeakParams(block_items=15)), "doc_id", "item_id")
     assert whole == parts
+
+
+def template_lines(n, seed=8):
+    """Lines of one template: 50 fixed, 30 random and 47 fixed characters; each seventh has a near copy."""
+    rng = random.Random(seed)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda k: "".join(rng.choice(letters) for _ in range(k))
+    head, tail, out = word(50), word(47), []
+    for i in range(n):
+        middle = word(30)
+        out.append(head + middle + tail)
+        if i % 7 == 0:
+            at = rng.randrange(127)
+            out.append(out[-1][:at] + "#" + out[-1][at + 1 :])
+    return out
+
+
+def test_lines_of_one_template_stay_linear(spark, monkeypatch):
+    """Large buckets of a common phrase are cut again until pairs are few; every near copy is found."""
+    seen = []
+    keep = line_dedup.written
+
+    def counted(df, name):
+        out = keep(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(line_dedup, "written", counted)
+    lines = template_lines(6000)
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_near > 0").collect()}
+    assert got == {i for i, x in enumerate(lines) if "#" in x}
+    assert len([x for x in seen if x[0] == "line-pieces"]) >= 2, "cut again more than once"
+    assert max(c for _, c in seen) < 12 * len(lines)
+
+
+def test_plans_hold_no_tables(spark):
+    """Weights and screens of fixed size are read by Spark; no plan prints them."""
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    for df in (quality.quality_rules(docs, labels), quality.bucket_counts(docs, labels, quality.QualityRules()), line_dedup.dedup_lines(docs)):
+        assert len(df._jdf.queryExecution().toString()) < 50_000
+
+
+def test_a_null_id_text_is_linked(spark):
+    """A class without any id is measured like the others, and gives way to the copy that has one."""
+    base = [f"w{i}" for i in range(60)]
+    near = [*base[:59], "other"]
+    rows = [(None, " ".join(near)), (5, " ".join(base)), (None, " ".join(near)), (9, "something else altogether here")]
+    out = jaccard_join.jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((repr(r.doc_id), r.component_id) for r in out) == [("5", 5), ("9", 9), ("None", 5), ("None", 5)]

@@ -184,3 +184,65 @@ def test_token_counts_equal_plain_viterbi(spark):
 def test_a_shared_prefix_is_scored_once():
     trie = token_counts.UnigramTrie({b"a": -5, b"b": -5, b"ab": -7, b"abb": -20, b"c": -1})
     assert trie.counts(sorted([b"a", b"ab", b"abb", b"abc", b"cab"])) == [1, 1, 2, 2, 2]
+
+
+def thue_morse(n=1024):
+    """A word over a and b and its complement: the hash over prefix sums alone cannot tell them apart."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_regular_long_words_are_told_apart(spark):
+    from cataloguer.llm import bytesops, jaccard_join
+
+    one, two = thue_morse()
+    data = np.frombuffer((one + two).encode(), np.uint8)
+    prefix, at = bytesops.prefix_hash(data), np.array([0, 1024])
+    assert len(set(bytesops.span_hash(prefix, at, at + 1024).tolist())) == 1, "they collide"
+    texts = [one, two, f"{one} x {two}", f"{two} x {one}"]
+    assert word_ids(texts) == [library_ids(t) for t in texts]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    out = {r.doc_id: r.component_id for r in jaccard_join.jaccard_join(df).collect()}
+    assert out == {0: 0, 1: 1, 2: 2, 3: 3}
+    counted = [r.n_tokens for r in token_counts.token_counts(df).orderBy("doc_id").collect()]
+    trie = token_counts.UnigramTrie(token_counts.piece_scores(token_counts.default_vocabulary()))
+    assert counted[:2] == [trie.counts([w.encode()])[0] for w in (one, two)]
+
+
+def test_equal_hashes_are_compared_by_bytes(monkeypatch):
+    """With eight hash values nearly all words collide; ids and counts stay right."""
+    real = bpe.span_hash
+    texts = ["one two three four five six seven eight", "nine ten one two", None, "it's", "one", "日本 two one", "a b c d e f g h i j k l m n"] * 2
+    counter = token_counts.PretokenCounter(token_counts.default_vocabulary())
+    from cataloguer.llm.bytesops import text_chunks
+
+    chunk = next(text_chunks(pa.array(texts, pa.string())))[2:]
+    want = [x.tolist() for x in counter.chunk(*chunk)]
+    for module in (bpe, token_counts):
+        monkeypatch.setattr(module, "span_hash", lambda *a: real(*a) % np.uint64(8))
+    encoder.cache_clear()
+    assert word_ids(texts) == [library_ids(t) for t in texts]
+    counter._forget()
+    assert [x.tolist() for x in counter.chunk(*chunk)] == want
+    encoder.cache_clear()
+
+
+def test_long_pretokens_are_counted_whole(spark):
+    """Words of 500 bytes and more, and whole texts, against the plain recursion."""
+    import public_tokenizers
+    import regex
+
+    scores = token_counts.piece_scores(token_counts.default_vocabulary())
+    longest = max(map(len, scores))
+    text = "y" * 1500 + " " + "abcdefgh" * 90 + " end"
+
+    def tokens(word):
+        best = [(0, 0)]
+        for e in range(1, len(word) + 1):
+            best.append(max((best[s][0] + scores[word[s:e]], best[s][1] - 1) for s in range(max(0, e - longest), e) if word[s:e] in scores))
+        return -best[-1][1]
+
+    words = [w.encode() for w in regex.findall(public_tokenizers.PATTERN, text)]
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    r = token_counts.token_counts(df).first()
+    assert (r.n_pretokens, r.n_tokens) == (len(words), sum(map(tokens, words)))
