@@ -18,7 +18,8 @@ bit-parallel edit distance:
   bucket's earliest line; lines that have found an earlier neighbour need no more;
 * lines still open in buckets of more than ``cell`` lines are cut again: what is
   left of the line without the shared segment is joined in the same way inside the
-  bucket, so a bucket of a common phrase splits by the text around it;
+  bucket, so a bucket of a common phrase splits by the text around it. This is repeated,
+  pivots included, while such a bucket has more than ``deep`` lines and its rests are longer than a few characters;
 * lines still open are compared with the earlier lines of their small buckets.
 
 Before the exact comparison the counts of some letters are compared: an edit
@@ -37,6 +38,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .lookup import screen
 from .quality import SPACES
 from .registry import written
 
@@ -53,6 +55,7 @@ class LineParams:
     min_exact: int = 30
     min_near: int = 60
     cell: int = 64
+    deep: int = 1024
 
 
 def probes(max_edits: int) -> list[tuple[int, int, int]]:
@@ -92,27 +95,48 @@ def _substrings(max_edits: int) -> list[tuple[int, int, Column, Column]]:
 
 
 def bucket_rows(lines: DataFrame, max_edits: int) -> DataFrame:
-    """(key, id, slot) of every index and probe substring of ``lines`` (scope, id, s, n)."""
+    """(scope, id, piece, live, slot, key) of every index and probe substring of ``lines`` (scope, id, piece, live, s, n)."""
     keys = []
     for less, i, start, size in _substrings(max_edits):
         key = F.xxhash64("scope", F.col("n") - less, F.lit(i), F.col("s").substr(start, size))
         # in a line of fewer characters than that a probe may not fit; none is needed there
         keys.append(F.when((start >= 1) & (start + size <= F.col("n") + 1), key))
-    placed = _with_places(lines.select("scope", "id", "s", F.col("n").cast("int").alias("n")), max_edits)
-    return placed.select("id", F.posexplode_outer(F.array(*keys)).alias("slot", "key")).where("key is not null")
+    own = ["scope", "id", "piece", "live"]
+    placed = _with_places(lines.select(*own, "s", F.col("n").cast("int").alias("n")), max_edits)
+    return placed.select(*own, F.posexplode_outer(F.array(*keys)).alias("slot", "key")).where("key is not null")
 
 
 def shared_buckets(rows: DataFrame, max_edits: int) -> DataFrame:
-    """Rows of buckets that hold two lines or more, one of them by its own segment."""
+    """(key, scope, id, piece, slots) of buckets that hold two lines or more, a live one, and one by its own segment."""
     w = Window.partitionBy("key")
     return (
         rows.withColumn("_lo", F.min("id").over(w)).withColumn("_hi", F.max("id").over(w)).withColumn("_own", F.min("slot").over(w))
-        .where((F.col("_lo") != F.col("_hi")) & (F.col("_own") <= max_edits)).groupBy("key", "id").agg(F.min("slot").alias("slot"))
+        .withColumn("_live", F.max("live").over(w)).where((F.col("_lo") != F.col("_hi")) & (F.col("_own") <= max_edits) & F.col("_live"))
+        .groupBy("key", "scope", "id", "piece").agg(F.collect_set("slot").alias("slots"))
     )
 
 
+def with_live(large: DataFrame) -> DataFrame:
+    """``large`` (key, scope, id, ..) with ``live``, less the buckets without a live line.
+
+    Lines of one template share several buckets. Most lines of a bucket have some
+    smaller bucket ``d`` as their first: two lines that both have it meet there, so here only pairs
+    with another line, a live one, are of interest.
+    """
+    first = large.groupBy("scope", "id").agg(F.min("key").alias("m"))
+    marked = large.join(first, ["scope", "id"])
+    marked = with_bucket(marked, d=F.mode("m", True)).withColumn("live", (F.col("d") == F.col("key")) | (F.col("m") != F.col("d"))).drop("d", "m")
+    return marked.join(marked.where("live").select("key").distinct(), "key", "left_semi")
+
+
+def with_bucket(rows: DataFrame, **aggregates: Column) -> DataFrame:
+    """``rows`` (key, ..) with aggregates over their bucket: partial sums, then a join, so that a large bucket is no single task."""
+    return rows.join(rows.groupBy("key").agg(*[c.alias(name) for name, c in aggregates.items()]), "key")
+
+
 def remainders(lines: DataFrame, max_edits: int) -> DataFrame:
     """``lines`` (.., s, n, slot) with ``rest``: s without the substring of its slot; a NUL keeps the two sides apart."""
+    lines = lines.withColumn("n", F.col("n").cast("int"))
     s, out = F.col("s"), F.lit(None).cast("string")
     for slot, (_, _, start, size) in enumerate(_substrings(max_edits)):
         out = F.when(F.col("slot") == slot, F.concat(s.substr(F.lit(1), start - 1), F.lit("\x00"), s.substr(start + size, F.col("n")))).otherwise(out)
@@ -202,36 +226,22 @@ def _lines(docs: DataFrame, params: LineParams) -> DataFrame:
     )
 
 
-def _flags(ids: DataFrame, column: str, size: int = 1 << 22) -> Column:
-    """A test that holds for every id of ``ids`` and few others: one bit per id modulo ``size``.
-
-    A constant of fixed size (``size`` bits) that screens the lines before they are
-    shuffled; where it is full it screens less and the join after it stays exact.
-    """
-    words = [0] * (size // 64)
-    for r in ids.select((F.pmod(column, F.lit(size)) / 64).cast("int").alias("w"), (F.pmod(column, F.lit(size)) % 64).cast("int").alias("b")).groupBy("w").agg(
-            F.bit_or(F.expr("shiftleft(1L, b)")).alias("m")).collect():
-        words[r["w"]] = r["m"]
-    table = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>")
-    place = F.pmod(F.col("h1"), F.lit(size))
-    return F.getbit(F.get(table, (place / 64).cast("int")), (place % 64).cast("int")) == 1
-
-
 def _first() -> Column:
     return F.struct("doc_id", "th", "line_no")
 
 
 def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataFrame:
     """h1 of the lines with an earlier line within ``max_edits`` edits."""
-    k = params.max_edits
+    k, tasks = params.max_edits, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = _lines(docs, params).where(F.col("n") >= params.min_near)
-    rows = bucket_rows(near.select(F.lit(0).cast("long").alias("scope"), F.col("h1").alias("id"), F.col("line").alias("s"), "n"), k)
-    buckets = written(shared_buckets(rows, k), "line-buckets")
-    wanted = written(buckets.select("id").distinct().join(classes.select(F.col("h1").alias("id"), "first"), "id"), "line-wanted")
+    rows = bucket_rows(near.select(
+        F.lit(0).cast("long").alias("scope"), F.col("h1").alias("id"), F.col("h1").alias("piece"), F.lit(True).alias("live"), F.col("line").alias("s"), "n"), k)
+    level = written(shared_buckets(rows, k), "line-buckets")
+    wanted = written(level.select("id").distinct().join(classes.select(F.col("h1").alias("id"), "first"), "id"), "line-wanted")
     # a wanted line's text is taken from its first place only
     place = wanted.select(F.col("first.doc_id").alias("_d"), F.col("first.th").alias("_t"), F.col("first.line_no").alias("_l"))
     found = (
-        near.where(_flags(wanted, "id"))
+        near.where(screen(wanted, "id")(F.col("h1")))
         .join(place, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t")) & (F.col("line_no") == F.col("_l")), "left_semi")
         .select(F.col("h1").alias("id"), F.col("line").alias("s"), "n", _first().alias("first"), *profile(F.col("line"))).dropDuplicates(["id"])
     )
@@ -247,33 +257,65 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         likely = pairs.distinct().join(side("x"), "x").join(side("y"), "y").where(profiles_allow("x_", "y_", k)).select("x", "y")
         one = lines.select(F.col("id").alias("x"), F.col("s").alias("sx"))
         two = lines.select(F.col("id").alias("y"), F.col("s").alias("sy"))
-        return likely.join(one, "x").join(two, "y").where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
-
-    def open_rows(b: DataFrame, done: DataFrame) -> DataFrame:
-        return b.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
-
-    pop = buckets.groupBy("id").agg(F.count(F.lit(1)).alias("pop"))
-    w = Window.partitionBy("key")
-    star = (
-        buckets.join(order.select("id", "first"), "id").join(pop, "id")
-        .withColumn("pivot", F.max(F.struct("pop", "id", "first")).over(w)).withColumn("earliest", F.min(F.struct("first", "id")).over(w))
-    )
-    pairs = star.where(F.col("first") > F.col("pivot.first")).select(F.col("id").alias("x"), F.col("pivot.id").alias("y")).union(
-        star.where(F.col("first") > F.col("earliest.first")).select(F.col("id").alias("x"), F.col("earliest.id").alias("y")))
-    done = written(verified(pairs), "line-done")
-    sized = open_rows(buckets, done).withColumn("size", F.count(F.lit(1)).over(w)).withColumn("_open", F.max("open").over(w)).where("_open and size > 2")
-    sized = written(sized.select("key", "id", "slot", "size", "open"), "line-buckets")
-    cut = remainders(sized.where(F.col("size") > params.cell).join(lines.select("id", "s", "n"), "id"), k).select(
-        F.col("key").alias("scope"), "id", F.col("rest").alias("s")).withColumn("n", F.char_length("s"))
-    finer = open_rows(shared_buckets(bucket_rows(cut, k), k).select("key", "id"), done)
-    left = sized.where(F.col("size") <= params.cell).select("key", "id", "open").unionByName(finer)
+        # a comparison costs far more than its bytes, so the number of tasks is not to follow them
+        texts = likely.join(one, "x").join(two, "y").repartition(tasks, "x", "y")
+        return texts.where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
+
+    def flagged(rows: DataFrame, done: DataFrame | None) -> DataFrame:
+        """``rows`` with ``open``: whether the line has found no earlier neighbour yet."""
+        if done is None:
+            return rows.withColumn("open", F.lit(True))
+        return rows.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
+
+    def unsettled(rows: DataFrame) -> DataFrame:
+        """Rows (key, id, open, ..) of buckets with an open line that is not their earliest, with the bucket's ``size``."""
+        members = rows.select("key", "id", "open").distinct().join(order.select("id", "first"), "id")
+        sums = members.groupBy("key").agg(
+            F.count(F.lit(1)).alias("size"), F.sum(F.col("open").cast("int")).alias("n_open"), F.min(F.struct("first", "open")).alias("earliest"))
+        return rows.join(sums.where(F.col("n_open") > F.col("earliest.open").cast("int")).select("key", "size"), "key")
+
+    def star(rows: DataFrame) -> DataFrame:
+        """Open lines of a bucket against the line that is in most buckets, and the earliest."""
+        pop = rows.groupBy("id").agg(F.count(F.lit(1)).alias("pop"))
+        members = rows.select("key", "id", "open").distinct().join(order.select("id", "first"), "id").join(pop, "id")
+        around = with_bucket(members, pivot=F.max(F.struct("pop", "id", "first")), earliest=F.min(F.struct("first", "id"))).where("open")
+        return around.where(F.col("first") > F.col("pivot.first")).select(F.col("id").alias("x"), F.col("pivot.id").alias("y")).union(
+            around.where(F.col("first") > F.col("earliest.first")).select(F.col("id").alias("x"), F.col("earliest.id").alias("y")))
+
+    pieces = lines.select(F.col("id").alias("piece"), "s", "n")
+    done, small, cell = None, None, params.cell
+    while True:
+        fresh = verified(star(flagged(level, done)))
+        done = written(fresh if done is None else done.union(fresh).distinct(), "line-done")
+        sized = written(unsettled(flagged(level, done)).where("size > 2"), "line-buckets")
+        few = sized.where(F.col("size") <= cell).select("key", "id", "open")
+        small = few if small is None else small.unionByName(few)
+        large = sized.where(F.col("size") > cell)
+        if large.isEmpty():
+            break
+        large = written(with_live(large), "line-large")
+        cut = remainders(large.select("key", "id", "piece", "live", F.explode("slots").alias("slot")).join(pieces, "piece"), k).select(
+            F.col("key").alias("scope"), "id", "live", "rest")
+        # a separator could be the whole of a short rest's segment; without it each cut leaves less
+        size = cut.groupBy("scope").agg(F.max(F.char_length("rest")).alias("longest"))
+        bare = F.when(F.col("longest") > 4 * k + 2, F.col("rest")).otherwise(F.replace("rest", F.lit("\x00"), F.lit("")))
+        cut = cut.join(size, "scope").select("scope", "id", "live", bare.alias("s")).distinct().withColumn("n", F.char_length("s"))
+        cut = written(cut.withColumn("piece", F.xxhash64("scope", "id", "s")), "line-pieces")
+        longest = cut.groupBy("scope").agg(F.max("n").alias("longest"))
+        short = longest.where(F.col("longest") <= 3 * k).select(F.col("scope").alias("key"))
+        small = small.unionByName(large.join(short, "key", "left_semi").select("key", "id", "open"))
+        pieces = cut.join(longest.where(F.col("longest") > 3 * k).select("scope"), "scope", "left_semi")
+        level = written(shared_buckets(bucket_rows(pieces, k), k), "line-buckets")
+        pieces, cell = pieces.select("piece", "s", "n"), params.deep
+    left = written(unsettled(flagged(small.select("key", "id").distinct(), done)).drop("size"), "line-left")
     # a pair is compared in one of the buckets it shares, the one of the smallest key
     keys = left.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    left = left.join(keys, "id").join(order, "id")
+    left = written(left.join(keys, "id").join(order, "id").repartition(tasks, "key"), "line-members")
     other = left.withColumnsRenamed({"id": "y", "first": "y_first", "n": "y_n", "keys": "y_keys"} | {c: f"y_{c}" for c in counts}).drop("open")
     left = left.where("open").withColumnsRenamed({"id": "x", "n": "x_n"} | {c: f"x_{c}" for c in counts})
     once = F.array_min(F.array_intersect("keys", "y_keys")) == left["key"]
-    rest = left.join(other, (left["key"] == other["key"]) & (F.col("first") > F.col("y_first")) & profiles_allow("x_", "y_", k) & once).select("x", "y")
+    met = (left["key"] == other["key"]) & profiles_allow("x_", "y_", k) & (F.col("first") > F.col("y_first")) & once
+    rest = written(left.repartition(tasks, "key").join(other.repartition(tasks, "key"), met).select("x", "y"), "line-rest")
     return written(done.union(verified(rest)).distinct(), "line-near")
 
 
