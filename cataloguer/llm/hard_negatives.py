@@ -136,10 +136,11 @@ class Queries:
 
     def intervals(self, at: slice, codes: np.ndarray, align: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bounds (rows x anchors) within which each score lies."""
-        counts = np.zeros((len(codes), len(self.low[at])))
-        for j, plane in enumerate(self.planes):
+        counts = np.zeros((len(codes), len(self.low[at])), np.uint32)
+        for plane in reversed(self.planes):  # highest bit first
+            counts <<= 1
             for w in range(codes.shape[1]):
-                counts += np.bitwise_count(codes[:, w, None] & plane[at][None, :, w]) * float(1 << j)
+                counts += np.bitwise_count(codes[:, w, None] & plane[at][None, :, w])
         ones = np.bitwise_count(codes).sum(axis=1, dtype=np.float64)
         t = (2 * (self.step[at] * counts + self.low[at] * ones[:, None]) - self.total[at]) / self.root
         sure = np.maximum(np.abs(t) - self.error[at], 0)
@@ -161,6 +162,18 @@ def whole_scores(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.array([max(-limit, min(limit, sum(int(x) * int(y) for x, y in zip(r, s)))) for r, s in zip(a, b)], np.int64)
 
 
+def tile_scores(x: np.ndarray, q: np.ndarray, r: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Integer inner products of the rows ``r`` of x with the rows ``a`` of q, where many pairs of the two are wanted.
+
+    A float64 product of whole numbers is exact below 2^53: one matrix product serves a tile.
+    """
+    exact = x.shape[1] * max(np.abs(x).max(initial=0), 1) * max(np.abs(q).max(initial=0), 1) < 2.0**53
+    if exact and 32 * len(r) > len(x) * len(q):
+        return (x @ q.T)[r, a].astype(np.int64)
+    steps = [slice(k, k + (1 << 16)) for k in range(0, len(r), 1 << 16)]
+    return np.concatenate([whole_scores(x[r[s]], q[a[s]]) for s in steps]) if steps else np.zeros(0, np.int64)
+
+
 def matrix(column: list[bytes], kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
 
@@ -183,14 +196,19 @@ def search(index: DataFrame, block: dict, k: int, same_label: bool, p: MiningPar
         best = [np.zeros(0, np.int64) for _ in range(3)]  # anchor * n_slots + slot, score, vec_id
 
         def take(found: list[np.ndarray]) -> list[np.ndarray]:
-            both = np.unique(np.stack([np.concatenate([x, y]) for x, y in zip(best, found)]), axis=1)
-            both = both[:, best_of(both[0], both[1], both[2], k)]
+            both = [np.concatenate([x, y]) for x, y in zip(best, found)]
+            order = np.lexsort((both[2], -both[1], both[0]))
+            both = [x[order] for x in both]
+            new = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in both])])
+            both = [x[new] for x in both]
+            keep = best_of(both[0], both[1], both[2], k)
+            both = [x[keep] for x in both]
             full = np.bincount(both[0], minlength=low.size) == k
             least = np.full(low.size, np.iinfo(np.int64).max)
             np.minimum.at(least, both[0], both[1])
             flat = reach.reshape(-1)
             flat[full] = np.maximum(flat[full], least[full])
-            return list(both)
+            return both
 
         for b in batches:
             for lo in range(0, b.num_rows, p.batch_rows):
@@ -202,24 +220,24 @@ def search(index: DataFrame, block: dict, k: int, same_label: bool, p: MiningPar
                 for start in range(0, len(ids), p.batch_anchors):
                     at = slice(start, start + p.batch_anchors)
                     least, most = queries.intervals(at, codes, align, rest)
-                    open_ = np.zeros(least.shape, bool)
-                    for s in range(n_slots):
-                        open_ |= used[at, s] & (most >= reach[at, s]) & (least <= high[at, s])
+                    # the lowest and the highest score that some slot of the anchor still takes
+                    easiest = np.where(used[at], reach[at], np.iinfo(np.int64).max).min(axis=1)
+                    widest = np.where(used[at], high[at], _LEAST).max(axis=1)
                     same = row_labels[:, None] == labels[at]
+                    open_ = (most >= easiest) & (least <= widest)
                     open_ &= same & (vec_ids[:, None] != ids[at]) if same_label else ~same
                     r, a = np.nonzero(open_)
-                    a += start
-                    for first in range(0, len(r), 1 << 16):
-                        rr, aa = r[first : first + (1 << 16)], a[first : first + (1 << 16)]
-                        score = whole_scores(x[rr], vectors[aa])
-                        found: list[list[np.ndarray]] = [[], [], []]
-                        for s in range(n_slots):
-                            good = used[aa, s] & (score >= reach[aa, s]) & (score <= high[aa, s])
-                            for col, v in zip(found, (aa[good] * n_slots + s, score[good], vec_ids[rr[good]])):
-                                col.append(v)
-                        hits = [np.concatenate(c) for c in found]
-                        if len(hits[0]):
-                            best = take(hits)
+                    score = tile_scores(x, vectors[at], r, a)
+                    likely = (score >= easiest[a]) & (score <= widest[a])
+                    r, a, score = r[likely], a[likely] + start, score[likely]
+                    found: list[list[np.ndarray]] = [[], [], []]
+                    for s in range(n_slots):
+                        good = used[a, s] & (score >= reach[a, s]) & (score <= high[a, s])
+                        for col, v in zip(found, (a[good] * n_slots + s, score[good], vec_ids[r[good]])):
+                            col.append(v)
+                    hits = [np.concatenate(c) for c in found]
+                    if len(hits[0]):
+                        best = take(hits)
         yield pa.RecordBatch.from_arrays([
             pa.array(ids[best[0] // n_slots], pa.int64()), pa.array((best[0] % n_slots).astype(np.int32), pa.int32()),
             pa.array(best[2], pa.int64()), pa.array(best[1], pa.int64()),
