@@ -117,7 +117,7 @@ def oai_records(records: DataFrame, item_pages: DataFrame | None = None,
                 page_files: DataFrame | None = None) -> SourceTables:
     """OAI-PMH source: hint-filtered records, files from their item pages.
 
-    ``records``: ``parse_records``/``read_records`` output plus the arrival
+    ``records``: ``parse_records``/``page_records`` output plus the arrival
     columns in ``order``; ``item_pages``: ``page_url, http_status, html``, or
     ``page_files``: ``html.page_files(..., placeholder=False)`` rows already keyed
     by ``page_url``.

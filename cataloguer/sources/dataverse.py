@@ -35,12 +35,24 @@ def search_hits(pages: DataFrame, payload: str = "payload", landing: list[str] =
     return out.select(*landing, "total_count", "item_index", "item.*")
 
 
-def read_search_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Landed JSON-lines search pages: request parameters plus the API body."""
-    schema = f"station_ord int, keyword_ord int, keyword string, start bigint, {SEARCH_PAGE_SCHEMA}"
-    raw = spark.read.schema(schema).json(path)
-    out = explode_rows(raw, F.col("data.items"), [*LANDING_COLS, "keyword"], "item", pos="item_index")
-    return out.select(*LANDING_COLS, "keyword", "item_index", "item.*")
+def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Good search pages of landed JSON-lines files: ``station_ord, keyword_ord, start, payload``.
+
+    A line is a request's ``start`` and the ``body`` as it came; station and term are read from
+    the file's folder (``station_ord=<n>/keyword_ord=<n>``). A term ends before its first page whose
+    line or body is no JSON, or that has no hits (D8).
+    """
+    raw = (
+        spark.read.schema("start bigint, body string, _corrupt string").option("columnNameOfCorruptRecord", "_corrupt")
+        .option("recursiveFileLookup", "true").json(path).withColumn("_file", F.col("_metadata.file_path"))
+    )
+    part = lambda name: F.regexp_extract("_file", f"/{name}=([0-9]+)/", 1).cast("int").alias(name)
+    # a line that is no JSON has no start: nothing of its term is sure, so the term ends at once
+    parsed = F.from_json("body", SEARCH_PAGE_SCHEMA)
+    pages = raw.select(
+        part("station_ord"), part("keyword_ord"), F.when(F.col("_corrupt").isNotNull(), F.lit(-1)).otherwise(F.col("start")).alias("start"),
+        F.col("body").alias("payload"), parsed["data"]["items"].alias("items"), F.col("_corrupt").alias("error_code"))
+    return pages_until_stop(pages).drop("items", "error_code")
 
 
 def pages_until_stop(pages: DataFrame, items: str = "items", error: str = "error_code",

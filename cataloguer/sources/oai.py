@@ -1,7 +1,7 @@
 """OAI-PMH Dublin Core adapter.
 
 Records are parsed with Spark's XML reader (``from_xml`` on landed text, or
-``spark.read.format("xml")`` with ``rowTag=record`` on landed files). With
+``spark.read.format("xml")`` with a row per page on landed files). With
 ``ignoreNamespace`` the ``dc:``/``oai_dc:`` prefixes drop; repeated elements
 become arrays in document order; the deleted flag is the ``status`` attribute.
 """
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.arrays import computed
+from ..functions.arrays import computed, explode_rows
 from ..functions.text import blank_to_null, contains_any, py_strip, safe_name
 
 DC_TAGS = ["title", "description", "language", "date", "rights", "subject", "creator", "contributor",
@@ -40,15 +40,28 @@ def parse_records(df: DataFrame, xml_col: str = "xml", keep: list[str] | None =
     )
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """Landed ListRecords pages as files: one row per ``record`` element."""
-    raw = spark.read.format("xml").option("rowTag", "record").option("ignoreNamespace", "true").schema(
-        RECORD_SCHEMA).load(path)
+def read_landed_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Landed ListRecords responses, one row a page: ``page_no`` (from the file's folder ``page_no=<n>``),
+    ``records``, and ``error_code`` (the protocol's, or ``unreadable`` for a page that is no XML)."""
+    schema = f"ListRecords struct<record: array<struct<{RECORD_SCHEMA}>>>, error struct<_code: string, _VALUE: string>, _corrupt string"
+    raw = (
+        spark.read.format("xml").option("rowTag", "OAI-PMH").options(**XML_OPTIONS).option("columnNameOfCorruptRecord", "_corrupt")
+        .option("recursiveFileLookup", "true").schema(schema).load(path).withColumn("_file", F.col("_metadata.file_path"))
+    )
+    failed = F.col("ListRecords").isNull() | F.col("_corrupt").isNotNull()
     return raw.select(
-        F.coalesce(py_strip("header.identifier"), F.lit("")).alias("oai_id"),
-        (F.coalesce(F.col("header._status"), F.lit("")) == "deleted").alias("deleted"),
-        F.col("metadata.dc").isNotNull().alias("has_dc"),
-        *[F.col(f"metadata.dc.{t}").alias(f"dc_{t}") for t in DC_TAGS],
+        F.regexp_extract("_file", "/page_no=([0-9]+)/", 1).cast("bigint").alias("page_no"), F.col("ListRecords.record").alias("records"),
+        F.coalesce(F.col("error._code"), F.when(failed, F.lit("unreadable"))).alias("error_code"))
+
+
+def page_records(pages: DataFrame) -> DataFrame:
+    """One row per record of landed pages, with its place (``page_no``, ``record_index``)."""
+    rows = explode_rows(pages, F.col("records"), ["page_no"], "r", pos="record_index")
+    return rows.select(
+        "page_no", "record_index", F.coalesce(py_strip("r.header.identifier"), F.lit("")).alias("oai_id"),
+        (F.coalesce(F.col("r.header._status"), F.lit("")) == "deleted").alias("deleted"),
+        F.col("r.metadata.dc").isNotNull().alias("has_dc"),
+        *[F.col(f"r.metadata.dc.{t}").alias(f"dc_{t}") for t in DC_TAGS],
     )
 
 
