@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from . import rules
 from .operators import merge as M
 from .operators.budget import admit_by_budget, station_gate
+from .operators.ordering import with_ordinal
 from .operators.status import capped_outcome, fold_file_status, visit_outcome
 from .sources.store import append_rows, read_current, read_rows, write_version
 from .sources import ledger as L
@@ -32,6 +33,8 @@ PROJECT_COLS = [
 PROJECT_REQUIRED = ["repository_id", "repository_url", "project_url", "title", "download_date",
                     "download_repository_folder", "download_project_folder", "download_method"]
 
+ARRIVAL = ("source_ord", "seq", "pos")  # of child rows: ids follow it
+
 
 @dataclass
 class RunResult:
@@ -64,7 +67,7 @@ def _gated(pending: DataFrame, files: DataFrame, order: list[str], cap_bytes: in
 def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base: str, run_ts: str,
                 ledger_path: str | None = None, fetch_outcomes: DataFrame | None = None,
                 cap_bytes: int | None = rules.DOWNLOAD_TARGET_BYTES, initial_bytes: int = 0,
-                on_disk: DataFrame | None = None) -> RunResult:
+                on_disk: DataFrame | None = None, saved_at: str | None = None) -> RunResult:
     """Merge the sources (in the given order) into the archive.
 
     ``fetch_outcomes``: ``file_url, outcome`` (see ``operators.status.fetch_outcome``);
@@ -127,11 +130,11 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
 
     # ---- keywords / persons / licences
     for table, rows, key in [
-        ("keywords", M.clean_keywords(children("keywords")), ["project_id", "keyword"]),
-        ("person_role", M.clean_persons(children("persons")), ["project_id", "name", "role"]),
-        ("licenses", M.clean_licenses(children("licenses")), ["project_id", "license"]),
+        ("keywords", M.clean_keywords(children("keywords"), ARRIVAL), ["project_id", "keyword"]),
+        ("person_role", M.clean_persons(children("persons"), ARRIVAL), ["project_id", "name", "role"]),
+        ("licenses", M.clean_licenses(children("licenses"), ARRIVAL), ["project_id", "license"]),
     ]:
-        append_rows(M.new_rows(read_rows(spark, archive_base, table), rows, key, []), archive_base, table)
+        append_rows(M.new_rows(read_rows(spark, archive_base, table), rows, key, list(ARRIVAL), columns=key), archive_base, table)
 
     # ---- files: visits in work order, budget, outcome, status fold
     # each file keeps the arrival position of the record that listed it
@@ -154,10 +157,48 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
     write_version(spark, files, archive_base, "files")
 
     if ledger_path:
-        L.save_completed(new_projects, ledger_path)
+        L.save_completed(new_projects, ledger_path, saved_at)
     return RunResult(
         projects=projects, files=read_current(spark, archive_base, "files"),
         keywords=read_rows(spark, archive_base, "keywords"),
         person_role=read_rows(spark, archive_base, "person_role"),
         licenses=read_rows(spark, archive_base, "licenses"), new_projects=new_projects,
     )
+
+
+def save_batches(sources: list[SourceTables], ledger: DataFrame, save_every: int) -> DataFrame:
+    """Projects that the ledger does not list, with ``batch_no``: ``save_every`` projects a batch, in arrival order.
+
+    Records that share a natural key are one project and lie in one batch. Written, as
+    the batches are worked off while the ledger grows.
+    """
+    every = None
+    for i, s in enumerate(sources):
+        p = s.projects.select("source", F.lit(i).alias("source_ord"), "seq", *KEY)
+        every = p if every is None else every.unionByName(p)
+    first = M.first_arrivals(L.pending(every, ledger).select(*KEY, "source_ord", "seq"), KEY, ["source_ord", "seq"])
+    numbered = with_ordinal(first, [F.col("source_ord"), F.col("seq")], name="_at")
+    batch = F.floor((F.col("_at") - 1) / save_every).cast("long")
+    return numbered.select(*KEY, batch.alias("batch_no")).checkpoint(eager=True)
+
+
+def run_in_batches(spark: SparkSession, sources: list[SourceTables], archive_base: str, run_ts: str, ledger_path: str,
+                   save_every: int = rules.PROGRESS_SAVE_INTERVAL, **settings) -> int:
+    """``run_harvest`` that saves its progress every ``save_every`` projects; returns the batches it worked on.
+
+    A batch is merged, then its projects enter the ledger in one write with the time of the
+    save. A run that was stopped is started again with the same arguments: done batches
+    are in the ledger and are not touched, the open one is merged again, which by the
+    natural keys adds only what is missing. On a large catalogue ``save_every`` is set to
+    what one Spark job is worth; the reference's 25 is the default.
+    """
+    batches = save_batches(sources, L.load_ledger(spark, ledger_path), save_every)
+    last = batches.agg(F.max("batch_no")).first()[0]
+    done = 0
+    for n in range(0 if last is None else last + 1):
+        mine = batches.where(F.col("batch_no") == n).select(*KEY)
+        part = [SourceTables(s.source, *[t.join(mine, KEY, "left_semi") for t in (s.projects, s.files, s.keywords, s.persons, s.licenses)])
+                for s in sources]
+        run_harvest(spark, part, archive_base, run_ts, ledger_path, **settings)
+        done += 1
+    return done

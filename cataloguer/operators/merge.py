@@ -78,27 +78,29 @@ def merge_into(archive: DataFrame | None, batch: DataFrame, key: list[str], orde
 
 # --- child-table preparation (insert_keyword / insert_person / insert_license) ---
 
-def clean_keywords(raw: DataFrame) -> DataFrame:
+# ``keep`` names the columns of the arrival order, which decide the new rows' ids.
+
+def clean_keywords(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Strip Python whitespace, drop blanks."""
     k = py_strip("keyword")
-    return raw.select("project_id", k.alias("keyword")).where(F.col("keyword") != "")
+    return raw.select("project_id", *keep, k.alias("keyword")).where(F.col("keyword") != "")
 
 
-def clean_persons(raw: DataFrame) -> DataFrame:
+def clean_persons(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Strip names, drop blanks, normalise roles."""
     return (
-        raw.select("project_id", py_strip("name").alias("name"), normalise_role("role").alias("role"))
+        raw.select("project_id", *keep, py_strip("name").alias("name"), normalise_role("role").alias("role"))
         .where(F.col("name") != "")
     )
 
 
-def clean_licenses(raw: DataFrame) -> DataFrame:
+def clean_licenses(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Strip, drop blanks, normalise to a label."""
     s = py_strip("license")
     return (
-        raw.select("project_id", s.alias("_s"))
+        raw.select("project_id", *keep, s.alias("_s"))
         .where(F.col("_s") != "")
-        .select("project_id", normalise_license("_s").alias("license"))
+        .select("project_id", *keep, normalise_license("_s").alias("license"))
     )
 
 

@@ -18,6 +18,19 @@ from ..functions.arrays import explode_rows
 API_BASE = rules.STATIONS[0][4]
 
 
+# Dates of the payloads: the search item's publication date, and the detail's release time (C4).
+# Both are absent, empty or set, in every combination.
+PUBLISHED = "CASE length(global_id) % 3 WHEN 0 THEN '2024-05-0' || CAST(length(global_id) % 9 AS VARCHAR(9)) WHEN 1 THEN '' ELSE NULL END"
+RELEASED = "CASE ds % 3 WHEN 0 THEN NULL WHEN 1 THEN '' ELSE '2023-01-31T10:00:00Z' END"
+
+
+def dataset_json(spark: SparkSession, d: str) -> DataFrame:
+    """``fx_dataset_json`` with the release time in the payload."""
+    latest = '{"data":{"latestVersion":{'
+    set_ = F.coalesce(F.concat(F.lit('"releaseTime":"'), F.expr(RELEASED), F.lit('",')), F.lit(""))
+    return fx(spark, d, "fx_dataset_json").select("ds", F.replace("json", F.lit(latest), F.concat(F.lit(latest), set_)).alias("json"))
+
+
 # ---------------------------------------------------------------- search pages (A1)
 
 def landed_search_pages(spark: SparkSession, d: str) -> DataFrame:
@@ -29,7 +42,8 @@ def landed_search_pages(spark: SparkSession, d: str) -> DataFrame:
     hits = fx(spark, d, "fx_hits")
     totals = hits.groupBy("station_ord", "keyword_ord").agg(F.count(F.lit(1)).alias("total_count"))
     item = F.struct("pos", "global_id", F.concat(F.lit("Dataset "), "global_id").alias("name"),
-                    F.concat(F.lit("https://doi.org/"), F.substring("global_id", 5, 1 << 20)).alias("url"))
+                    F.concat(F.lit("https://doi.org/"), F.substring("global_id", 5, 1 << 20)).alias("url"),
+                    F.expr(PUBLISHED).alias("published_at"))
     pages = hits.groupBy(*DV.LANDING_COLS).agg(F.sort_array(F.collect_list(item)).alias("items"))
     body = F.struct(F.struct("total_count", "items").alias("data"))
     return pages.join(totals, ["station_ord", "keyword_ord"]).select(*DV.LANDING_COLS, F.to_json(body).alias("payload"))
@@ -134,7 +148,7 @@ def harvest_completeness(spark: SparkSession, d: str) -> DataFrame:
 
 def details(spark: SparkSession, d: str) -> DataFrame:
     """Parsed dataset details; ``global_id`` is the request parameter of the landing."""
-    raw = fx(spark, d, "fx_dataset_json").withColumn("global_id", F.concat(F.lit("doi:10.1/"), F.col("ds")))
+    raw = dataset_json(spark, d).withColumn("global_id", F.concat(F.lit("doi:10.1/"), F.col("ds")))
     return DV.parse_details(raw, keep=["ds", "global_id"])
 
 
@@ -188,7 +202,7 @@ def dataset_license(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("project_fields", oracle=f"""
-SELECT ds, global_id AS doi, version, description, language, CAST(NULL AS VARCHAR) AS upload_date,
+SELECT ds, global_id AS doi, version, description, language, coalesce(nullif({PUBLISHED}, ''), nullif({RELEASED}, '')) AS upload_date,
   5 AS repository_id, 'DANS' AS download_repository_folder, 'API-CALL' AS download_method,
   CASE WHEN version IS NULL THEN NULL ELSE {S.safe_name('version')} END AS download_version_folder
 FROM fx_dataset WHERE n_files > 0""")
@@ -196,7 +210,7 @@ def project_fields(spark: SparkSession, d: str) -> DataFrame:
     """Project columns from a detail with files (D2): version, description, language, dates."""
     x = details(spark, d).where(F.size("files") > 0)
     ver = DV.version()
-    upload = F.coalesce(F.lit(None).cast("string"), F.nullif(F.col("release_time"), F.lit("")))
+    upload = DV.upload_date(F.expr(PUBLISHED), F.col("release_time"))
     return x.select(
         "ds", F.col("global_id").alias("doi"), ver.alias("version"), DV.description().alias("description"),
         DV.language().alias("language"), upload.alias("upload_date"), F.lit(5).alias("repository_id"),

@@ -13,7 +13,7 @@ from ..sources import adapters, html, oai
 from ..sources import dataverse as DV
 from . import sqltext as S
 from .archive import fx, projects_full_df
-from .harvest import landed_search_pages
+from .harvest import PUBLISHED, RELEASED, dataset_json, landed_search_pages
 from .registry import RUN_TS, query
 
 
@@ -22,7 +22,7 @@ def dataverse_source(spark: SparkSession, d: str) -> adapters.SourceTables:
     dataset detail the station returned (``fx_dataset_json`` of that DOI)."""
     hits = DV.search_hits(landed_search_pages(spark, d))
     asked = first_hit_per_station(hits, order=["keyword_ord", "start", "item_index"]).select("station_ord", "global_id")
-    js = fx(spark, d, "fx_dataset_json").select(F.concat(F.lit("doi:10.1/"), F.col("ds")).alias("global_id"), "json")
+    js = dataset_json(spark, d).select(F.concat(F.lit("doi:10.1/"), F.col("ds")).alias("global_id"), "json")
     details = asked.join(js, "global_id")
     return adapters.dataverse(hits, details)
 
@@ -83,8 +83,9 @@ fh AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY station_ord, glo
                                                    ORDER BY keyword_ord, start, item_index) AS rn
                       FROM h WHERE coalesce(global_id, '') <> '') t WHERE rn = 1),
 v AS (SELECT fh.station_ord, fh.keyword_ord, fh.start, fh.item_index, fh.global_id, d.version, d.language,
-             d.description, d.n_files, d.n_files = 1 AS has_qda
-      FROM fh JOIN fx_dataset d ON fh.global_id = 'doi:10.1/' || CAST(d.ds AS VARCHAR) WHERE d.n_files > 0),
+             d.description, d.n_files, d.n_files = 1 AS has_qda, d.upload_date
+      FROM fh JOIN (SELECT *, coalesce(nullif({PUBLISHED}, ''), nullif({RELEASED}, '')) AS upload_date FROM fx_dataset) d
+        ON fh.global_id = 'doi:10.1/' || CAST(d.ds AS VARCHAR) WHERE d.n_files > 0),
 o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY global_id ORDER BY station_ord, keyword_ord, start,
                                                   item_index) AS rn FROM v) t WHERE rn = 1),
 p AS (SELECT *, CAST(row_number() OVER (ORDER BY station_ord, NOT has_qda, keyword_ord, start, item_index, global_id)
@@ -99,7 +100,7 @@ _DV_PROJECTS_SQL = f"""
 WITH {_DV_OWNERS}
 SELECT seq, {_station_case('station_ord', 2)} AS source, 5 AS repository_id, project_url,
   {_TERMS}[keyword_ord] AS query_string, {_station_case('station_ord', 3)} AS repository_url, version,
-  'Dataset ' || global_id AS title, description, language, global_id AS doi, CAST(NULL AS VARCHAR) AS upload_date,
+  'Dataset ' || global_id AS title, description, language, global_id AS doi, upload_date,
   'DANS' AS download_repository_folder, download_project_folder, download_version_folder,
   'API-CALL' AS download_method, has_qda
 FROM p"""
@@ -176,7 +177,7 @@ _RUN_SQL = f"""
 WITH {_DV_OWNERS},
 dvp AS (SELECT 0 AS source_ord, seq, 5 AS repository_id, project_url, {_TERMS}[keyword_ord] AS query_string,
           {_station_case('station_ord', 3)} AS repository_url, version, 'Dataset ' || global_id AS title,
-          description, language, global_id AS doi, CAST(NULL AS VARCHAR) AS upload_date,
+          description, language, global_id AS doi, upload_date,
           'DANS' AS download_repository_folder, download_project_folder, download_version_folder,
           'API-CALL' AS download_method, n_files FROM p),
 fdef AS (SELECT 1 AS n_files, 0 AS file_index, 'a.qdpx' AS file_name, 'qdpx' AS file_type, true AS restricted

@@ -25,11 +25,12 @@ from . import html, oai
 from ..functions.arrays import explode_rows
 
 KEY = ["repository_id", "project_url"]
+PLACE = ["seq", *KEY]  # children arrive by their project's place, then by their own (``pos``)
 
 
 @dataclass
 class SourceTables:
-    """Archive-bound rows of one source, in arrival order (``seq``)."""
+    """Archive-bound rows of one source, in arrival order (``seq``; children also ``pos``)."""
 
     source: str
     projects: DataFrame
@@ -88,7 +89,7 @@ def dataverse(hits: DataFrame, details: DataFrame, order: tuple[str, ...] = ("ke
         _term(F.col("keyword_ord")).alias("query_string"), F.col("station_url").alias("repository_url"),
         ver.alias("version"), title.alias("title"), DV.description().alias("description"),
         DV.language().alias("language"), F.col("global_id").alias("doi"),
-        F.coalesce(blank_to_null(F.col("published_at")), blank_to_null(F.col("release_time"))).alias("upload_date"),
+        DV.upload_date(F.col("published_at"), F.col("release_time")).alias("upload_date"),
         F.col("folder").alias("download_repository_folder"), proj_folder.alias("download_project_folder"),
         ver_folder.alias("download_version_folder"), F.col("access_method").alias("download_method"),
         F.col("has_qda"),
@@ -106,9 +107,9 @@ def dataverse(hits: DataFrame, details: DataFrame, order: tuple[str, ...] = ("ke
                          F.col("file_size").alias("size"), "restricted",
                          F.concat_ws("/", "download_repository_folder", "download_project_folder",
                                      "download_version_folder", "file_name").alias("local_path"))
-    keywords = explode_rows(base, DV.keywords(), KEY, "keyword")
-    persons = explode_rows(base, DV.authors(), KEY, "name").withColumn("role", F.lit("AUTHOR"))
-    licenses = base.select(*KEY, DV.license_value().alias("license")).where(F.col("license").isNotNull())
+    keywords = explode_rows(base, DV.keywords(), PLACE, "keyword", pos="pos")
+    persons = explode_rows(base, DV.authors(), PLACE, "name", pos="pos").withColumn("role", F.lit("AUTHOR"))
+    licenses = base.select(*PLACE, F.lit(0).alias("pos"), DV.license_value().alias("license")).where(F.col("license").isNotNull())
     return SourceTables("dans", projects, files, keywords, persons, licenses)
 
 
@@ -149,12 +150,12 @@ def oai_records(records: DataFrame, item_pages: DataFrame | None = None,
         F.when(F.col("file_name").isNotNull(), F.concat_ws("/", "download_repository_folder", "download_project_folder",
                                                            "file_name")).alias("local_path"),
     )
-    keywords = explode_rows(rows, F.col("subjects"), KEY, "keyword")
+    keywords = explode_rows(rows, F.col("subjects"), PLACE, "keyword", pos="pos")
     persons = explode_rows(rows, F.concat(
         F.transform("creators", lambda n: F.struct(n.alias("name"), F.lit("AUTHOR").alias("role"))),
         F.transform("contributors", lambda n: F.struct(n.alias("name"), F.lit("CONTRIBUTOR").alias("role"))),
-    ), KEY, "p").select(*KEY, "p.name", "p.role")
-    licenses = explode_rows(rows, F.col("rights"), KEY, "license")
+    ), PLACE, "p", pos="pos").select(*PLACE, "pos", "p.name", "p.role")
+    licenses = explode_rows(rows, F.col("rights"), PLACE, "license", pos="pos")
     return SourceTables("uni_halle", projects, files, keywords, persons, licenses)
 
 

@@ -117,6 +117,11 @@ def version(major="version_major", minor="version_minor") -> Column:
                   F.concat(F.lit("v"), F.col(major), F.lit("."), F.coalesce(F.col(minor), F.lit("None"))))
 
 
+def upload_date(published_at: Column, release_time: Column) -> Column:
+    """Publication date of the search item, if empty the version's release time, else NULL."""
+    return F.coalesce(blank_to_null(published_at), blank_to_null(release_time))
+
+
 def keywords(fields="fields") -> Column:
     """Keyword values (last ``keyword`` field), then string subjects; blanks dropped."""
     kw = F.try_variant_get(citation_value(fields, "keyword"), "$", "array<struct<keywordValue: struct<value: string>>>")

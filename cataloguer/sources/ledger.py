@@ -8,6 +8,8 @@ readers treat the ledger as a set.
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -37,12 +39,10 @@ def load_ledger(spark: SparkSession, path: str) -> DataFrame:
     return df.dropDuplicates(["source", "project_url"])
 
 
-def save_completed(completed: DataFrame, path: str, batch_col: str | None = None) -> None:
-    """Append completed projects (``source, project_url``), optionally tagged with their batch."""
-    cols = [F.col("source"), F.col("project_url")]
-    if batch_col:
-        cols.append(F.col(batch_col))
-    completed.select(*cols).write.mode("append").parquet(path)
+def save_completed(completed: DataFrame, path: str, stamp: str | None = None) -> None:
+    """Append completed projects (``source, project_url``) with ``saved_at``, the UTC time of the save (ISO 8601)."""
+    stamp = stamp or datetime.now(timezone.utc).isoformat(timespec="seconds")
+    completed.select("source", "project_url", F.lit(stamp).alias("saved_at")).write.mode("append").parquet(path)
 
 
 def pending(projects: DataFrame, ledger: DataFrame, source_col: str = "source") -> DataFrame:

@@ -1,11 +1,14 @@
 """End-to-end harvest run: adapters -> versioned archive; rerun is idempotent."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from cataloguer import archive_run
 from cataloguer.archive_run import run_harvest
 from cataloguer.operators import merge as M
 from cataloguer.plans import runs
 from cataloguer.session import scratch_path
+from cataloguer.sources import adapters, store
 
 from .conftest import SMALL
 
@@ -92,3 +95,68 @@ def test_ledger_errors(spark):
     assert ledger.load_ledger(spark, f"{base}/none").count() == 0
     spark.createDataFrame([("not a ledger " * 9,)], "x string").coalesce(1).write.text(f"{base}/corrupt")
     assert ledger.load_ledger(spark, f"{base}/corrupt").count() == 0
+
+
+COLUMNS = {
+    "projects": "seq long, source string, repository_id int, project_url string, " + ", ".join(
+        f"{c} string" for c in archive_run.PROJECT_COLS if c not in ("repository_id", "project_url", "download_date")) + ", has_qda boolean",
+    "files": "seq long, repository_id int, project_url string, file_index int, file_name string, file_type string, file_url string, "
+             "size long, restricted boolean, local_path string",
+    "keywords": "seq long, repository_id int, project_url string, pos int, keyword string",
+    "persons": "seq long, repository_id int, project_url string, pos int, name string, role string",
+    "licenses": "seq long, repository_id int, project_url string, pos int, license string",
+}
+
+
+def small_source(spark, n):
+    """A station's tables of ``n`` projects; children come in an order that is not that of the alphabet."""
+    key = lambda i: (i, 5, f"https://x.example/{(7 * i) % n}")
+    fixed = {"repository_url": "https://x.example", "download_repository_folder": "X", "download_project_folder": "p", "download_method": "API-CALL"}
+    names = [c.split()[0] for c in COLUMNS["projects"].split(", ")]
+    projects = [tuple({"seq": i, "source": "X", "repository_id": 5, "project_url": key(i)[2], "title": f"t{i}", **fixed}.get(c) for c in names) for i in range(n)]
+    frame = lambda name, rows: spark.createDataFrame(rows, COLUMNS[name])
+    return adapters.SourceTables(
+        "dans", frame("projects", projects),
+        frame("files", [(*key(i), k, f"f{9 - k}.pdf", "pdf", f"u/{i}/{k}", 1, k == 1, f"X/{i}/{k}") for i in range(n) for k in range(2)]),
+        frame("keywords", [(*key(i), k, f"{'zma'[k]}{i}") for i in range(n) for k in range(3)]),
+        frame("persons", [(*key(i), 0, f"Z{n - i}", "AUTHOR") for i in range(n)]),
+        frame("licenses", [(*key(i), 0, "CC0 1.0") for i in range(n)]),
+    )
+
+
+def tables_of(spark, base):
+    read = lambda t: store.read_current(spark, base, t) if t == "files" else store.read_rows(spark, base, t)
+    return {t: sorted(tuple(r) for r in read(t).collect()) for t in ("projects", "files", "keywords", "person_role", "licenses")}
+
+
+def test_a_stopped_run_goes_on_where_it_was(spark, monkeypatch):
+    """Stopped in its second batch and started again: the same tables and ids as one run, no batch done twice."""
+    base, ts = scratch_path(spark, "t-batches"), "2026-01-01T00:00:00+00:00"
+    src, real, calls = small_source(spark, 10), archive_run.L.save_completed, []
+    run_harvest(spark, [src], f"{base}/one", ts, f"{base}/one-ledger")
+
+    def stops(completed, path, stamp=None):
+        if len(calls) == 1:  # merged, but not yet in the ledger
+            calls.append("stopped")
+            raise KeyboardInterrupt
+        calls.append(completed.count())
+        real(completed, path, stamp)
+
+    monkeypatch.setattr(archive_run.L, "save_completed", stops)
+    with pytest.raises(KeyboardInterrupt):
+        archive_run.run_in_batches(spark, [src], f"{base}/many", ts, f"{base}/ledger", save_every=4)
+    assert archive_run.run_in_batches(spark, [src], f"{base}/many", ts, f"{base}/ledger", save_every=4) == 2
+    assert calls == [4, "stopped", 4, 2]
+    assert tables_of(spark, f"{base}/many") == tables_of(spark, f"{base}/one")
+    saved = spark.read.parquet(f"{base}/ledger")
+    assert saved.count() == saved.select("project_url").distinct().count() == 10
+    assert saved.where("saved_at rlike '^20[0-9-]+T[0-9:]+[+]00:00$'").count() == 10
+    assert archive_run.run_in_batches(spark, [src], f"{base}/many", ts, f"{base}/ledger", save_every=4) == 0
+
+
+def test_child_ids_follow_arrival(spark):
+    base = scratch_path(spark, "t-arrival")
+    res = run_harvest(spark, [small_source(spark, 4)], f"{base}/a", "2026-01-01T00:00:00+00:00")
+    assert [r.keyword for r in res.keywords.orderBy("id").collect()] == [f"{c}{i}" for i in range(4) for c in "zma"]
+    assert [r.name for r in res.person_role.orderBy("id").collect()] == ["Z4", "Z3", "Z2", "Z1"]
+    assert [r.file_name for r in res.files.orderBy("id").collect()] == ["f9.pdf", "f8.pdf"] * 4
