@@ -280,14 +280,19 @@ def two_run_status(spark: SparkSession, d: str) -> DataFrame:
 
 # ---------------------------------------------------------------- fetch outcome (F8, H6)
 
-@query("fetch_outcome", oracle="""
+# Attempts of the fixture's log that end in an error other than HTTP or transport.
+OTHER_ERROR = "http_status IS NULL AND seq % 3 = 0"
+
+
+@query("fetch_outcome", oracle=f"""
 WITH a AS (SELECT file_id, row_number() OVER (PARTITION BY file_id ORDER BY seq, http_status NULLS FIRST) AS rn,
-             CASE WHEN http_status IN (401, 403) THEN 'RESTRICTED'
+             CASE WHEN {OTHER_ERROR} THEN 'FAILED' WHEN http_status IN (401, 403) THEN 'RESTRICTED'
                   WHEN http_status IS NOT NULL AND http_status < 400 THEN 'SUCCESS' END AS t
            FROM fx_fetch_log),
 k AS (SELECT * FROM a WHERE rn <= 3)
-SELECT file_id, coalesce(min(CASE WHEN t IS NOT NULL THEN {'r': rn, 't': t} END).t, 'FAILED') AS outcome,
+SELECT file_id, coalesce(min(CASE WHEN t IS NOT NULL THEN {{'r': rn, 't': t}} END).t, 'FAILED') AS outcome,
   CAST(coalesce(min(CASE WHEN t IS NOT NULL THEN rn END), count(*)) AS INTEGER) AS attempts
 FROM k GROUP BY file_id""")
 def fetch_outcome(spark: SparkSession, d: str) -> DataFrame:
-    return fetch_outcome_op(fx(spark, d, "fx_fetch_log"))
+    log = fx(spark, d, "fx_fetch_log").withColumn("other_error", F.expr(OTHER_ERROR))
+    return fetch_outcome_op(log, other_error_col="other_error")

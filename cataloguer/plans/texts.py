@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import rules
+from ..session import scratch_path
 from ..functions.normalise import normalise_license, normalise_role
 from ..functions.text import py_strip, safe_name
 from ..sources import disk, html, oai
@@ -210,11 +211,14 @@ def safe_names(spark: SparkSession, d: str) -> DataFrame:
 # ---------------------------------------------------------------- folder inventory
 
 @query("src_disk_usage", oracle="""
-SELECT count(*) AS n_files, CAST(sum(size) AS BIGINT) AS total_bytes
-FROM read_blob('/root/testdata/sf0.01/*') WHERE NOT regexp_matches(filename, '[^/]\\.tmp$')""")
+SELECT count(DISTINCT page_id % 4) AS n_files, CAST(sum(octet_length(encode(coalesce(html, ''))) + 1) AS BIGINT) AS total_bytes FROM pages""")
 def src_disk_usage(spark: SparkSession, d: str) -> DataFrame:
-    """Files and bytes below the data folder (the byte budget's starting usage)."""
-    return disk.disk_usage(spark, d)
+    """Files and bytes of a download folder (the byte budget's starting usage): the item pages, landed in four files."""
+    path = scratch_path(spark, "disk-usage")
+    pages = spark.read.parquet(f"{d.rstrip('/')}/pages.parquet")
+    rows = pages.select((F.col("page_id") % 4).alias("part"), F.coalesce("html", F.lit("")).alias("value"))
+    rows.repartition(4, "part").write.partitionBy("part").text(path)
+    return disk.disk_usage(spark, path)
 
 
 @query("report_oai_harvest", oracle=f"""

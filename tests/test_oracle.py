@@ -49,8 +49,7 @@ def test_every_query_has_an_oracle():
     assert set(NAMES) - ROWS_ONLY == set(ORACLES) & set(NAMES)
 
 
-# src_disk_usage's oracle lists a fixed folder, checked at sf0.01 by scripts/oracle_check.py
-@pytest.mark.parametrize("name", [n for n in NAMES if n != "src_disk_usage" and n not in ROWS_ONLY])
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in ROWS_ONLY])
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SMALL)
     rows = [tuple(r) for r in df.collect()]
