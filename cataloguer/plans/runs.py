@@ -27,10 +27,25 @@ def dataverse_source(spark: SparkSession, d: str) -> adapters.SourceTables:
     return adapters.dataverse(hits, details)
 
 
+# Persons and rights of the OAI records (C11, C12), as SQL that both engines read.
+CREATOR = "'Author ' || CAST(rec % 50 AS VARCHAR(9))"
+CONTRIBUTOR = "CASE WHEN rec % 3 = 0 THEN 'Helper ' || CAST(rec AS VARCHAR(20)) END"
+RIGHTS = "CASE rec % 4 WHEN 1 THEN 'http://creativecommons.org/licenses/by/4.0/' WHEN 2 THEN 'on request' END"
+
+
+def oai_xml(spark: SparkSession, d: str) -> DataFrame:
+    """``fx_oai_xml`` with creators, contributors and rights in the records."""
+    def element(tag: str, sql: str):
+        return F.coalesce(F.concat(F.lit(f"<dc:{tag}>"), F.expr(sql), F.lit(f"</dc:{tag}>")), F.lit(""))
+
+    more = F.concat(element("creator", CREATOR), element("contributor", CONTRIBUTOR), element("rights", RIGHTS), F.lit("</oai_dc:dc>"))
+    return fx(spark, d, "fx_oai_xml").select("rec", F.replace("xml", F.lit("</oai_dc:dc>"), more).alias("xml"))
+
+
 def oai_source(spark: SparkSession, d: str) -> adapters.SourceTables:
     """Landed OAI records (100 per page) and item pages: ``fx_pages`` row ``page_id = rec``
     served at the record's project URL."""
-    xml = fx(spark, d, "fx_oai_xml")
+    xml = oai_xml(spark, d)
     recs = oai.parse_records(xml.select("rec", "xml", F.expr("rec div 100").alias("page_no"),
                                         (F.col("rec") % 100).alias("record_index")),
                              keep=["rec", "page_no", "record_index"])
@@ -237,15 +252,18 @@ kwall AS (SELECT dvp.repository_id, dvp.project_url, d.keyword AS kw FROM dvp
 kwa AS (SELECT proj.id AS project_id, string_agg(DISTINCT {S.strip('kw')}, ' | ' ORDER BY {S.strip('kw')}) AS keywords
         FROM kwall JOIN proj ON proj.repository_id = kwall.repository_id AND proj.project_url = kwall.project_url
         WHERE {S.strip('kw')} <> '' GROUP BY proj.id),
-pra AS (SELECT proj.id AS project_id, string_agg(DISTINCT d.author || ' (AUTHOR)', ' | ' ORDER BY d.author || ' (AUTHOR)')
-          AS persons
-        FROM dvp JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
-        JOIN proj ON proj.repository_id = dvp.repository_id AND proj.project_url = dvp.project_url GROUP BY proj.id),
-lia AS (SELECT proj.id AS project_id, string_agg(DISTINCT {S.license('d.license')}, ' | '
-          ORDER BY {S.license('d.license')}) AS licenses
-        FROM dvp JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
-        JOIN proj ON proj.repository_id = dvp.repository_id AND proj.project_url = dvp.project_url
-        WHERE d.license IS NOT NULL GROUP BY proj.id)
+pall AS (SELECT dvp.repository_id, dvp.project_url, d.author || ' (AUTHOR)' AS p FROM dvp
+            JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
+         UNION ALL SELECT repository_id, project_url, {CREATOR} || ' (AUTHOR)' FROM oaip
+         UNION ALL SELECT repository_id, project_url, {CONTRIBUTOR} || ' (OTHER)' FROM oaip WHERE {CONTRIBUTOR} IS NOT NULL),
+pra AS (SELECT proj.id AS project_id, string_agg(DISTINCT p, ' | ' ORDER BY p) AS persons
+        FROM pall JOIN proj ON proj.repository_id = pall.repository_id AND proj.project_url = pall.project_url GROUP BY proj.id),
+lall AS (SELECT dvp.repository_id, dvp.project_url, d.license FROM dvp
+            JOIN fx_dataset d ON dvp.doi = 'doi:10.1/' || CAST(d.ds AS VARCHAR)
+         UNION ALL SELECT repository_id, project_url, {RIGHTS} FROM oaip),
+lia AS (SELECT proj.id AS project_id, string_agg(DISTINCT {S.license('license')}, ' | ' ORDER BY {S.license('license')}) AS licenses
+        FROM lall JOIN proj ON proj.repository_id = lall.repository_id AND proj.project_url = lall.project_url
+        WHERE license IS NOT NULL GROUP BY proj.id)
 SELECT proj.id AS project_id, proj.repository_id, proj.repository_url, proj.project_url, proj.title,
   proj.description, proj.language, proj.doi, proj.upload_date, '{RUN_TS}' AS download_date, proj.download_method,
   proj.download_repository_folder, proj.download_project_folder, proj.download_version_folder, proj.version,
