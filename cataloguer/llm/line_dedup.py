@@ -262,10 +262,11 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         return texts.where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
 
     def flagged(rows: DataFrame, done: DataFrame | None) -> DataFrame:
-        """``rows`` with ``open``: whether the line has found no earlier neighbour yet."""
+        """``rows`` with ``open``: whether the line has found no earlier neighbour yet. Written, as the steps after it use it more than once."""
         if done is None:
             return rows.withColumn("open", F.lit(True))
-        return rows.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
+        marked = rows.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
+        return written(marked, "line-open")
 
     def unsettled(rows: DataFrame) -> DataFrame:
         """Rows (key, id, open, ..) of buckets with an open line that is not their earliest, with the bucket's ``size``."""
