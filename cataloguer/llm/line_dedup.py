@@ -95,25 +95,30 @@ def _substrings(max_edits: int) -> list[tuple[int, int, Column, Column]]:
 
 
 def bucket_rows(lines: DataFrame, max_edits: int) -> DataFrame:
-    """(scope, id, piece, live, slot, key) of every index and probe substring of ``lines`` (scope, id, piece, live, s, n)."""
-    keys = []
+    """``lines`` (id, s, n and some of scope, piece, live) as rows (.., slot, key) of every index and probe substring, without s and n."""
+    keys, own = [], [c for c in lines.columns if c not in ("s", "n")]
+    scope = F.col("scope") if "scope" in own else F.lit(0).cast("long")
     for less, i, start, size in _substrings(max_edits):
-        key = F.xxhash64("scope", F.col("n") - less, F.lit(i), F.col("s").substr(start, size))
+        key = F.xxhash64(scope, F.col("n") - less, F.lit(i), F.col("s").substr(start, size))
         # in a line of fewer characters than that a probe may not fit; none is needed there
         keys.append(F.when((start >= 1) & (start + size <= F.col("n") + 1), key))
-    own = ["scope", "id", "piece", "live"]
     placed = _with_places(lines.select(*own, "s", F.col("n").cast("int").alias("n")), max_edits)
     return placed.select(*own, F.posexplode_outer(F.array(*keys)).alias("slot", "key")).where("key is not null")
 
 
 def shared_buckets(rows: DataFrame, max_edits: int) -> DataFrame:
-    """(key, scope, id, piece, slots) of buckets that hold two lines or more, a live one, and one by its own segment."""
-    w = Window.partitionBy("key")
-    return (
-        rows.withColumn("_lo", F.min("id").over(w)).withColumn("_hi", F.max("id").over(w)).withColumn("_own", F.min("slot").over(w))
-        .withColumn("_live", F.max("live").over(w)).where((F.col("_lo") != F.col("_hi")) & (F.col("_own") <= max_edits) & F.col("_live"))
-        .groupBy("key", "scope", "id", "piece").agg(F.collect_set("slot").alias("slots"))
-    )
+    """(key, scope, id, piece, slots) of buckets that hold two lines or more, a live one, and one by its own segment.
+
+    Whole lines, the largest level by far, come as (id, slot, key) alone: all live, in scope 0, each its own piece.
+    """
+    w, whole = Window.partitionBy("key"), "piece" not in rows.columns
+    met = rows.withColumn("_lo", F.min("id").over(w)).withColumn("_hi", F.max("id").over(w)).withColumn("_own", F.min("slot").over(w))
+    if not whole:
+        met = met.withColumn("_live", F.max("live").over(w)).where("_live")
+    met = met.where((F.col("_lo") != F.col("_hi")) & (F.col("_own") <= max_edits))
+    if whole:
+        met = met.withColumns({"scope": F.lit(0).cast("long"), "piece": F.col("id")})
+    return met.groupBy("key", "scope", "id", "piece").agg(F.collect_set("slot").alias("slots"))
 
 
 def with_live(large: DataFrame) -> DataFrame:
@@ -221,7 +226,7 @@ def _lines(docs: DataFrame, params: LineParams) -> DataFrame:
     """One row per line that may be dropped: (doc_id, th, line_no, n, h1, h2, line)."""
     return (
         docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), F.posexplode_outer(F.split("text", "\n", -1)).alias("line_no", "line"))
-        .withColumn("n", F.char_length("line")).where((F.col("n") >= params.min_exact) & (F.btrim("line", F.lit(SPACES)) != ""))
+        .withColumn("n", F.char_length("line")).where((F.col("n") >= params.min_exact) & (F.ltrim("line", F.lit(SPACES)) != ""))
         .withColumn("h1", F.xxhash64("line")).withColumn("h2", F.xxhash64(F.lit(1), "line"))
     )
 
@@ -234,8 +239,7 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
     """h1 of the lines with an earlier line within ``max_edits`` edits."""
     k, tasks = params.max_edits, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     near = _lines(docs, params).where(F.col("n") >= params.min_near)
-    rows = bucket_rows(near.select(
-        F.lit(0).cast("long").alias("scope"), F.col("h1").alias("id"), F.col("h1").alias("piece"), F.lit(True).alias("live"), F.col("line").alias("s"), "n"), k)
+    rows = bucket_rows(near.select(F.col("h1").alias("id"), F.col("line").alias("s"), "n"), k)
     level = written(shared_buckets(rows, k), "line-buckets")
     wanted = written(level.select("id").distinct().join(classes.select(F.col("h1").alias("id"), "first"), "id"), "line-wanted")
     # a wanted line's text is taken from its first place only
