@@ -1,17 +1,17 @@
 """Language ID: blended-spectrum presence kernels, Nyström landmarks, one-versus-rest ridge regression.
 
 A text is the set of its distinct character n-grams of lengths 1 to 3 (whole text,
-letters folded to lower case, everything else one blank). The kernel of two texts
+letters of all scripts folded to lower case, every other character a blank), hashed to
+``SPACE`` features. The kernel of two texts
 is the number of n-grams both hold, over the geometric mean of their set sizes.
 ``landmarks`` training texts span a Nyström feature space; in it a ridge regression
 per language fits 1 for its own texts and 0 for others. With the kernel values of a
 batch of texts against the landmarks as a matrix, all scores are two matrix products.
 
 The classifier is fitted on a bounded sample (documented parameters): of each
-language the ``per_class`` labelled documents with the smallest hash of doc_id, the
-first ``sample_chars`` characters of each. Letters not among the sample's
-``ALPHABET`` most frequent count as one unknown letter. Prediction uses the whole
-text of every document, and nothing else.
+language the ``per_class`` labelled rows with the smallest hash of doc_id (then of the
+text), of each all, or ``sample_windows`` windows spread evenly over the whole text, together
+``sample_chars`` characters. Prediction uses the whole text of every document, and nothing else.
 
 Defined cases: a null text, or one without letters, is ``und`` with score 0; equal
 scores go to the alphabetically first language; rows are predicted each, repeated or
@@ -22,7 +22,6 @@ languages raise an error; other columns are not read.
 from __future__ import annotations
 
 import unicodedata
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,36 +30,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ALPHABET = 120
-_UNKNOWN = 127
-_SIZES = (128, 128**2, 128**3)
-_SPACE_SIZE = sum(_SIZES)
+_SPACE_BITS = 21
+SPACE = 1 << _SPACE_BITS
+_STEP, _SPREAD = np.uint32(0x01000193), np.uint32(0x9E3779B1)  # odd factors, products wrap modulo 2^32
 _BATCH = 128
 
 
 @dataclass(frozen=True)
 class LangParams:
-    """Production parameters; the first three bound the training sample."""
+    """Production parameters; the first four bound the training sample."""
 
     per_class: int = 200
     sample_chars: int = 4000
+    sample_windows: int = 4
     max_classes: int = 500
     landmarks: int = 192
     ridge: float = 1e-3
 
 
-def _letters(sample: list[str]) -> np.ndarray:
-    """Code per code point: 0 no letter, 1.. the sample's frequent letters folded, 127 other letters."""
-    seen = Counter()
-    for t in sample:
-        seen.update(t.lower())
-    common = [c for c, _ in sorted(((c, n) for c, n in seen.items() if c.isalpha()), key=lambda x: (-x[1], x[0]))[:ALPHABET]]
-    number = {c: i + 1 for i, c in enumerate(common)}
-    table = np.zeros(0x110000, np.uint8)
+def letters() -> np.ndarray:
+    """Per code point the lower-case letter's code point, 0 if it is no letter."""
+    table = np.zeros(0x110000, np.uint32)
     for i in range(0x110000):
         c = chr(i)
         if unicodedata.category(c)[0] == "L":
-            table[i] = number.get(c.lower(), _UNKNOWN)
+            table[i] = ord(c.lower()[0])
     return table
 
 
@@ -69,15 +63,17 @@ class Grams:
 
     def __init__(self, table: np.ndarray):
         self.table = table
-        self.stamp = np.zeros(_SPACE_SIZE, np.int32)
+        self.stamp = np.zeros(SPACE, np.int32)
 
     def distinct(self, text: str) -> np.ndarray:
-        c = self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")].astype(np.int32)
+        c = self.table[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
         if not c.any():
             return np.zeros(0, np.int32)
-        two = c[:-1] * 128 + c[1:]
-        three = two[:-1] * 128 + c[2:]
-        codes = np.concatenate([c, two + _SIZES[0], three + (_SIZES[0] + _SIZES[1])])
+        two = (c[:-1] + np.uint32(1)) * _STEP + c[1:]
+        three = (two[:-1] + np.uint32(2)) * _STEP + c[2:]
+        codes = np.concatenate([c, two, three]) * _SPREAD
+        codes ^= codes >> np.uint32(15)
+        codes = ((codes * _STEP) >> np.uint32(32 - _SPACE_BITS)).astype(np.int32)
         at = np.arange(len(codes), dtype=np.int32)
         self.stamp[codes] = at
         return codes[self.stamp[codes] == at]
@@ -112,14 +108,14 @@ def fit(sample: list[tuple[str, str]], params: LangParams = LangParams()) -> Lan
     if not sample:
         return None
     langs = sorted({l for l, _ in sample})
-    grams = Grams(_letters([t for _, t in sample]))
+    grams = Grams(letters())
     pairs = [(l, s) for l, t in sample if len(s := grams.distinct(t))]
     if not pairs:
         return None
     share = max(1, params.landmarks // len(langs))
     chosen = [s for lang in langs for s in [s for l, s in pairs if l == lang][:share]]
     used = np.unique(np.concatenate(chosen))
-    feature = np.full(_SPACE_SIZE, -1, np.int32)
+    feature = np.full(SPACE, -1, np.int32)
     feature[used] = np.arange(len(used))
     marks = np.zeros((len(used), len(chosen)), np.float32)
     for j, s in enumerate(chosen):
@@ -141,29 +137,38 @@ def held_out(doc_id: str) -> Column:
 
 
 def training_sample(docs: DataFrame, params: LangParams) -> list[tuple[str, str]]:
-    """The bounded sample: ids are chosen on narrow rows, then only their texts are fetched.
+    """The bounded sample: rows are chosen by narrow keys, then only their texts are fetched.
 
-    The ids are broadcast (at most ``per_class`` x ``max_classes``), so no text is shuffled.
+    The keys are broadcast (at most ``per_class`` x ``max_classes``), so no text is shuffled. Equal
+    rows count once, so ids that repeat often add no more than others.
     """
-    docs = docs.select("doc_id", "lang", "text")
+    docs = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("th"))
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
-    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
-    ids = (
-        rows.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id", "th")
+    keys = (
+        rows.select("doc_id", "lang", "th", F.xxhash64("doc_id").alias("h")).distinct()
         .withColumn("rank", F.row_number().over(by_hash)).where(F.col("rank") <= params.per_class)
-        .select("doc_id", "lang", "rank").limit(params.per_class * params.max_classes + 1).collect()
+        .select("doc_id", "lang", "th").limit(params.per_class * params.max_classes + 1).collect()
     )
-    if len({r["lang"] for r in ids}) > params.max_classes:
+    if len({r["lang"] for r in keys}) > params.max_classes:
         raise ValueError(f"more than {params.max_classes} languages")
-    if not ids:
+    if not keys:
         return []
-    chosen = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"]) for r in set(ids)], "_id long, _lang string").distinct()
+    chosen = docs.sparkSession.createDataFrame([tuple(r) for r in keys], "_id long, _lang string, _th long")
+    same = (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")) & (F.col("th") == F.col("_th"))
     texts = (
-        docs.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
-        .select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", F.substring("text", 1, params.sample_chars).alias("text"))
-        .limit(2 * len(ids)).collect()
+        docs.join(F.broadcast(chosen), same).select("lang", F.xxhash64("doc_id").alias("h"), "doc_id", "th", spread("text", params).alias("text"))
+        .groupBy("lang", "h", "doc_id", "th").agg(F.min("text").alias("text")).collect()
     )
-    return [(r["lang"], r["text"]) for r in sorted(texts, key=lambda r: (r["h"], r["doc_id"], r["lang"], r["text"]))]
+    return [(r["lang"], r["text"]) for r in sorted(texts, key=lambda r: (r["h"], r["doc_id"], r["lang"], r["th"]))]
+
+
+def spread(text: str, params: LangParams) -> Column:
+    """A text, or of a longer one windows spread evenly over all of it, from its first to its last character."""
+    n, parts = F.char_length(text), params.sample_windows
+    size = params.sample_chars // parts
+    windows = [F.substring(text, F.floor((n - size) * k / max(1, parts - 1)).cast("int") + 1, F.lit(size)) for k in range(parts)]
+    return F.when(n <= params.sample_chars, F.col(text)).otherwise(F.concat_ws(" ", *windows))
 
 
 def predict(docs: DataFrame, model: LangModel | None) -> DataFrame:

@@ -1,11 +1,15 @@
 """Template language, chat formatting and language identification."""
 
 import hashlib
+import random
+import unicodedata
 import zlib
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from cataloguer.llm import chat, langid, template
 
@@ -90,8 +94,6 @@ def test_languages_of_held_out_documents(spark):
 
 
 def test_prediction_uses_the_text_alone(spark):
-    from pyspark.sql import functions as F
-
     docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(300)
     model = langid.fit(langid.training_sample(docs, langid.LangParams()))
     a = {r.doc_id: (r.lang_pred, r.score) for r in langid.predict(docs, model).collect()}
@@ -109,14 +111,64 @@ def test_language_edges(spark):
 
 
 def test_kernel_is_the_normalised_count_of_shared_ngrams():
-    grams = langid.Grams(langid._letters(["abcd", "bcde"]))
+    grams = langid.Grams(langid.letters())
     a, b = grams.distinct("abca"), grams.distinct("bca")
     assert len(a) == 3 + 3 + 2 and len(set(a.tolist())) == len(a)
     want = len(set(a.tolist()) & set(b.tolist())) / (len(a) * len(b)) ** 0.5
-    import numpy as np
-
     used = np.unique(b)
-    feature = np.full(langid._SPACE_SIZE, -1, np.int32)
+    feature = np.full(langid.SPACE, -1, np.int32)
     feature[used] = np.arange(len(used))
     mark = np.full((len(used), 1), 1 / len(b) ** 0.5, np.float32)
     assert abs(langid.kernel_rows([a], feature, mark)[0, 0] - want) < 1e-6
+
+
+def ngrams(text):
+    """The n-grams themselves, as a set of strings."""
+    t = "".join(c.lower()[0] if unicodedata.category(c)[0] == "L" else " " for c in text)
+    return {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)}
+
+
+def test_scores_equal_dense_nystrom_and_ridge(spark):
+    """The whole model again, from sets of strings and dense matrices."""
+    p = langid.LangParams(per_class=30, landmarks=24)
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").where("n_chars < 3000").limit(400)
+    sample = langid.training_sample(docs, p)
+    langs, sets = sorted({l for l, _ in sample}), [ngrams(t) for _, t in sample]
+    at = [i for lang in langs for i in [i for i, (l, _) in enumerate(sample) if l == lang][: p.landmarks // len(langs)]]
+    kernel = lambda xs, ys: np.array([[len(x & y) / (len(x) * len(y)) ** 0.5 for y in ys] for x in xs])
+    marks = [sets[i] for i in at]
+    value, vector = np.linalg.eigh(kernel(marks, marks))
+    good = value > 1e-6 * value[-1]
+    to_space = vector[:, good] / np.sqrt(value[good])
+    phi = kernel(sets, marks) @ to_space
+    y = np.array([[float(l == lang) for lang in langs] for l, _ in sample])
+    w = np.linalg.solve(phi.T @ phi + p.ridge * len(sample) * np.eye(phi.shape[1]), phi.T @ y)
+    rows = docs.collect()
+    want = {r.doc_id: kernel([ngrams(r.text)], marks)[0] @ to_space @ w for r in rows if any(unicodedata.category(c)[0] == "L" for c in r.text or "")}
+    for r in langid.identify_languages(docs, p).collect():
+        if r.doc_id in want:
+            assert abs(r.score - min(1, max(0, want[r.doc_id].max()))) < 0.01
+            assert r.lang_pred == langs[int(want[r.doc_id].argmax())] or np.ptp(np.sort(want[r.doc_id])[-2:]) < 0.01
+
+
+def test_many_scripts_in_one_corpus(spark):
+    """More letters than any fixed alphabet holds; long texts are sampled beyond their beginning."""
+    rng = random.Random(4)
+    blocks = {"el": (0x3B1, 24, 6), "th": (0xE01, 46, 30), "zh": (0x4E00, 3000, 12), "zh-x": (0x6E00, 3000, 12), "ko": (0xAC00, 2000, 3), "ru": (0x430, 32, 6)}
+    rows = []
+    for lang, (first, n, size) in blocks.items():
+        words = ["".join(chr(first + rng.randrange(n)) for _ in range(size)) for _ in range(150)]
+        for _ in range(40):
+            head = "1234567890 " * (600 if rng.random() < 0.3 else 0)
+            rows.append((len(rows), head + " ".join(rng.choice(words) for _ in range(60)), lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    truth = {i: lang for i, _, lang in rows}
+    assert all(truth[r.doc_id] == r.lang_pred for r in langid.identify_languages(docs).collect())
+
+
+def test_sample_does_not_depend_on_the_layout(spark):
+    rows = [(1, f"one text number {k} of a repeated id", "en") for k in range(500)] + [(k, f"texte {k}", "fr") for k in range(100, 500)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    p = langid.LangParams(per_class=20)
+    one, two = (langid.training_sample(d, p) for d in (docs.repartition(7), docs.orderBy(F.rand(3)).coalesce(2)))
+    assert one == two and len(one) == 40 and len(set(one)) == 40
