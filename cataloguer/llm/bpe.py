@@ -125,15 +125,17 @@ class WordEncoder:
         known = self._index.lookup(h, data, starts)
         new = np.flatnonzero(known == -1)
         if len(new):
+            again = new
             hashes, at = np.unique(h[new], return_index=True)
             if len(self._index) + len(hashes) > MEMO_WORDS and len(self._index):
                 self._forget()
                 hashes, new = np.unique(h, return_index=True)
-                at = np.arange(len(new))
+                at, again = np.arange(len(new)), np.arange(len(h))
             raw = data.tobytes()
             s, e = starts[new[at]].tolist(), ends[new[at]].tolist()
             self._learn(hashes, [raw[a:b].decode() for a, b in zip(s, e)])
-            known = self._index.lookup(h, data, starts)
+            sizes = (ends - starts)[again]
+            known[again] = self._index.lookup(h[again], data[flat_ranges(starts[again], sizes)], np.cumsum(sizes) - sizes)
         if (known < 0).any():
             raise _Collision(np.unique(np.searchsorted(offsets, starts[known < 0], "right") - 1))
         first, lengths = self._first[known], (self._first[1:] - self._first[:-1])[known]
