@@ -67,9 +67,12 @@ class VisitStream:
         write_batch(added.agg((F.coalesce(F.sum("bytes"), F.lit(0)) + before).alias("total")), self.base, "totals", batch_id)
         write_batch(status_rows(mine, self.key, self.order), self.base, "statuses", batch_id)
 
-    def start(self, spark: SparkSession, source: str, schema, checkpoint: str, max_files_per_trigger: int = 1) -> StreamingQuery:
-        """Drain what has landed in ``source``, some files a micro-batch."""
-        stream = spark.readStream.schema(nullable(schema)).option("maxFilesPerTrigger", str(max_files_per_trigger)).parquet(source)
+    def start(self, spark: SparkSession, source: str, schema, checkpoint: str, max_files_per_trigger: int | None = 1) -> StreamingQuery:
+        """Drain what has landed in ``source``, some files a micro-batch (None: all that is new in one)."""
+        reader = spark.readStream.schema(nullable(schema))
+        if max_files_per_trigger:
+            reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        stream = reader.parquet(source)
         writer = stream.writeStream.foreachBatch(self.admit).option("checkpointLocation", checkpoint)
         return writer.trigger(availableNow=True).start()
 

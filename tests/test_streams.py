@@ -88,3 +88,21 @@ def test_a_payload_that_is_no_json_costs_one_dataset(spark):
     out = DV.parse_details(spark.createDataFrame(rows, "ds int, json string"), keep=["ds"])
     assert [r.ds for r in out.where(F.size("files") > 0).collect()] == [1]
     assert out.count() == 6
+
+
+def test_parts_land_by_many_tasks_and_are_one_micro_batch_each(spark):
+    from cataloguer.plans import reports as R
+    from cataloguer.plans.streams import drained
+
+    n = 3000
+    rows = spark.range(n).select(
+        (F.col("id") % 4).cast("int").alias("station_ord"), F.col("id").alias("ord1"), F.col("id").alias("ord2"), (F.col("id") % 5).alias("project_id"),
+        F.concat(F.lit("f"), F.col("id") % 500).alias("file_name"), F.lit(False).alias("restricted"), F.lit(OK).alias("status"), F.lit(1).cast("long").alias("size_bytes"),
+    ).withColumn("outcome", F.col("status")).withColumn("on_disk", F.lit(False))
+    stream = VisitStream(scratch_path(spark, "t"), R.KEY_FILE, R.WORK_ORDER, cap_bytes=1 << 40)
+    drained(stream, spark, rows, 3)
+    assert stream.done == [0, 1, 2, 2]  # one micro-batch a part, the last one replayed
+    assert len(spark.read.parquet(f"{stream.base}/landing").inputFiles()) > 3  # no part is a single task's
+    out = read_batches(spark, stream.base, "visits", rows.schema)
+    assert {r["batch"]: r["count"] for r in out.groupBy("batch").count().collect()} == {0: 1001, 1: 1001, 2: 998}
+    assert out.agg(F.max("used_before")).first()[0] == rows.select("project_id", "file_name").distinct().count()
