@@ -3,7 +3,8 @@
 CSV follows the original export: a header row, minimal quoting with doubled
 quotes, NULL written as an empty field (so NULL and ``''`` read back the same),
 no trimming. Files are Spark part files in a folder per table, written in
-parallel; nothing is gathered on the driver.
+parallel and compressed (gzip, which any CSV reader opens; a file with quoted line ends
+is read whole by one task either way); nothing is gathered on the driver.
 
 The versioned archive store (B4) lives in ``cataloguer.sources.store``.
 """
@@ -22,7 +23,7 @@ from .registry import ORACLE_TEXT, query
 
 CSV_WRITE = {
     "header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": "",
-    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "compression": "gzip",
 }
 CSV_READ = {"header": "true", "quote": '"', "escape": '"', "nullValue": "", "multiLine": "true",
             "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
