@@ -105,7 +105,7 @@ def read_buckets(spark: SparkSession, base: str, table: str, batch: DataFrame, k
     The filter is on the folder column, so Spark lists and opens only those folders: a
     small batch costs what it touches, not the whole archive.
     """
-    rows = read_rows(spark, base, table)
+    rows = _stored(spark, base, table)
     if rows is None:
         return None
     touched = sorted(r[0] for r in batch.select(bucket_of(key, buckets)).distinct().collect())
@@ -119,7 +119,12 @@ def highest_id(spark: SparkSession, base: str, table: str, id_col: str = "id") -
 
 
 def read_rows(spark: SparkSession, base: str, table: str) -> DataFrame | None:
-    """An append-only table, or None before its first append."""
+    """An append-only table, or None before its first append; the bucket folders are no column of it."""
+    rows = _stored(spark, base, table)
+    return None if rows is None else rows.drop(BUCKET)
+
+
+def _stored(spark: SparkSession, base: str, table: str) -> DataFrame | None:
     fs, p, _ = _fs(spark, append_path(base, table))
     if not fs.exists(p):
         return None
