@@ -82,3 +82,16 @@ def test_scans_prune_columns(plans):
     # projects_full reads 5 of the 9 lineitem columns at most
     rs = re.findall(r"ReadSchema: struct<(l_[^>]*)>", plans["projects_full"])
     assert rs and all(len(x.split(",")) <= 6 for x in rs)
+
+
+def test_exports_are_compressed(spark):
+    """Six tables as plain text took 2.1 GB of disk for 83 MB of input."""
+    from cataloguer.plans.export import read_csv, write_csv
+    from cataloguer.session import scratch_path
+
+    rows = spark.createDataFrame([(1, 'a "b"\nc'), (2, None)], "id long, x string")
+    path = scratch_path(spark, "t-export")
+    write_csv(rows, path)
+    back = read_csv(spark, path, rows.schema)
+    assert all(f.endswith(".csv.gz") for f in back.inputFiles())
+    assert sorted(map(tuple, back.collect())) == [(1, 'a "b"\nc'), (2, None)]
