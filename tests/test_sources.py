@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from cataloguer.sources import dataverse as DV
-from cataloguer.sources import disk, html, oai
+from cataloguer.sources import adapters, disk, html, oai
 
 
 def _detail(latest):
@@ -165,3 +165,22 @@ def test_payloads_are_parsed_once(spark):
 
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert len(re.findall(parse, plan, re.I)) == 1, plan
+
+
+def test_details_meet_the_first_hits_of_their_own_station(spark):
+    """Details of other stations never count; the first valid station owns the DOI; payloads are shuffled by DOI alone."""
+    item = "station_ord int, keyword_ord int, start long, item_index int, global_id string, name string, url string, published_at string"
+    hits = spark.createDataFrame([(s, 1, 0, i, f"doi:{i}", f"n{s}", f"u{i}", None) for s in (0, 1, 2) for i in range(3)], item)
+
+    def detail(n, version):
+        files = ",".join(f'{{"dataFile":{{"id":{k},"filename":"a.qdpx"}}}}' for k in range(n))
+        return f'{{"data":{{"latestVersion":{{"versionNumber":{version},"files":[{files}]}}}}}}'
+
+    details = spark.createDataFrame([
+        (0, "doi:0", detail(0, 1)), (1, "doi:0", detail(1, 2)), (2, "doi:0", detail(2, 3)),  # station 0 lists no file
+        (3, "doi:1", detail(1, 4)), (2, "doi:1", detail(2, 5)),  # station 3 had no hit of it
+        (0, "doi:2", "<html>"), (None, "doi:2", detail(1, 6))], "station_ord int, global_id string, json string")
+    out = adapters.dataverse(hits, details)
+    assert sorted((r.doi, r.seq, r.version, r.title, r.has_qda) for r in out.projects.collect()) == [
+        ("doi:0", 1, "v2.None", "n1", True), ("doi:1", 2, "v5.None", "n2", True)]
+    assert sorted((r.seq, r.file_index, r.file_name) for r in out.files.collect()) == [(1, 0, "a.qdpx"), (2, 0, "a.qdpx"), (2, 1, "a.qdpx")]
