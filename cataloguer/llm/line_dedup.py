@@ -266,11 +266,15 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         return texts.where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
 
     def flagged(rows: DataFrame, done: DataFrame | None) -> DataFrame:
-        """``rows`` with ``open``: whether the line has found no earlier neighbour yet. Written, as the steps after it use it more than once."""
+        """``rows`` with ``open``: whether the line has found no earlier neighbour yet. Written, as the steps after it use it more than once.
+
+        Rows that have the flag already are looked up again only where it is set: a line once closed stays so.
+        """
+        rows = rows if "open" in rows.columns else rows.withColumn("open", F.lit(True))
         if done is None:
-            return rows.withColumn("open", F.lit(True))
-        marked = rows.join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
-        return written(marked, "line-open")
+            return rows
+        marked = rows.where("open").drop("open").join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
+        return written(marked.unionByName(rows.where("not open")), "line-open")
 
     def unsettled(rows: DataFrame) -> DataFrame:
         """Rows (key, id, open, ..) of buckets with an open line that is not their earliest, with the bucket's ``size``."""
@@ -290,9 +294,10 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
     pieces = lines.select(F.col("id").alias("piece"), "s", "n")
     done, small, cell = None, None, params.cell
     while True:
-        fresh = verified(star(flagged(level, done)))
+        marked = flagged(level, done)
+        fresh = verified(star(marked))
         done = written(fresh if done is None else done.union(fresh).distinct(), "line-done")
-        sized = written(unsettled(flagged(level, done)).where("size > 2"), "line-buckets")
+        sized = written(unsettled(flagged(marked, done)).where("size > 2"), "line-buckets")
         few = sized.where(F.col("size") <= cell).select("key", "id", "open")
         small = few if small is None else small.unionByName(few)
         large = sized.where(F.col("size") > cell)
@@ -312,7 +317,7 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         pieces = cut.join(longest.where(F.col("longest") > 3 * k).select("scope"), "scope", "left_semi")
         level = written(shared_buckets(bucket_rows(pieces, k), k), "line-buckets")
         pieces, cell = pieces.select("piece", "s", "n"), params.deep
-    left = written(unsettled(flagged(small.select("key", "id").distinct(), done)).drop("size"), "line-left")
+    left = written(unsettled(flagged(small.select("key", "id", "open").distinct(), done)).drop("size"), "line-left")
     # a pair is compared in one of the buckets it shares, the one of the smallest key
     keys = left.groupBy("id").agg(F.collect_set("key").alias("keys"))
     left = written(left.join(keys, "id").join(order, "id").repartition(tasks, "key"), "line-members")
