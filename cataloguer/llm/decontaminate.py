@@ -23,6 +23,11 @@ all coordinates written so far estimates the edit distance; pairs under
 exactly: the smallest edit distance of the item to any substring around the window
 (Myers' bit vectors) must be at most ``max_error`` of its length.
 
+Sampled keys leave some copies out, so an exact pass follows (``ItemPieces``): every
+place of a text where a piece of an item stands unchanged, with the piece beside it
+within one edit, is verified too. No pair within the accepted error is without such
+a place, so the result is whole, and distances are the smallest of the text.
+
 The benchmark is a stated query set: it is taken in blocks of ``block_items``, which
 bounds what a task holds, and each block meets all documents in one pass without
 any shuffle.
@@ -190,6 +195,115 @@ class ItemIndex:
         yield from zip(starts[alive[row[near]]].tolist(), entry[near].tolist())
 
 
+class ItemPieces:
+    """Pieces of a block of items, taken two by two: an exact filter for texts within the accepted edits.
+
+    An item with k edits allowed is cut in k + 1 pieces, or k + 2 to make them even. If
+    every couple of neighbours had two edits, there would be more than k; so in a text within k edits
+    some couple has at most one: one of its pieces stands there unchanged, the other right beside it within
+    one edit. Places are found by hashes of the first characters of a piece and then compared.
+    """
+
+    KEY, SHIFT, BLOCK = 8, np.uint64(64 - SLOT_BITS), 1 << 16
+
+    def __init__(self, items: list[tuple[int, str]], p: LeakParams):
+        number, begin, end, near, outward, near_size = [], [], [], [], [], []
+        starts, keys, size = [], [], 0
+        for i, (_, text) in enumerate(items):
+            pieces = int(p.max_error * len(text)) + 1
+            pieces += pieces % 2
+            cuts = [len(text) * k // pieces for k in range(pieces + 1)]
+            for k in range(pieces):
+                right = k % 2 == 0
+                number.append(i)
+                begin.append(cuts[k])
+                end.append(cuts[k + 1])
+                near.append(size + (cuts[k + 1] if right else cuts[k] - 1))
+                outward.append(1 if right else -1)
+                near_size.append(cuts[k + 2] - cuts[k + 1] if right else cuts[k] - cuts[k - 1])
+                starts.append(size + cuts[k])
+                keys.append(max(1, min(self.KEY, len(text) // pieces)))
+            size += len(text)
+        self.number, self.offset = np.array(number, np.int64), np.array(begin, np.int64)
+        self.size, self.near_size = np.array(end, np.int64) - self.offset, np.array(near_size, np.int64)
+        self.outward, starts, keys = np.array(outward, np.int64), np.array(starts, np.int64), np.array(keys, np.int64)
+        self.width = int(self.size.max()) if len(self.size) else 0
+        codes = self._padded("".join(text for _, text in items))
+        at = np.arange(self.width)
+        self.own = codes[self.width + 1 + starts[:, None] + at]
+        self.near = codes[self.width + 1 + np.array(near, np.int64)[:, None] + self.outward[:, None] * at]
+        self.groups = []
+        for q in np.unique(keys).tolist():
+            which = np.flatnonzero(keys == q)
+            whole = self._hashes(codes.astype(np.uint64), q)[self.width + 1 + starts[which]]
+            order = np.argsort(whole, kind="stable")
+            distinct, first, count = np.unique(whole[order], return_index=True, return_counts=True)
+            seen = np.zeros(1 << SLOT_BITS, bool)
+            seen[self._slot(distinct)] = True
+            self.groups.append((q, seen, distinct, first, count, which[order]))
+
+    def _padded(self, text: str) -> np.ndarray:
+        """Code points of a text between zeros, so that reading over its ends meets nothing."""
+        pad = np.zeros(self.width + 1, np.uint32)
+        return np.concatenate([pad, np.frombuffer(text.encode("utf-32-le"), np.uint32), pad, np.zeros(self.KEY + 1, np.uint32)])
+
+    @classmethod
+    def _slot(cls, hashes: np.ndarray) -> np.ndarray:
+        return (hashes * np.uint64(0x9E3779B97F4A7C15)) >> cls.SHIFT
+
+    @classmethod
+    def _hashes(cls, codes: np.ndarray, q: int) -> np.ndarray:
+        """Hash of the ``q`` characters from each place on."""
+        if q == 1:
+            return codes
+        left, right = cls._hashes(codes, q // 2), cls._hashes(codes, q - q // 2)
+        n = len(codes) - q + 1
+        return left[:n] * np.uint64(0xD6E8FEB86659FD93 + 2 * q) + right[q // 2 : q // 2 + n]
+
+    def places(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(place in ``text``, piece) of all pieces that stand in it beside their neighbours."""
+        places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        codes, front = self._padded(text), self.width + 1
+        wide = codes.astype(np.uint64)
+        for q, seen, distinct, first, count, pieces in self.groups:
+            hashes = self._hashes(wide, q)[front : front + len(text)]
+            at = np.flatnonzero(seen[self._slot(hashes)])
+            key = np.minimum(np.searchsorted(distinct, hashes[at]), len(distinct) - 1)
+            same = distinct[key] == hashes[at]
+            at, key = at[same], key[same]
+            upto = np.cumsum(count[key])
+            lo = 0
+            while lo < len(at):  # blocks of about BLOCK (place, piece) pairs
+                hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + self.BLOCK, "right")))
+                n = count[key[lo:hi]]
+                place = np.repeat(at[lo:hi], n) + front
+                piece = pieces[np.repeat(first[key[lo:hi]] - np.cumsum(n) + n, n) + np.arange(len(place))]
+                on = self._stands(codes, place, piece)
+                places.append(place[on] - front)
+                found.append(piece[on])
+                lo = hi
+        return np.concatenate(places), np.concatenate(found)
+
+    def _stands(self, codes: np.ndarray, place: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Which pieces stand whole at their places, with their neighbours within one edit beside them."""
+        at = np.arange(self.width)
+        whole = ((codes[place[:, None] + at] == self.own[piece]) | (at >= self.size[piece][:, None])).all(axis=1)
+        on = np.flatnonzero(whole)
+        place, piece = place[on], piece[on]
+        out, size, want = self.outward[piece], self.near_size[piece][:, None], self.near[piece]
+        base = np.where(out > 0, place + self.size[piece], place - 1)
+        text = codes[base[:, None] + out[:, None] * np.arange(self.width + 1)]
+        done = at >= size
+        equal = (text[:, :-1] == want) | done
+        same = np.cumprod(equal, axis=1).sum(axis=1)[:, None]  # characters before the first edit
+        changed = (equal | (at <= same)).all(axis=1)
+        added = ((text[:, 1:] == want) | done | (at < same)).all(axis=1)
+        missing = np.ones(len(on), bool)
+        if self.width > 1:
+            missing = ((text[:, : self.width - 1] == want[:, 1:]) | done[:, 1:] | (at[1:] <= same)).all(axis=1)
+        return on[changed | added | missing]
+
+
 def substring_distance(item: str, text: str, most: int) -> int | None:
     """Smallest edit distance of ``item`` to a substring of ``text``, None over ``most`` (Myers' bit vectors)."""
     m = len(item)
@@ -274,12 +388,38 @@ def repetitions_for(items: list[tuple[int, str]], p: LeakParams) -> int:
     return p.max_repetitions
 
 
+def _exact_leaks(texts: list[str], pieces: ItemPieces, items: list[tuple[int, str]], p: LeakParams, found: set[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(number of the text, item number, distance) around all places of pieces, but for ``found`` pairs; windows that overlap are one."""
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    whole = "\x00".join(texts)
+    place, piece = pieces.places(whole)
+    if not len(place):
+        return
+    number, begin, text = pieces.number[piece], place - pieces.offset[piece], np.searchsorted(starts, place, "right") - 1
+    most = np.array([int(p.max_error * len(t)) for _, t in items], np.int64)[number]
+    size = np.array([len(t) for _, t in items], np.int64)[number]
+    lo, hi = begin - most, begin + size + most
+    order = np.lexsort((lo, number, text))
+    window: tuple[int, int, int, int] | None = None
+    for k, n, a, b in [*zip(text[order].tolist(), number[order].tolist(), lo[order].tolist(), hi[order].tolist()), (-1, -1, 0, 0)]:
+        if window and window[:2] == (k, n) and a <= window[3]:
+            window = (k, n, window[2], max(b, window[3]))
+            continue
+        if window and window[:2] not in found:
+            w, item = window[0], items[window[1]][1]
+            part = whole[max(window[2], int(starts[w])) : min(window[3], int(starts[w + 1]) - 1)]
+            d = substring_distance(item, part, int(p.max_error * len(item)))
+            if d is not None:
+                yield w, window[1], d
+        window = (k, n, a, b)
+
+
 def _block_leaks(docs: DataFrame, items: list[tuple[int, str]], p: LeakParams) -> DataFrame:
     repetitions = repetitions_for(items, p) if items else 0
     shared = docs.sparkSession.sparkContext.broadcast(items)  # at most block_items items
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = ItemIndex(shared.value, p, repetitions)
+        index, exact = ItemIndex(shared.value, p, repetitions), ItemPieces(shared.value, p)
         steps = index.embedding.steps
         gap = b"\x00" * (steps + 1)
         for b in batches:
@@ -287,10 +427,12 @@ def _block_leaks(docs: DataFrame, items: list[tuple[int, str]], p: LeakParams) -
             at = 0
             texts = b.column(1)
             while at < len(texts):
-                pieces, rows, places, size = [], [], [], 0
+                pieces, rows, places, folded, size = [], [], [], [], 0
                 while at < len(texts) and size < 1 << 19:
-                    raw = fold(texts[at].as_py()).encode()
+                    text = fold(texts[at].as_py())
+                    raw = text.encode()
                     if raw:
+                        folded.append(text)
                         rows.append(at)
                         places.append(size)
                         pieces += [raw, gap]
@@ -315,6 +457,12 @@ def _block_leaks(docs: DataFrame, items: list[tuple[int, str]], p: LeakParams) -
                     d = substring_distance(item, raw[lo:hi].decode("utf-8", "ignore"), most)
                     if d is not None and (met.get(spot) is None or d < met[spot]):
                         met[spot] = d
+                place_of = {row: k for k, row in enumerate(rows)}
+                found = {(place_of[row], number) for (row, number), d in met.items() if d == 0}
+                for k, number, d in _exact_leaks(folded, exact, index.items, p, found):
+                    spot = (rows[k], number)
+                    if met.get(spot) is None or d < met[spot]:
+                        met[spot] = d
                 for (row, number), d in sorted(met.items()):
                     for col, v in zip(out, (b.column(0)[row].as_py(), index.items[number][0], d)):
                         col.append(v)
