@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cataloguer.llm import components, decontaminate, jaccard_join, line_dedup, quality, sais, suffix_dedup
+from cataloguer.llm.queries import op10_quality_rules
 
 from ..conftest import MEDIUM, SMALL
 from .helpers import FOLD, SCHEMA, WORD, edge_docs, edge_rows, rows_of
@@ -322,6 +323,46 @@ def test_quality_orders(spark):
     assert out.where("llr < 0").count() > 0
 
 
+def test_quality_query_weighs_pairs_with_both_signs(spark, tmp_path):
+    """Same words, other neighbours: only pairs tell the texts apart, and what trusted texts hold speaks for them."""
+    n, words = 1600, [f"w{i}" for i in range(60)]
+    other = words[::2] + words[1::2]
+    rows = [(i, " ".join(words if i % 2 else other)) for i in range(n)] + [(n, " ".join(words[:55])), (n + 1, "one two"), (n + 2, None)]
+    labels = [(i, i % 2, 0) for i in range(n)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r.doc_id: r for r in op10_quality_rules(spark, str(tmp_path)).collect()}
+    assert len(got) == n + 3 and got[1].llr > 0.2 > -0.2 > got[0].llr
+    assert all(got[i].kept == (i % 2 == 1) for i in range(n)) and got[n].kept and not got[n + 1].kept and not got[n + 2].kept
+    p = quality.RATIO
+    hashed = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.xxhash64("w").alias("h"))
+    h = {r.w: r.h for r in hashed.collect()}
+    pairs = {(a, b) for t in (words, other) for a, b in zip(t, t[1:])}
+    both = spark.createDataFrame([(a, b, h[a], h[b]) for a, b in pairs], "a string, b string, x long, y long")
+    at = {(r.a, r.b): r.at for r in both.select("a", "b", F.pmod(F.xxhash64("x", "y"), F.lit(p.buckets)).alias("at")).collect()}
+    raw, good = collections.Counter(), collections.Counter()
+    for d, t in rows:
+        w = (t or "").split()
+        for a, b in zip(w, w[1:]):
+            raw[at.get((a, b), (a, b))] += 1
+            good[at.get((a, b), (a, b))] += d % 2 if d < n else 0
+    share = sum(good.values()) / sum(raw.values())
+    weight = {b: math.log((good[b] + p.pair_smoothing) / (c * share + p.pair_smoothing)) for b, c in raw.items()}
+    for d, t in ((0, other), (1, words)):
+        total = sum(x for x in (weight[at[pair]] for pair in zip(t, t[1:])) if abs(x) > p.dead_zone)
+        assert abs(got[d].llr - total / (2 * len(t) - 1)) < 1e-5
+
+
+@pytest.mark.parametrize("folder, least", [(SMALL, 0.4), (MEDIUM, 0.7)])
+def test_quality_query_finds_toxic_documents(spark, folder, least):
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    judged = op10_quality_rules(spark, folder).where("n_words >= 50").join(labels, "doc_id").select("quality", "toxic", "kept").collect()
+    toxic = [r.kept for r in judged if r.toxic]
+    trusted = [r.kept for r in judged if r.quality == 1 and not r.toxic]
+    assert toxic.count(False) >= least * len(toxic) > 0
+    assert trusted.count(False) <= 0.02 * len(trusted)
+
+
 def test_substring_distance():
     rng = random.Random(5)
     for _ in range(300):
@@ -360,6 +401,21 @@ def test_leaks_equal_brute_force(spark):
     assert len(got) >= 0.97 * len(want) >= 30
 
 
+@pytest.mark.parametrize("p", [decontaminate.LeakParams(), decontaminate.LeakParams(entries=1, max_repetitions=2)])
+def test_no_leak_is_left_out(spark, p):
+    """Copies at the accepted error, of items that keys find and that they miss: each with its smallest distance."""
+    rng, letters = np.random.default_rng(29), list("abcdeñгx")
+    items = [(i, " ".join("".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(4 + i % 40))) for i in range(120)]
+    items = [(i, t) for i, t in items if len(t) >= p.min_chars]
+    copies = [decontaminate.accepted_copies(items, p, rng) for _ in range(3)]
+    docs = [(d, f"begin {text} {'end ' * (d % 3)}") for d, (_, text) in enumerate(x for y in copies for x in y)]
+    docs += [(d, text.strip()) for d, text in enumerate((items[3][1], items[-1][1] * 2, items[5][1][9:], ""), 1000)]
+    got = decontaminate.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), p)
+    want = leaks_model(docs, items, p)
+    assert len(want) >= 200
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
 def test_recall_holds_up_to_the_accepted_error(spark, caplog):
     p = decontaminate.LeakParams()
     items = sorted((r.item_id, decontaminate.fold(r.text)) for r in spark.read.parquet(f"{MEDIUM}/benchmark.parquet").collect())
