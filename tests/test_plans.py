@@ -95,3 +95,16 @@ def test_exports_are_compressed(spark):
     back = read_csv(spark, path, rows.schema)
     assert all(f.endswith(".csv.gz") for f in back.inputFiles())
     assert sorted(map(tuple, back.collect())) == [(1, 'a "b"\nc'), (2, None)]
+
+
+def test_landed_pages_are_parsed_once(spark):
+    """Pages are many small files: the result reads parsed rows, not the pages once more for the first broken one."""
+    files = E.queries()["src_landed_oai_pages"](spark, SMALL).inputFiles()
+    assert files and all("/landed-oai-rows-" in f for f in files)
+
+
+def test_both_runs_are_folded_once(spark):
+    """The result reads the two folded runs; nothing of them is worked out again."""
+    df = E.queries()["two_run_status"](spark, SMALL)
+    assert {re.search("/([a-z-]+-run-status)-", f).group(1) for f in df.inputFiles()} == {"first-run-status", "second-run-status"}
+    assert "Aggregate" not in df._jdf.queryExecution().toString()
