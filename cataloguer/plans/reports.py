@@ -13,6 +13,7 @@ from ..operators.budget import admit_by_budget, station_gate
 from ..operators.merge import first_arrivals
 from ..operators.status import capped_outcome, fold_file_status, visit_outcome
 from ..operators.status import fetch_outcome as fetch_outcome_op
+from ..session import stored
 from . import sqltext as S
 from .archive import _ARCHIVE_FILES_SQL, _IN_LEDGER, anti_completed, archive_files, fx, stations
 from .registry import query
@@ -259,21 +260,21 @@ def two_run_status(spark: SparkSession, d: str) -> DataFrame:
     """
     yes, key = F.lit(True), KEY_FILE
     first = admit_by_budget(_visits(spark, d), WORK_ORDER, key, FIRST_CAP_BYTES)
-    first = first.withColumn("outcome", capped_outcome(F.col("status"), F.col("capped"), yes))
+    first = stored(first.withColumn("outcome", capped_outcome(F.col("status"), F.col("capped"), yes)), "first-run-visits")
     order = ["station_ord", "ord1", "ord2", "project_id", "file_name"]
-    archive = fold_file_status(first, key, order, result="outcome")
+    archive = stored(fold_file_status(first, key, order, result="outcome"), "first-run-status")  # read three times
     fetched = first.where((F.col("outcome") == rules.SUCCESS) & ~F.col("restricted"))
     initial = first_arrivals(fetched, key, WORK_ORDER).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint")).first()[0]
     there = archive.where(F.col("status") == rules.SUCCESS).select(*key, yes.alias("on_disk"))
     log = F.when(F.col("size_bytes") % 3 != 0, F.col("status"))
     again = _visits(spark, d).join(there, key, "left")
-    again = again.withColumn("outcome", visit_outcome(log, F.col("on_disk"), yes))
+    again = stored(again.withColumn("outcome", visit_outcome(log, F.col("on_disk"), yes)), "second-run-visits")
     gate = station_gate(again, WORK_ORDER, key, FIXTURE_CAP_BYTES, initial, status="outcome", on_disk="on_disk")
     again = again.join(gate.where(F.col("harvested") | (F.col("station_ord") == UNCAPPED_STATION)).select("station_ord"), "station_ord")
     second = admit_by_budget(again, WORK_ORDER, key, FIXTURE_CAP_BYTES, initial, status="outcome",
                              uncapped=F.col("station_ord") == UNCAPPED_STATION, on_disk="on_disk")
     second = second.withColumn("outcome", capped_outcome(F.col("outcome"), F.col("capped"), yes))
-    folded = fold_file_status(second, key, order, result="outcome", existing=archive)
+    folded = stored(fold_file_status(second, key, order, result="outcome", existing=archive), "second-run-status")
     kept = archive.join(folded.select(*key), key, "left_anti")
     return folded.unionByName(kept)
 
