@@ -266,30 +266,30 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         return texts.where(within_edits(F.col("sx"), F.col("sy"), k)).select(F.col("x").alias("id")).distinct()
 
     def flagged(rows: DataFrame, done: DataFrame | None) -> DataFrame:
-        """``rows`` with ``open``: whether the line has found no earlier neighbour yet. Written, as the steps after it use it more than once.
+        """``rows`` (key, id, ..) with their line's ``first``, ``pop`` (its rows) and ``open``: whether it has found no earlier neighbour yet.
 
-        Rows that have the flag already are looked up again only where it is set: a line once closed stays so.
+        A line's rows travel as one, so it is looked up once, not once a bucket. Written, as the steps after it use it more than once.
         """
-        rows = rows if "open" in rows.columns else rows.withColumn("open", F.lit(True))
-        if done is None:
-            return rows
-        marked = rows.where("open").drop("open").join(done.withColumn("_done", F.lit(1)), "id", "left").withColumn("open", F.col("_done").isNull()).drop("_done")
-        return written(marked.unionByName(rows.where("not open")), "line-open")
+        own = [c for c in rows.columns if c not in ("id", "first", "pop", "open")]
+        by_line = rows.groupBy("id").agg(F.collect_list(F.struct(*own)).alias("_rows")).join(order.select("id", "first"), "id")
+        is_open = F.lit(True)
+        if done is not None:
+            by_line, is_open = by_line.join(done.withColumn("_done", F.lit(1)), "id", "left"), F.col("_done").isNull()
+        return written(by_line.select("id", "first", F.size("_rows").alias("pop"), is_open.alias("open"), F.inline("_rows")), "line-open")
 
     def unsettled(rows: DataFrame) -> DataFrame:
-        """Rows (key, id, open, ..) of buckets with an open line that is not their earliest, with the bucket's ``size``."""
-        members = rows.select("key", "id", "open").distinct().join(order.select("id", "first"), "id")
-        sums = members.groupBy("key").agg(
+        """Rows (key, id, first, open, ..) of buckets with an open line that is not their earliest, with the bucket's ``size``."""
+        sums = rows.select("key", "id", "first", "open").distinct().groupBy("key").agg(
             F.count(F.lit(1)).alias("size"), F.sum(F.col("open").cast("int")).alias("n_open"), F.min(F.struct("first", "open")).alias("earliest"))
         return rows.join(sums.where(F.col("n_open") > F.col("earliest.open").cast("int")).select("key", "size"), "key")
 
     def star(rows: DataFrame) -> DataFrame:
         """Open lines of a bucket against the line that is in most buckets, and the earliest."""
-        pop = rows.groupBy("id").agg(F.count(F.lit(1)).alias("pop"))
-        members = rows.select("key", "id", "open").distinct().join(order.select("id", "first"), "id").join(pop, "id")
+        members = rows.select("key", "id", "first", "pop", "open").distinct()
         around = with_bucket(members, pivot=F.max(F.struct("pop", "id", "first")), earliest=F.min(F.struct("first", "id"))).where("open")
-        return around.where(F.col("first") > F.col("pivot.first")).select(F.col("id").alias("x"), F.col("pivot.id").alias("y")).union(
-            around.where(F.col("first") > F.col("earliest.first")).select(F.col("id").alias("x"), F.col("earliest.id").alias("y")))
+        both = F.array(*[F.struct(F.col(f"{c}.first").alias("first"), F.col(f"{c}.id").alias("id")) for c in ("pivot", "earliest")])
+        return around.select(F.col("id").alias("x"), "first", F.explode(both).alias("y")).where(
+            F.col("first") > F.col("y.first")).select("x", F.col("y.id").alias("y"))
 
     pieces = lines.select(F.col("id").alias("piece"), "s", "n")
     done, small, cell = None, None, params.cell
@@ -298,7 +298,7 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         fresh = verified(star(marked))
         done = written(fresh if done is None else done.union(fresh).distinct(), "line-done")
         sized = written(unsettled(flagged(marked, done)).where("size > 2"), "line-buckets")
-        few = sized.where(F.col("size") <= cell).select("key", "id", "open")
+        few = sized.where(F.col("size") <= cell).select("key", "id")
         small = few if small is None else small.unionByName(few)
         large = sized.where(F.col("size") > cell)
         if large.isEmpty():
@@ -313,14 +313,14 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         cut = written(cut.withColumn("piece", F.xxhash64("scope", "id", "s")), "line-pieces")
         longest = cut.groupBy("scope").agg(F.max("n").alias("longest"))
         short = longest.where(F.col("longest") <= 3 * k).select(F.col("scope").alias("key"))
-        small = small.unionByName(large.join(short, "key", "left_semi").select("key", "id", "open"))
+        small = small.unionByName(large.join(short, "key", "left_semi").select("key", "id"))
         pieces = cut.join(longest.where(F.col("longest") > 3 * k).select("scope"), "scope", "left_semi")
         level = written(shared_buckets(bucket_rows(pieces, k), k), "line-buckets")
         pieces, cell = pieces.select("piece", "s", "n"), params.deep
-    left = written(unsettled(flagged(small.select("key", "id", "open").distinct(), done)).drop("size"), "line-left")
+    left = unsettled(flagged(small.select("key", "id").distinct(), done))
     # a pair is compared in one of the buckets it shares, the one of the smallest key
-    keys = left.groupBy("id").agg(F.collect_set("key").alias("keys"))
-    left = written(left.join(keys, "id").join(order, "id").repartition(tasks, "key"), "line-members")
+    by_line = left.groupBy("id", "open").agg(F.collect_set("key").alias("keys")).join(order, "id")
+    left = written(by_line.withColumn("key", F.explode("keys")).repartition(tasks, "key"), "line-members")
     other = left.withColumnsRenamed({"id": "y", "first": "y_first", "n": "y_n", "keys": "y_keys"} | {c: f"y_{c}" for c in counts}).drop("open")
     left = left.where("open").withColumnsRenamed({"id": "x", "n": "x_n"} | {c: f"x_{c}" for c in counts})
     once = F.array_min(F.array_intersect("keys", "y_keys")) == left["key"]

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -495,6 +496,25 @@ def test_lines_of_one_template_stay_linear(spark, monkeypatch):
     assert max(c for _, c in seen) < 12 * len(lines)
 
 
+def test_a_line_is_looked_up_once_not_once_a_bucket(spark, monkeypatch):
+    """Lines of one template share many buckets; their places and flags come by line, so no step joins a bucket's rows by id."""
+    joined, keep = [], line_dedup.written
+
+    def looked(df, name):
+        if name in ("line-done", "line-buckets"):
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            joined.append((name, len(re.findall(r"Join \w+, \(id#\d+L = id#\d+L\)", plan))))
+        return keep(df, name)
+
+    monkeypatch.setattr(line_dedup, "written", looked)
+    lines = template_lines(300)
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "doc_id long, text string")
+    got = {r.doc_id for r in line_dedup.dedup_lines(docs).where("n_near > 0").collect()}
+    assert got == {i for i, x in enumerate(lines) if "#" in x}
+    assert {name for name, _ in joined} == {"line-done", "line-buckets"}
+    assert sum(n for _, n in joined) == 0
+
+
 def test_plans_hold_no_tables(spark):
     """Weights and screens of fixed size are read by Spark; no plan prints them."""
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
