@@ -7,6 +7,7 @@ from cataloguer.operators.budget import admit_by_budget
 from cataloguer.operators.ordering import with_ordinal, with_running_sum
 from cataloguer.plans import archive as A
 from cataloguer.plans import reports as R
+from cataloguer.sources import tables
 from cataloguer.session import scratch_path
 from cataloguer.streaming.incremental import merge_stream, run_until_drained
 
@@ -167,3 +168,26 @@ def test_hot_key_is_split_and_combined(spark):
     first = M.first_arrivals(df.withColumn("v", F.col("b")), ["a"], ["b"])
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan
+
+
+def _child_frames(spark, monkeypatch):
+    """Repeated, blank and null child rows in place of the fixture's, with tiny shares for a task."""
+    frames = {
+        "fx_projects": spark.createDataFrame([(1, 5), (2, 16), (3, 5)], "id long, repository_id int"),
+        "fx_files_raw": spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (2, None), (None, "b"), (9, "c")], "project_id long, file_name string"),
+        "fx_keywords_raw": spark.createDataFrame([(1, "x"), (2, " x "), (2, "x"), (2, "y"), (7, " ")], "project_id long, keyword string"),
+        "fx_persons_raw": spark.createDataFrame([(3, "p", "AUTHOR"), (None, "p", "AUTHOR"), (None, "p", "AUTHOR"), (None, "q", "x")], "project_id long, name string, role string"),
+        "fx_licenses_raw": spark.createDataFrame([(1, "CC0"), (3, "CC0")], "project_id long, license string"),
+    }
+    monkeypatch.setattr(A, "fx", lambda spark, d, name: frames[name])
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100)
+    return tables.child_tasks(spark, SMALL)
+
+
+def test_orphan_audit_deals_rows_to_tasks_that_follow_the_size(spark, monkeypatch):
+    tasks = _child_frames(spark, monkeypatch)
+    assert tasks > spark.sparkContext.defaultParallelism
+    out = A.fk_orphans(spark, SMALL)
+    assert out._jdf.queryExecution().executedPlan().toString().count(f", {tasks}), REPARTITION_BY_NUM") == 4
+    # null is no project, its rows are orphans all the same; a table without orphans has no row
+    assert _rows(out) == [("files", 4, 2), ("keywords", 2, 1), ("person_role", 2, 0)]
