@@ -49,30 +49,33 @@ def max_id(archive: DataFrame | None, id_col: str = "id") -> int:
 
 
 def new_rows(archive: DataFrame | None, batch: DataFrame, key: list[str], order: list[str],
-             id_col: str = "id", columns: list[str] | None = None, last_id: int | None = None) -> DataFrame:
+             id_col: str = "id", columns: list[str] | None = None, last_id: int | None = None,
+             tasks: int | None = None) -> DataFrame:
     """Rows ``batch`` adds to ``archive`` under insert-or-ignore on ``key``, with their new ids.
 
     ``order`` is the arrival order of the batch; it must be total on first
     arrivals (append the key when unsure). The result holds ``id_col`` plus
     ``columns`` (default: the batch's columns that are not ordering helpers).
     ``archive`` may be the part of the archive that can hold the batch's keys; ``last_id``
-    is then the largest id of the whole of it.
+    is then the largest id of the whole of it. ``tasks`` that follow the batch's size keep the
+    memory of one task the same for any size: the batch is dealt by key to so many, and the
+    archive check and the ids use the same number.
     """
     cols = columns or [c for c in batch.columns if c not in order or c in key]
-    first = first_arrivals(batch, key, order)
+    first = first_arrivals(batch if tasks is None else batch.repartition(tasks, *key), key, order)
     if archive is not None:
         first = first.join(archive.select(*key), key, "left_anti")
     start = (max_id(archive, id_col) if last_id is None else last_id) + 1
     id_order = list(dict.fromkeys(order + key))
-    new = with_ordinal(first, [F.col(c) for c in id_order], name=id_col, start=start)
+    new = with_ordinal(first, [F.col(c) for c in id_order], name=id_col, start=start, partitions=tasks)
     return new.select(id_col, *cols)
 
 
 def merge_into(archive: DataFrame | None, batch: DataFrame, key: list[str], order: list[str],
-               id_col: str = "id", columns: list[str] | None = None) -> DataFrame:
+               id_col: str = "id", columns: list[str] | None = None, tasks: int | None = None) -> DataFrame:
     """Archive after inserting ``batch`` with insert-or-ignore on ``key`` (archive + ``new_rows``)."""
     cols = columns or [c for c in batch.columns if c not in order or c in key]
-    new = new_rows(archive, batch, key, order, id_col, cols)
+    new = new_rows(archive, batch, key, order, id_col, cols, tasks=tasks)
     return new if archive is None else archive.select(id_col, *cols).unionByName(new)
 
 

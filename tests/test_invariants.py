@@ -191,3 +191,18 @@ def test_orphan_audit_deals_rows_to_tasks_that_follow_the_size(spark, monkeypatc
     assert out._jdf.queryExecution().executedPlan().toString().count(f", {tasks}), REPARTITION_BY_NUM") == 4
     # null is no project, its rows are orphans all the same; a table without orphans has no row
     assert _rows(out) == [("files", 4, 2), ("keywords", 2, 1), ("person_role", 2, 0)]
+
+
+def test_child_merge_deals_rows_to_tasks_that_follow_the_size(spark, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 100)
+    tasks, seen, keep = tables.child_tasks(spark, SMALL), [], M.with_ordinal
+
+    def ordinal(df, order, **how):
+        seen.append((df._jdf.queryExecution().executedPlan().toString().count(f", {tasks}), REPARTITION_BY_NUM"), how["partitions"]))
+        return keep(df, order, **how)
+
+    monkeypatch.setattr(M, "with_ordinal", ordinal)
+    out = A.merge_persons(spark, SMALL)
+    assert seen == [(1, tasks), (1, tasks)]
+    ids = sorted(r.id for r in out.select("id").collect())
+    assert ids == list(range(1, len(ids) + 1))
