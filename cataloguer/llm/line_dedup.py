@@ -107,9 +107,9 @@ def bucket_rows(lines: DataFrame, max_edits: int) -> DataFrame:
 
 
 def shared_buckets(rows: DataFrame, max_edits: int) -> DataFrame:
-    """(key, scope, id, piece, slots) of buckets that hold two lines or more, a live one, and one by its own segment.
+    """(key, scope, id, piece, slots, size) of buckets that hold two lines or more, a live one, and one by its own segment.
 
-    Whole lines, the largest level by far, come as (id, slot, key) alone: all live, in scope 0, each its own piece.
+    ``size`` is the bucket's number of lines, counted where its rows are together anyway, so no later step has to join it. Whole lines, the largest level by far, come as (id, slot, key) alone: all live, in scope 0, each its own piece.
     """
     w, whole = Window.partitionBy("key"), "piece" not in rows.columns
     met = rows.withColumn("_lo", F.min("id").over(w)).withColumn("_hi", F.max("id").over(w)).withColumn("_own", F.min("slot").over(w))
@@ -118,7 +118,8 @@ def shared_buckets(rows: DataFrame, max_edits: int) -> DataFrame:
     met = met.where((F.col("_lo") != F.col("_hi")) & (F.col("_own") <= max_edits))
     if whole:
         met = met.withColumns({"scope": F.lit(0).cast("long"), "piece": F.col("id")})
-    return met.groupBy("key", "scope", "id", "piece").agg(F.collect_set("slot").alias("slots"))
+    met = met.groupBy("key", "scope", "id", "piece").agg(F.collect_set("slot").alias("slots"))
+    return met.withColumn("size", F.dense_rank().over(w.orderBy("id"))).withColumn("size", F.max("size").over(w))
 
 
 def with_live(large: DataFrame) -> DataFrame:
@@ -278,18 +279,20 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         return written(by_line.select("id", "first", F.size("_rows").alias("pop"), is_open.alias("open"), F.inline("_rows")), "line-open")
 
     def unsettled(rows: DataFrame) -> DataFrame:
-        """Rows (key, id, first, open, ..) of buckets with an open line that is not their earliest, with the bucket's ``size``."""
-        sums = rows.select("key", "id", "first", "open").distinct().groupBy("key").agg(
-            F.count(F.lit(1)).alias("size"), F.sum(F.col("open").cast("int")).alias("n_open"), F.min(F.struct("first", "open")).alias("earliest"))
-        return rows.join(sums.where(F.col("n_open") > F.col("earliest.open").cast("int")).select("key", "size"), "key")
+        """Rows (key, id, first, open, ..) of buckets with an open line that is not their earliest."""
+        ends = rows.groupBy("key").agg(F.min("first").alias("earliest"), F.max(F.when(F.col("open"), F.col("first"))).alias("last_open"))
+        return rows.join(ends.where(F.col("last_open") > F.col("earliest")).select("key"), "key", "left_semi")
 
     def star(rows: DataFrame) -> DataFrame:
-        """Open lines of a bucket against the line that is in most buckets, and the earliest."""
-        members = rows.select("key", "id", "first", "pop", "open").distinct()
-        around = with_bucket(members, pivot=F.max(F.struct("pop", "id", "first")), earliest=F.min(F.struct("first", "id"))).where("open")
+        """Open lines of a bucket against the line that is in most buckets, and the earliest; in a bucket of two, most of all, no row meets another than by the aggregate."""
+        members = rows.select("key", "id", "first", "pop", "open", "size").distinct()
+        two = members.where("size = 2").groupBy("key").agg(F.max(F.struct("first", "id", "open")).alias("x"), F.min(F.struct("first", "id")).alias("y"))
+        pairs = two.where(F.col("x.open") & (F.col("x.first") > F.col("y.first"))).select(F.col("x.id").alias("x"), F.col("y.id").alias("y"))
+        more = members.where("size > 2").drop("size")
+        around = with_bucket(more, pivot=F.max(F.struct("pop", "id", "first")), earliest=F.min(F.struct("first", "id"))).where("open")
         both = F.array(*[F.struct(F.col(f"{c}.first").alias("first"), F.col(f"{c}.id").alias("id")) for c in ("pivot", "earliest")])
-        return around.select(F.col("id").alias("x"), "first", F.explode(both).alias("y")).where(
-            F.col("first") > F.col("y.first")).select("x", F.col("y.id").alias("y"))
+        return pairs.union(around.select(F.col("id").alias("x"), "first", F.explode(both).alias("y")).where(
+            F.col("first") > F.col("y.first")).select("x", F.col("y.id").alias("y")))
 
     pieces = lines.select(F.col("id").alias("piece"), "s", "n")
     done, small, cell = None, None, params.cell
@@ -297,10 +300,10 @@ def near_links(docs: DataFrame, classes: DataFrame, params: LineParams) -> DataF
         marked = flagged(level, done)
         fresh = verified(star(marked))
         done = written(fresh if done is None else done.union(fresh).distinct(), "line-done")
-        sized = written(unsettled(flagged(marked, done)).where("size > 2"), "line-buckets")
-        few = sized.where(F.col("size") <= cell).select("key", "id")
+        # a bucket of two is settled; whether a small one is, is looked up once, when no line can be closed any more
+        few = marked.where((F.col("size") > 2) & (F.col("size") <= cell)).select("key", "id")
         small = few if small is None else small.unionByName(few)
-        large = sized.where(F.col("size") > cell)
+        large = written(unsettled(flagged(marked.where(F.col("size") > cell), done)), "line-buckets")
         if large.isEmpty():
             break
         large = written(with_live(large), "line-large")

@@ -515,6 +515,38 @@ def test_a_line_is_looked_up_once_not_once_a_bucket(spark, monkeypatch):
     assert sum(n for _, n in joined) == 0
 
 
+def test_rows_of_a_bucket_of_two_are_not_joined(spark, monkeypatch):
+    """A bucket's size comes with its rows: buckets of two are paired by the aggregate, and what is settled is left out without a second full join."""
+    least, inner, keep, spread = [], [], line_dedup.written, line_dedup.with_bucket
+
+    def joined(rows, **aggregates):
+        least.append(rows.groupBy("key").agg(F.countDistinct("id").alias("n")).agg(F.min("n")).first()[0])
+        return spread(rows, **aggregates)
+
+    def looked(df, name):
+        if name == "line-buckets":
+            plan = df._jdf.queryExecution().optimizedPlan().toString()
+            inner.append(len(re.findall(r"Join Inner, \(key#\d+L = key#\d+L\)", plan)))
+        return keep(df, name)
+
+    monkeypatch.setattr(line_dedup, "with_bucket", joined)
+    monkeypatch.setattr(line_dedup, "written", looked)
+    rng = random.Random(6)
+    alone = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(80)) for _ in range(40)]
+    rows = list(enumerate([*template_lines(200), *alone, *[x[:40] + "#" + x[40:] for x in alone]]))
+    got = dict(rows_of(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")), "doc_id", "text"))
+    assert got == lines_model(rows, line_dedup.LineParams())
+    assert least and min(least) > 2
+    assert inner and sum(inner) == 0
+
+
+def test_a_bucket_knows_its_size(spark):
+    """Lines are counted once, however many pieces and substrings bring them to a bucket."""
+    rows = [(7, 1, 10, 0, True), (7, 1, 10, 3, True), (7, 1, 11, 4, False), (7, 2, 12, 5, True), (8, 1, 10, 0, True), (8, 3, 13, 1, False), (9, 1, 10, 0, True)]
+    found = line_dedup.shared_buckets(spark.createDataFrame(rows, "key long, id long, piece long, slot int, live boolean").withColumn("scope", F.lit(5).cast("long")), 2)
+    assert sorted(rows_of(found, "key", "id", "piece", "size")) == [(7, 1, 10, 2), (7, 1, 11, 2), (7, 2, 12, 2), (8, 1, 10, 2), (8, 3, 13, 2)]
+
+
 def test_plans_hold_no_tables(spark):
     """Weights and screens of fixed size are read by Spark; no plan prints them."""
     docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
