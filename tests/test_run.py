@@ -160,3 +160,17 @@ def test_child_ids_follow_arrival(spark):
     assert [r.keyword for r in res.keywords.orderBy("id").collect()] == [f"{c}{i}" for i in range(4) for c in "zma"]
     assert [r.name for r in res.person_role.orderBy("id").collect()] == ["Z4", "Z3", "Z2", "Z1"]
     assert [r.file_name for r in res.files.orderBy("id").collect()] == ["f9.pdf", "f8.pdf"] * 4
+
+
+def test_a_run_reads_its_sources_once(spark):
+    """The gate and the tables each worked out the files of the sources (page links, joins) again."""
+    reads = spark.sparkContext.accumulator(0)
+
+    def read(name):
+        reads.add(1)
+        return name
+
+    src = small_source(spark, 6)
+    src.files = src.files.withColumn("file_name", F.udf(read, "string")("file_name"))
+    res = run_harvest(spark, [src], f"{scratch_path(spark, 't-once')}/a", "2026-01-01T00:00:00+00:00")
+    assert res.files.count() == 12 and reads.value == 12
