@@ -52,9 +52,8 @@ def src_landed_oai_pages(spark: SparkSession, d: str) -> DataFrame:
         .otherwise(F.concat(F.lit("<ListRecords>"), F.col("records"), F.lit("</ListRecords>")))
     )
     text = F.concat(F.lit("<OAI-PMH>"), inner, F.lit("</OAI-PMH>")).alias("value")
-    # a folder a page: each task moves its own into place, not the driver one after the other
-    pages.select("page_no", text).write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("page_no").text(path)
-    landed = stored(oai.read_landed_pages(spark, path), "landed-oai-rows")  # many small files: opened and parsed once
+    oai.land_pages(pages.select("page_no", text), path)
+    landed = stored(oai.read_landed_pages(spark, path), "landed-oai-rows")  # parsed once
     kept = oai.pages_until_error(landed.withColumn("harvest", F.lit("uni_halle")))
     return oai.page_records(kept).select(
         "page_no", "record_index", "oai_id", "deleted", "has_dc", F.get("dc_title", F.lit(0)).alias("title"))

@@ -184,3 +184,24 @@ def test_details_meet_the_first_hits_of_their_own_station(spark):
     assert sorted((r.doi, r.seq, r.version, r.title, r.has_qda) for r in out.projects.collect()) == [
         ("doi:0", 1, "v2.None", "n1", True), ("doi:1", 2, "v5.None", "n2", True)]
     assert sorted((r.seq, r.file_index, r.file_name) for r in out.files.collect()) == [(1, 0, "a.qdpx"), (2, 0, "a.qdpx"), (2, 1, "a.qdpx")]
+
+
+def test_landed_oai_pages_share_files(spark):
+    """A file and a folder a page made 720,000 of them at 6 GB; a broken page must still cost itself only."""
+    from cataloguer.session import scratch_path
+
+    good = '<OAI-PMH xmlns="http://www.openarchives.org/OAI/2.0/"><ListRecords><record><header><identifier>r%d &amp; x</identifier></header></record></ListRecords></OAI-PMH>'
+    odd = {
+        3: "<OAI-PMH><ListRecords><record><header>", 4: "<OAI-PMH><!-- cut", 5: "<OAI-PMH><![CDATA[ cut", 6: "<html>502</html>", 7: "", 8: None,
+        9: (good % 9).replace("x<", "\x01<"), 10: "</page></pages>", 11: '<OAI-PMH><error code="badResumptionToken">gone</error></OAI-PMH>',
+    }
+    fine = {1: '\r\n <?xml version="1.0"?>\r\n' + good % 1, 2: (good % 2).replace("<Li", "\n  <Li")}
+    rows = [(n, odd.get(n, fine.get(n, good % n))) for n in range(400)]
+    path = scratch_path(spark, "t-pages")
+    oai.land_pages(spark.createDataFrame(rows, "page_no long, value string").repartition(4), path)
+    assert 0 < len(spark.read.text(path).inputFiles()) <= 4
+    read = oai.read_landed_pages(spark, path)
+    assert sorted((r.page_no, r.error_code) for r in read.collect()) == [
+        (n, None if n not in odd else "badResumptionToken" if n == 11 else "unreadable") for n in range(400)]
+    kept = oai.pages_until_error(read.where("page_no > 11 or page_no < 5").withColumn("harvest", F.lit("h")))
+    assert sorted((r.page_no, r.oai_id) for r in oai.page_records(kept).collect()) == [(n, f"r{n} & x") for n in range(3)]
