@@ -146,7 +146,7 @@ def run_harvest(spark: SparkSession, sources: list[SourceTables], archive_base:
     visits = of_pending(visited).drop(*KEY)
     if cap_bytes is not None:
         visits = admit_by_budget(visits, order, ["project_id", "file_name"], cap_bytes, initial_bytes, status="outcome",
-                                 uncapped=F.col("source_ord").isin(uncapped), on_disk="on_disk")
+                                 uncapped=F.col("source_ord").isin(uncapped), on_disk="on_disk", used=False)
         visits = visits.withColumn("outcome", capped_outcome(F.col("outcome"), F.col("capped"), F.col("downloadable")))
     existing = read_current(spark, archive_base, "files")
     merged = M.merge_into(existing, visits.select("project_id", "file_name", "file_type", *order),

@@ -18,12 +18,13 @@ def fold_file_status(visits: DataFrame, key: list[str], order: list[str], restri
     ``existing`` (key + ``status``) is the archive before this batch: its status
     is kept unless a visit of the batch writes a result.
 
-    Two partial aggregates (``min``/``max`` of ordered structs), one shuffle.
+    Two partial aggregates (``min``/``max`` of ordered structs), one shuffle. Columns of
+    ``order`` that are part of the key are the same in a group and stay out of the structs.
     """
     is_r = F.coalesce(F.col(restricted), F.lit(False))
     initial = F.when(is_r, F.lit(rules.RESTRICTED)).otherwise(F.lit(rules.SKIPPED))
     update = F.when(~is_r, F.col(result))
-    ordered = [F.col(c) for c in order]
+    ordered = [F.col(c) for c in order if c not in key]
     agg = visits.groupBy(*key).agg(
         F.min(F.struct(*ordered, initial.alias("v"))).getField("v").alias("_initial"),
         F.max(F.when(update.isNotNull(), F.struct(*ordered, update.alias("v")))).getField("v").alias("_update"),

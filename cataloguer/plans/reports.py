@@ -185,7 +185,7 @@ SELECT station_ord, ord1, ord2, project_id, file_name, restricted, size_bytes, u
     AS budget_status
 FROM r WHERE is_event = 0""")
 def budget_admission(spark: SparkSession, d: str) -> DataFrame:
-    out = admit_by_budget(_visits(spark, d), WORK_ORDER, key=["project_id", "file_name"],
+    out = admit_by_budget(stored(_visits(spark, d), "visits"), WORK_ORDER, key=["project_id", "file_name"],
                           cap_bytes=FIXTURE_CAP_BYTES)
     return out.select("station_ord", "ord1", "ord2", "project_id", "file_name", "restricted", "size_bytes",
                       "used_before", "budget_status")
@@ -259,20 +259,22 @@ def two_run_status(spark: SparkSession, d: str) -> DataFrame:
     log row for a third of the visits, and leaves out stations that start at the cap.
     """
     yes, key = F.lit(True), KEY_FILE
-    first = admit_by_budget(_visits(spark, d), WORK_ORDER, key, FIRST_CAP_BYTES)
-    first = stored(first.withColumn("outcome", capped_outcome(F.col("status"), F.col("capped"), yes)), "first-run-visits")
+    visits = stored(_visits(spark, d), "visits")
+    first = admit_by_budget(visits, WORK_ORDER, key, FIRST_CAP_BYTES, used=False)
+    first = first.withColumn("outcome", capped_outcome(F.col("status"), F.col("capped"), yes))
     order = ["station_ord", "ord1", "ord2", "project_id", "file_name"]
     archive = stored(fold_file_status(first, key, order, result="outcome"), "first-run-status")  # read three times
     fetched = first.where((F.col("outcome") == rules.SUCCESS) & ~F.col("restricted"))
-    initial = first_arrivals(fetched, key, WORK_ORDER).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint")).first()[0]
+    initial = first_arrivals(fetched.select(*dict.fromkeys([*key, *WORK_ORDER])), key, WORK_ORDER).agg(F.coalesce(F.sum("size_bytes"), F.lit(0)).cast("bigint")).first()[0]
     there = archive.where(F.col("status") == rules.SUCCESS).select(*key, yes.alias("on_disk"))
     log = F.when(F.col("size_bytes") % 3 != 0, F.col("status"))
-    again = _visits(spark, d).join(there, key, "left")
+    again = visits.join(there, key, "left")
     again = stored(again.withColumn("outcome", visit_outcome(log, F.col("on_disk"), yes)), "second-run-visits")
     gate = station_gate(again, WORK_ORDER, key, FIXTURE_CAP_BYTES, initial, status="outcome", on_disk="on_disk")
-    again = again.join(gate.where(F.col("harvested") | (F.col("station_ord") == UNCAPPED_STATION)).select("station_ord"), "station_ord")
+    open_ = stored(gate.where(F.col("harvested") | (F.col("station_ord") == UNCAPPED_STATION)).select("station_ord"), "open-stations")
+    again = again.join(F.broadcast(open_), "station_ord")  # a few stations: the visits stay where they are
     second = admit_by_budget(again, WORK_ORDER, key, FIXTURE_CAP_BYTES, initial, status="outcome",
-                             uncapped=F.col("station_ord") == UNCAPPED_STATION, on_disk="on_disk")
+                             uncapped=F.col("station_ord") == UNCAPPED_STATION, on_disk="on_disk", used=False)
     second = second.withColumn("outcome", capped_outcome(F.col("outcome"), F.col("capped"), yes))
     folded = stored(fold_file_status(second, key, order, result="outcome", existing=archive), "second-run-status")
     kept = archive.join(folded.select(*key), key, "left_anti")

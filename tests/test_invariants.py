@@ -206,3 +206,60 @@ def test_child_merge_deals_rows_to_tasks_that_follow_the_size(spark, monkeypatch
     assert seen == [(1, tasks), (1, tasks)]
     ids = sorted(r.id for r in out.select("id").collect())
     assert ids == list(range(1, len(ids) + 1))
+
+
+def _odd_visits(spark, n=900):
+    """Visits with a hot leading key, null places, paths that come again and rows that come twice."""
+    rows = []
+    for i in range(n):
+        rows.append((None if i % 50 == 0 else 1 if i % 3 else i % 7, None if i % 41 == 0 else i * 37 % 113, f"n{i * 7 % 97}",
+                     (i * 13) % 29 if i % 17 else None, "SUCCESS" if i % 4 else "FAILED", None if i % 31 == 0 else i % 9 == 0))
+        if i % 20 == 0:
+            rows.append(rows[-1])
+    return spark.createDataFrame(rows, "a int, b long, name string, size_bytes long, status string, restricted boolean").repartition(5)
+
+
+def _place(r):
+    return tuple((v is not None, v or 0 if not isinstance(v, str) else v) for v in (r["a"], r["b"], r["name"], r["status"], r["size_bytes"]))
+
+
+def test_cap_without_order_of_all_visits_is_the_running_sum(spark):
+    """Two runs over 216 million visits shuffled all of them by place twice, only to tell which are past the cap."""
+    df, order = _odd_visits(spark), ["a", "b", "name", "status", "size_bytes"]
+    rows = df.collect()
+    first = {}
+    for r in sorted(rows, key=_place):
+        if r["status"] == "SUCCESS" and not r["restricted"]:
+            first.setdefault(r["name"], r)
+    events = [(_place(r), r["size_bytes"] or 0) for r in first.values()]
+    total = sum(b for _, b in events)
+    for cap, start in [(total // 2, 0), (total // 2, 5), (1, 0), (total, 0), (total + 1, 0), (10, 10), (0, 0)]:
+        want = sorted((_place(r), (used := start + sum(b for e, b in events if e < _place(r))), used >= cap) for r in rows)
+        full = admit_by_budget(df, order, ["name"], cap, start)
+        assert sorted((_place(r), r["used_before"], r["capped"]) for r in full.collect()) == want
+        bare = admit_by_budget(df, order, ["name"], cap, start, used=False)
+        assert sorted((_place(r), r["capped"]) for r in bare.collect()) == [(p, c) for p, _, c in want]
+        assert sorted(bare.columns) == sorted(set(full.columns) - {"used_before"})
+    written = df.cache()
+    plan = admit_by_budget(written, order, ["name"], total // 2, used=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(step in plan for step in ("Window", "Join", "Aggregate", "Union", "Sort"))
+
+
+def test_running_sum_shuffles_rows_once(spark):
+    """Rows went to a range, to files and to their range's window: two shuffles and a copy on disk."""
+    from cataloguer.operators.ordering import cut_points, positions_at
+
+    df, order = _odd_visits(spark), ["a", "b", "name", "status", "size_bytes"]
+    out = with_running_sum(df, order, F.col("size_bytes"), exclusive=False, partitions=7)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("shufflepartitionidpassthrough") == 1 and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    assert "Broadcast" not in plan and "ranged-" not in plan
+    got, acc = sorted(((_place(r), r["running"]) for r in out.collect())), 0
+    for p, running in got:
+        acc += p[4][1]
+        assert running == acc
+    assert 3 <= len(cut_points(df, order, 7)) <= 6 and cut_points(df.where("false"), order, 7) == [] and cut_points(df, order, 1) == []
+    ranked = sorted(map(_place, df.collect()))
+    places = [1, 2, 400, 401, len(ranked)]
+    found = positions_at(df, order, [*places, len(ranked) + 1])
+    assert [_place(dict(zip(order, p, strict=True))) for p in found[:-1]] == [ranked[i - 1] for i in places] and found[-1] is None
