@@ -25,7 +25,7 @@ def nullable(schema: T.StructType) -> T.StructType:
 
 def write_batch(df: DataFrame, base: str, table: str, batch_id: int) -> None:
     """Replace what micro-batch ``batch_id`` has written to a table."""
-    df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{table}/batch={batch_id}")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{base.rstrip('/')}/{table}/batch={batch_id}")
 
 
 def read_batches(spark: SparkSession, base: str, table: str, schema: T.StructType | str, before: int | None = None) -> DataFrame:

@@ -106,3 +106,19 @@ def test_parts_land_by_many_tasks_and_are_one_micro_batch_each(spark):
     out = read_batches(spark, stream.base, "visits", rows.schema)
     assert {r["batch"]: r["count"] for r in out.groupBy("batch").count().collect()} == {0: 1001, 1: 1001, 2: 998}
     assert out.agg(F.max("used_before")).first()[0] == rows.select("project_id", "file_name").distinct().count()
+
+
+def test_a_stream_without_running_bytes_caps_the_same_visits(spark):
+    rows = [(i, f"n{i * 7 % 23}", i % 9 == 0, OK if i % 3 else NO, 5 + i % 4) for i in range(90)]
+    states, capped = [], []
+    for full in (True, False):
+        stream = VisitStream(scratch_path(spark, "t"), ["name"], ["seq"], cap_bytes=70, used=full)
+        for n in range(3):
+            stream.admit(visits(spark, rows[n * 30:n * 30 + 30]), n)
+        stream.admit(visits(spark, rows[60:]), 2)
+        out = read_batches(spark, stream.base, "visits", VISIT)
+        assert ("used_before" in out.columns) == full
+        capped.append(sorted((r["seq"], r["capped"], r["outcome"], r["budget_status"]) for r in out.collect()))
+        states.append(state(spark, stream))
+    assert states[0] == states[1] and capped[0] == capped[1]
+    assert {c for _, c, _, _ in capped[0]} == {True, False}
