@@ -95,11 +95,14 @@ def status_rows(visits: DataFrame, key: list[str], order: list[str]) -> DataFram
 
 
 def statuses(spark: SparkSession, base: str, schema, key: list[str], existing: DataFrame | None = None) -> DataFrame:
-    """``key`` and ``status`` over all micro-batches; ``existing`` is the archive before them."""
+    """``key`` and ``status`` over all micro-batches; ``existing`` is the archive before them.
+
+    A batch holds one row a key, so the batch alone orders the rows of a key.
+    """
     rows = read_batches(spark, base, "statuses", schema)
     folded = rows.groupBy(*key).agg(
-        F.min(F.struct("batch", "first"))["first"]["_to"].alias("_initial"),
-        F.max(F.when(F.col("last").isNotNull(), F.struct("batch", "last")))["last"]["_to"].alias("_result"),
+        F.min(F.struct("batch", F.col("first._to").alias("_to")))["_to"].alias("_initial"),
+        F.max(F.when(F.col("last").isNotNull(), F.struct("batch", F.col("last._to").alias("_to"))))["_to"].alias("_result"),
     )
     if existing is None:
         return folded.select(*key, F.coalesce("_result", "_initial").alias("status"))

@@ -108,6 +108,21 @@ def test_parts_land_by_many_tasks_and_are_one_micro_batch_each(spark):
     assert out.agg(F.max("used_before")).first()[0] == rows.select("project_id", "file_name").distinct().count()
 
 
+def test_status_rows_hold_their_key_once(spark):
+    """A position repeated the path that is the row's key: a status row shuffled it three times and kept it three times."""
+    order = ["seq", "name"]
+    rows = visits(spark, [(2, "a", False, OK, 1), (1, "a", True, None, 1), (3, "a", False, None, 1), (5, "b", True, OK, 1), (4, None, False, NO, 1)])
+    out = status_rows(rows, ["name"], order)
+    assert "name" not in out.schema["first"].dataType.names + out.schema["last"].dataType.names
+    got = {r["name"]: (r["first"]["_to"], r["last"] and r["last"]["_to"]) for r in out.collect()}
+    assert got == {"a": (rules.RESTRICTED, OK), "b": (rules.RESTRICTED, None), None: (rules.SKIPPED, NO)}
+    base = scratch_path(spark, "t")
+    for n, some in enumerate([rows, visits(spark, [(1, "a", False, NO, 1), (9, "b", False, None, 1), (1, "c", False, None, 1)])]):
+        write_batch(status_rows(some, ["name"], order), base, "statuses", n)
+    folded = {r["name"]: r["status"] for r in statuses(spark, base, out.schema, ["name"]).collect()}
+    assert folded == {"a": NO, "b": rules.RESTRICTED, "c": rules.SKIPPED, None: NO}
+
+
 def test_a_stream_without_running_bytes_caps_the_same_visits(spark):
     rows = [(i, f"n{i * 7 % 23}", i % 9 == 0, OK if i % 3 else NO, 5 + i % 4) for i in range(90)]
     states, capped = [], []
